@@ -158,22 +158,29 @@ def object_tree(
     if level < 3:
         rows = rows.select("catalog", *keys).distinct()
 
+    elif column:
+        # A pattern on columns thins the lists of columns; a table without a match keeps
+        # its place, with an empty list.
+        matching = rows.where(like(F.col("column"), column))
+        bare = rows.select("catalog", *keys).distinct().join(
+            matching.select("catalog", *keys).distinct(), ["catalog", *keys], "left_anti"
+        )
+        rows = matching.unionByName(bare, allowMissingColumns=True)
+
     slices = rows.groupBy("catalog").agg(F.ceil(F.count("*") / rows_per_slice).cast("bigint").alias("__slices"))
     sliced = rows.join(slices.withColumnRenamed("catalog", "__c"), F.col("catalog").eqNullSafe(F.col("__c")))
-    chunk = [F.floor(F.col("position") / COLUMNS_PER_CHUNK)] if level == 3 else []
+    chunk = [F.coalesce(F.floor(F.col("position") / COLUMNS_PER_CHUNK), F.lit(0))] if level == 3 else []
     spread = F.pmod(F.xxhash64(*keys, *chunk), F.col("__slices")).alias("slice")
     nodes = sliced.select(*[c for c in rows.columns], spread).repartition("catalog", "slice")
 
     if level == 3:
-        # A pattern on columns thins the list of columns, it does not remove tables.
-        wanted = like(F.col("column"), column) if column else F.lit(True)
         described = F.struct(
             "position", "column", F.col("data_type").alias("type_name"),
             nullability(F.col("nullable")).alias("nullability"), F.col("precision").alias("column_size"),
             F.col("scale").alias("decimal_digits"), F.col("default").alias("column_default"),
         )
         nodes = nodes.groupBy("catalog", "slice", "schema", "table", "table_type").agg(
-            F.sort_array(F.collect_list(F.when(wanted, described))).alias("columns")
+            F.sort_array(F.collect_list(F.when(F.col("column").isNotNull(), described))).alias("columns")
         )
     if level >= 2:
         node = ["table", "table_type"] + (["columns"] if level == 3 else [])
