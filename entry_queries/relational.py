@@ -86,7 +86,7 @@ sql_shape("a1_bound_projection", "SELECT o_orderkey, :1 AS val, ':1' AS kept FRO
 
 def bound_filter(spark, sf_dir):
     views(spark, sf_dir, "orders")
-    one_row = spark.table("orders").where("o_orderkey = 0").selectExpr("'O' AS a", "50000.25D AS b").limit(1)
+    one_row = spark.range(1).selectExpr("'O' AS a", "50000.25D AS b")
     return run_query(
         spark,
         "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus <> :1 AND o_totalprice > :2 -- not :3",

@@ -8,11 +8,10 @@ from pyspark.sql import types as T
 
 # The texts that mean true, and the accepted number and time layouts.
 TRUE_TEXTS = ("1", "true", "TRUE", "Y")
-INTEGER_TEXT = r"^[+-]?[0-9]+$"
-DECIMAL_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-HEX_FLOAT_TEXT = r"^[+-]?0[xX]([0-9a-fA-F]+\.?[0-9a-fA-F]*|\.[0-9a-fA-F]+)[pP][+-]?[0-9]+$"
 INFINITY_TEXT = r"(?i)^[+-]?inf(inity)?$"
 NAN_TEXT = r"(?i)^nan$"
+SAFE_DIGITS = 300
+LONG_BOUND = 2.0**63
 ZONED_TIME_TEXT = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
     r"(T[0-9]{1,2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?| [0-9]{1,2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})? )"
@@ -54,14 +53,21 @@ def to_int64(value: Column, source: T.DataType) -> Column:
     """Integers widen, other numbers lose their fraction, text is read as either."""
     if isinstance(source, INTEGERS):
         return value.cast("bigint")
-    if isinstance(source, NUMBERS):
+    if isinstance(source, T.DecimalType):
         return value.try_cast("bigint")
+    if isinstance(source, NUMBERS):
+        return _truncated(value.cast("double"))
     if isinstance(source, T.StringType):
-        whole = F.when(value.rlike(INTEGER_TEXT), value.try_cast("bigint"))
-        return F.coalesce(whole, _parse_float(value).try_cast("bigint"))
+        whole = F.when(_bare(value), value.try_cast("bigint"))
+        return F.coalesce(whole, _truncated(_parse_float(value)))
     return nothing(T.LongType())
 
 
+def _truncated(number: Column) -> Column:
+    # The cast alone would let 2^63 itself through, as the largest value below it.
+    return F.when((number >= -LONG_BOUND) & (number < LONG_BOUND), number.try_cast("bigint"))
+
+
 def to_float64(value: Column, source: T.DataType) -> Column:
     if isinstance(source, NUMBERS):
         return value.cast("double")
@@ -70,19 +76,33 @@ def to_float64(value: Column, source: T.DataType) -> Column:
     return nothing(T.DoubleType())
 
 
+def _bare(text: Column, last: str = "") -> Column:
+    """True where a text begins and ends as a number does.
+
+    A cast ignores blanks around a number and takes suffixes like ``d``; the accepted texts
+    have neither. What lies in between, the cast checks itself. ``+`` to ``9`` are the
+    characters a number can begin with, and comparing is much cheaper than a pattern.
+    """
+    end = F.right(text, F.lit(1))
+    ends_well = end.between("0", "9")
+    for other in last:
+        ends_well = ends_well | (end == other)
+    return (text >= "+") & (text < ":") & ends_well
+
+
 def _parse_float(text: Column) -> Column:
     """Number texts only: no blanks around them, no type suffix, nothing that overflows."""
-    finite = F.when(
-        text.rlike(DECIMAL_TEXT) | text.rlike(HEX_FLOAT_TEXT), text.try_cast("double")
-    )
-    in_range = F.when(F.abs(finite) < F.lit(float("inf")), finite)
-    special = (
-        F.when(
-            text.rlike(INFINITY_TEXT),
-            F.when(text.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf"))),
-        ).when(text.rlike(NAN_TEXT), F.lit(float("nan")))
+    number = text.try_cast("double")
+    in_range = F.when(F.abs(number) < F.lit(float("inf")), number)
+    small = F.length(text) < SAFE_DIGITS
+    for letter in "eExX":
+        small = small & ~text.contains(letter)
+    infinity = F.when(text.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
+    return (
+        F.when(_bare(text, "."), F.when(small, number).otherwise(in_range))
+        .when(text.rlike(INFINITY_TEXT), infinity)
+        .when(text.rlike(NAN_TEXT), F.lit(float("nan")))
     )
-    return F.coalesce(in_range, special)
 
 
 def to_text(value: Column, source: T.DataType) -> Column:
@@ -142,9 +162,9 @@ def to_wall_clock(value: Column, source: T.DataType, zone: str = "UTC") -> Colum
         return F.convert_timezone(None, F.lit(zone), value.cast(target))
     if isinstance(source, T.StringType):
         # The layout test comes first, so each value is parsed at most once.
-        return F.when(
+        return F.when(value.rlike(PLAIN_TIME_TEXT), value.try_cast(target)).when(
             value.rlike(ZONED_TIME_TEXT), F.regexp_replace(value, ZONE_SUFFIX, "").try_cast(target)
-        ).when(value.rlike(PLAIN_TIME_TEXT), value.try_cast(target))
+        )
     return nothing(target)
 
 
@@ -157,9 +177,9 @@ def to_instant(value: Column, source: T.DataType) -> Column:
         return utc_reading(value.cast(T.TimestampNTZType()))
     if isinstance(source, T.StringType):
         tight = F.regexp_replace(value, r" (Z|[+-][0-9]{2}:[0-9]{2})$", "$1")
-        return F.when(value.rlike(ZONED_TIME_TEXT), tight.try_cast(target)).when(
+        return F.when(
             value.rlike(PLAIN_TIME_TEXT), utc_reading(value.try_cast(T.TimestampNTZType()))
-        )
+        ).when(value.rlike(ZONED_TIME_TEXT), tight.try_cast(target))
     return nothing(target)
 
 

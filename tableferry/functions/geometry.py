@@ -80,27 +80,25 @@ def vertex_count(geom: Column) -> Column:
 
 def ring_area_sql(ring: str, dims: str) -> str:
     """Twice the signed area, closing edge included (it adds nothing to a closed ring)."""
-    count = f"(size({ring}) div {dims})"
-    at = lambda vertex, axis: f"get({ring}, int(({vertex}) * {dims} + {axis}))"
-    following = f"pmod(v + 1, {count})"
+    edge = lambda i, j: f"get({ring}, {i}) * get({ring}, {j} + 1) - get({ring}, {j}) * get({ring}, {i} + 1)"
+    last = f"(size({ring}) - {dims})"
     return (
-        f"aggregate(sequence(0, int({count}) - 1), 0D, (area, v) -> area"
-        f" + {at('v', 0)} * {at(following, 1)} - {at(following, 0)} * {at('v', 1)})"
+        f"aggregate(sequence(0, {last} - {dims}, {dims}), {edge(last, '0')},"
+        f" (area, v) -> area + {edge('v', f'(v + {dims})')})"
     )
 
 
 def oriented_sql(ring: str, dims: str, outer: str) -> str:
     """Outer rings counter-clockwise, holes clockwise; whole points change places.
 
-    ``ring`` must be a name (column or lambda variable), not a computed array.
+    ``ring`` must be a name (column or lambda variable), not a computed array, and
+    ``dims`` an int.
     """
-    count = f"(size({ring}) div {dims})"
     turned = (
-        f"transform({ring}, (value, i) ->"
-        f" get({ring}, int(({count} - 1 - i div {dims}) * {dims} + i % {dims})))"
+        f"transform({ring}, (value, i) -> get({ring}, size({ring}) - {dims} - i + 2 * (i % {dims})))"
     )
     wrong = let(ring_area_sql(ring, dims), "area2", f"area2 != 0 AND (area2 > 0) != ({outer})")
-    return f"CASE WHEN {count} < 3 THEN {ring} WHEN {wrong} THEN {turned} ELSE {ring} END"
+    return f"CASE WHEN size({ring}) < 3 * {dims} THEN {ring} WHEN {wrong} THEN {turned} ELSE {ring} END"
 
 
 def rectangle_sql(corners: str, dims: str) -> str:

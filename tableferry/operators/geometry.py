@@ -59,18 +59,17 @@ def decode_geometry(
         return empty.withColumn(reason, F.lit(None).cast("string")) if reason else empty
     srid = crs.field_srid(field) if srid is None else srid
     known = df.withColumn(_RAW, unpack_wkb(F.col(column)))
-    ring = (
-        f"slice({_RAW}.ordinates, e.start, e.stop - e.start)"
-    )
+    dims = f"{_RAW}.dims"
     wound = G.let(
-        ring, "ring",
-        f"CASE WHEN e.etype IN (1003, 2003) THEN {G.oriented_sql('ring', f'{_RAW}.dims', 'e.etype = 1003')}"
+        f"slice({_RAW}.ordinates, e.start, e.stop - e.start)", "ring",
+        f"CASE WHEN e.etype IN (1003, 2003) THEN {G.oriented_sql('ring', dims, 'e.etype = 1003')}"
         " ELSE ring END",
     )
-    elements = G.elements_sql(_RAW)
+    alone = G.let(f"{_RAW}.ordinates", "ring", G.oriented_sql("ring", dims, "true"))
     ordinates = (
-        f"CASE WHEN {_RAW}.kind >= 3 THEN flatten(transform({elements}, e -> {wound}))"
-        f" ELSE {_RAW}.ordinates END"
+        f"CASE WHEN {_RAW}.kind < 3 THEN {_RAW}.ordinates"
+        f" WHEN {_RAW}.elem_info = array(1, 1003, 1) THEN {alone}"
+        f" ELSE flatten(transform({G.elements_sql(_RAW)}, e -> {wound})) END"
     )
     point = (
         f"CASE WHEN {_RAW}.kind = 1 THEN"
@@ -107,18 +106,28 @@ def geometry_facts(df: DataFrame, column: str) -> DataFrame:
 
 
 def _with_elements(df: DataFrame, column: str) -> DataFrame:
-    """Adds the element triplets, with the facts that decide whether they are usable."""
+    """Adds the facts that decide how an object is read, and its element triplets.
+
+    Triplets are made for polygons and multi lines and polygons only, and not for those
+    of one straight part, which needs no looking through (``single``).
+    """
     geom = G._quoted(column)
-    e = _ELEMENTS
     count = f"coalesce(size({geom}.ordinates), 0)"
-    return df.withColumn(e, F.expr(G.elements_sql(geom))).withColumn(
-        _FACTS,
-        F.expr(
-            "named_struct("
-            f"'dims', {geom}.gtype div 1000, 'shape', {geom}.gtype % 100, 'count', {count},"
-            f" 'bounds', forall({e}, x -> x.start >= 1 AND x.stop >= x.start AND x.stop <= {count} + 1))"
-        ),
+    shape = f"({geom}.gtype % 100)"
+    facts = (
+        f"named_struct('dims', int({geom}.gtype div 1000), 'shape', {shape}, 'count', {count},"
+        f" 'single', coalesce({geom}.elem_info ="
+        f" CASE WHEN {shape} = 6 THEN array(1, 2, 1) WHEN {shape} IN (3, 7) THEN array(1, 1003, 1) END, false))"
     )
+    elements = (
+        f"CASE WHEN {_FACTS}.shape IN (3, 6, 7) AND NOT {_FACTS}.single THEN {G.elements_sql(geom)}"
+        " ELSE array() END"
+    )
+    return df.withColumn(_FACTS, F.expr(facts)).withColumn(_ELEMENTS, F.expr(elements))
+
+
+def _bounds(elements: str, count: str) -> str:
+    return f"forall({elements}, x -> x.start >= 1 AND x.stop >= x.start AND x.stop <= {count} + 1)"
 
 
 def _ring_problem(d: str, rings: str) -> str:
@@ -137,11 +146,14 @@ def explode_rings(df: DataFrame, column: str, keep: list[str] | None = None) ->
     """
     geom = G._quoted(column)
     keep = [c for c in df.columns if c != column] if keep is None else keep
-    rings = f"filter({_ELEMENTS}, x -> x.etype IN (1003, 2003))"
     dims = f"{_FACTS}.dims"
+    whole = (
+        f"array(named_struct('start', 1, 'etype', 1003, 'interp', 1, 'stop', {_FACTS}.count + 1))"
+    )
+    rings = f"CASE WHEN {_FACTS}.single THEN {whole} ELSE filter({_ELEMENTS}, x -> x.etype IN (1003, 2003)) END"
     problem = (
-        f"CASE WHEN size({_ELEMENTS}) = 0 THEN 'bad_elem_info'"
-        f" WHEN NOT {_FACTS}.bounds THEN 'element_offsets'"
+        f"CASE WHEN {_FACTS}.single THEN NULL WHEN size({_ELEMENTS}) = 0 THEN 'bad_elem_info'"
+        f" WHEN NOT {_bounds(_ELEMENTS, f'{_FACTS}.count')} THEN 'element_offsets'"
         f" WHEN size(__rings) = 0 THEN 'no_rings' {_ring_problem(dims, '__rings')} END"
     )
     checked = (
@@ -158,7 +170,7 @@ def explode_rings(df: DataFrame, column: str, keep: list[str] | None = None) ->
         (F.col("__no") + 1).alias("ring_no"),
         (F.col("__ring.etype") == 1003).alias("outer"),
         F.col("__ring.interp").alias("interp"),
-        F.col(f"{_FACTS}.dims").cast("int").alias("dims"),
+        F.col(f"{_FACTS}.dims").alias("dims"),
         F.expr(f"CASE WHEN __ring IS NOT NULL THEN {G.part_sql(geom, '__ring')} END").alias("ordinates"),
         "reason",
     )
@@ -200,12 +212,12 @@ def encode_geometry(
         raise InvalidArgument(f"column {column!r} does not hold geometry objects")
     out = out or column
     geom = G._quoted(column)
-    d, s, e = f"{_FACTS}.dims", f"{_FACTS}.shape", _ELEMENTS
+    d, s, e, single = f"{_FACTS}.dims", f"{_FACTS}.shape", _ELEMENTS, f"{_FACTS}.single"
     wanted = f"x -> CASE WHEN {s} = 6 THEN x.etype = 2 ELSE x.etype IN (1003, 2003) END"
     parts = (
         _with_elements(df, column)
         .withColumn("__all", F.col(e))
-        .withColumn(e, F.expr(f"CASE WHEN {s} IN (3, 6, 7) THEN filter({e}, {wanted}) ELSE {e} END"))
+        .withColumn(e, F.expr(f"CASE WHEN size({e}) > 0 THEN filter({e}, {wanted}) ELSE {e} END"))
     )
     in_point = f"({s} = 1 AND coalesce(size({geom}.elem_info), 0) = 0 AND {_FACTS}.count = 0)"
     problem = (
@@ -215,13 +227,14 @@ def encode_geometry(
         f" WHEN {s} NOT BETWEEN 1 AND 7 THEN 'unsupported_type'"
         f" WHEN {s} = 1 AND NOT ({in_point} AND {geom}.point.x IS NOT NULL AND {geom}.point.y IS NOT NULL)"
         f" AND {_FACTS}.count < {d} THEN 'too_few_ordinates'"
-        f" WHEN {s} = 2 AND {_FACTS}.count % {d} != 0 THEN 'ordinates_not_divisible'"
-        f" WHEN {s} IN (3, 6, 7) AND coalesce(size({geom}.elem_info), 0) < 3 THEN 'bad_elem_info'"
-        f" WHEN {s} IN (3, 6, 7) AND NOT {_FACTS}.bounds THEN 'element_offsets'"
+        f" WHEN ({s} = 2 OR {single}) AND {_FACTS}.count % {d} != 0 THEN 'ordinates_not_divisible'"
+        f" WHEN {s} IN (1, 2, 5) OR {single} THEN NULL"
+        f" WHEN coalesce(size({geom}.elem_info), 0) < 3 THEN 'bad_elem_info'"
+        f" WHEN NOT {_bounds('__all', f'{_FACTS}.count')} THEN 'element_offsets'"
         f" WHEN {s} = 3 AND size({e}) = 0 THEN 'no_rings'"
         f" WHEN {s} = 6 AND exists({e}, x -> (x.stop - x.start) % {d} != 0) THEN 'ordinates_not_divisible'"
         f" WHEN {s} = 7 AND size({e}) > 0 AND get({e}, 0).etype != 1003 THEN 'orphan_hole'"
-        f" WHEN {s} NOT IN (3, 7) THEN NULL {_ring_problem(d, e)} END"
+        f" WHEN {s} = 6 THEN NULL {_ring_problem(d, e)} END"
     )
     curved_line = f"{s} = 2 AND coalesce(get({geom}.elem_info, 2), 1) = 2"
     # Parts that already lie in the array one after the other are passed on untouched.
@@ -235,23 +248,24 @@ def encode_geometry(
         f"CASE WHEN {in_point} THEN CASE WHEN {d} = 3 THEN"
         f" array({geom}.point.x, {geom}.point.y, coalesce({geom}.point.z, 0D))"
         f" ELSE array({geom}.point.x, {geom}.point.y) END"
-        f" ELSE slice({geom}.ordinates, 1, int({d})) END"
+        f" ELSE slice({geom}.ordinates, 1, {d}) END"
     )
     used = parts.withColumn("__problem", F.expr(problem)).withColumn(
         "__parts",
         F.expr(
-            "CASE WHEN __problem IS NOT NULL THEN NULL"
+            f"CASE WHEN __problem IS NOT NULL OR {single} OR {s} = 5 THEN NULL"
             f" WHEN {s} = 1 THEN array({point})"
             f" WHEN {curved_line} THEN array({G.linearised_sql(f'{geom}.ordinates', d)})"
-            f" WHEN {s} = 6 AND NOT {untouched} THEN {plain}"
-            f" WHEN {s} IN (3, 7) AND size({e}) > 0 AND NOT {untouched} THEN {rebuilt} END"
+            f" WHEN {s} = 2 OR {untouched} THEN NULL"
+            f" WHEN {s} = 6 THEN {plain}"
+            f" WHEN size({e}) > 0 THEN {rebuilt} END"
         ),
     )
     sizes = (
         "CASE WHEN __problem IS NOT NULL THEN NULL"
         " WHEN __parts IS NOT NULL THEN transform(__parts, p -> size(p))"
-        f" WHEN {s} = 2 THEN array({_FACTS}.count)"
-        f" WHEN {s} = 5 THEN array_repeat(int({d}), int({_FACTS}.count div {d}))"
+        f" WHEN {s} = 2 OR {single} THEN array({_FACTS}.count)"
+        f" WHEN {s} = 5 THEN array_repeat({d}, int({_FACTS}.count div {d}))"
         f" ELSE transform({e}, x -> x.stop - x.start) END"
     )
     flat = (
@@ -261,14 +275,14 @@ def encode_geometry(
         f" ELSE {geom}.ordinates END"
     )
     opens = (
-        f"CASE WHEN __problem IS NULL AND {s} = 7 THEN transform({e}, x -> x.etype = 1003)"
-        " ELSE cast(array() AS array<boolean>) END"
+        f"CASE WHEN __problem IS NOT NULL OR {s} != 7 THEN cast(array() AS array<boolean>)"
+        f" WHEN {single} THEN array(true) ELSE transform({e}, x -> x.etype = 1003) END"
     )
     kind = f"CASE WHEN {geom} IS NOT NULL AND __problem IS NULL THEN " + _case(
         {shape: kind for kind, shape in SHAPE_OF_KIND.items()}, s
     ) + " END"
     packed = pack_wkb(
-        F.expr(kind).cast("int"), F.expr(d).cast("int"),
+        F.expr(kind).cast("int"), F.expr(d),
         F.expr(sizes).cast("array<int>"), F.expr(opens), F.expr(flat),
     )
     columns = {out: packed}
@@ -317,7 +331,7 @@ def geometry_report(df: DataFrame, column: str) -> DataFrame:
             f"filter({G.elements_sql('__geom')}, x -> x.etype IN (1003, 2003) AND x.interp = 1) END"
         ),
     )
-    area = G.let(G.part_sql("__geom", "x"), "ring", G.ring_area_sql("ring", "(__geom.gtype div 1000)"))
+    area = G.let(G.part_sql("__geom", "x"), "ring", G.ring_area_sql("ring", "int(__geom.gtype div 1000)"))
     winding = G.let(area, "area2", "area2 != 0 AND (area2 > 0) != (x.etype = 1003)")
     rule = F.expr(
         "CASE WHEN __reason IS NOT NULL THEN concat('not_encodable:', __reason)"

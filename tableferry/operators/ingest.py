@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import InvalidArgument, InvalidState, NotFound, TableExists
-from ..plans.columns import ColumnPlan, LoadPlan, plan_rows, render_ddl, scanned_columns
+from ..plans.columns import LoadPlan, plan_rows, render_ddl, scanned_columns
 from ..plans.options import LoadOptions, check_mode
 from .conform import normalise_names, to_load_form
 from .geometry import decode_geometry, geometry_columns
@@ -132,8 +132,7 @@ def plan_from_widths(named: DataFrame, widths: dict[str, int], options: LoadOpti
     one = named.sparkSession.range(1).select(
         *[F.lit(width).cast("bigint").alias(name) for name, width in widths.items()]
     )
-    rows = plan_rows(one, named.schema, options).orderBy("position").collect()
-    return LoadPlan(tuple(ColumnPlan(**row.asDict()) for row in rows), options.inline_limit)
+    return LoadPlan.of(plan_rows(one, named.schema, options), options)
 
 
 # --- catalog steps -------------------------------------------------------------------

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.typemaps import is_text
-from ..plans.columns import ColumnPlan, LoadPlan, plan_rows, scanned_columns
+from ..plans.columns import LoadPlan, plan_rows, scanned_columns
 from ..plans.options import LoadOptions
 
 DEFAULT_SCAN_LIMIT = 64 << 20
@@ -150,8 +150,7 @@ def plan_columns(
 ) -> LoadPlan:
     """The plan on the driver: one row per column of the schema."""
     options = LoadOptions.parse(options)
-    rows = plan_frame(df, options, batch).orderBy("position").collect()
-    return LoadPlan(tuple(ColumnPlan(**row.asDict()) for row in rows), options.inline_limit)
+    return LoadPlan.of(plan_frame(df, options, batch), options)
 
 
 def batch_bind_kind(df: DataFrame, batch: str, limit: int) -> DataFrame:

@@ -47,6 +47,12 @@ class LoadPlan:
     def declared(self) -> dict[str, str]:
         return {column.name: column.declared for column in self.columns}
 
+    @classmethod
+    def of(cls, rows: DataFrame, options: LoadOptions) -> "LoadPlan":
+        """From plan rows: as many reach the driver as the table has columns."""
+        columns = (ColumnPlan(**row.asDict()) for row in rows.collect())
+        return cls(tuple(sorted(columns, key=lambda c: c.position)), options.inline_limit)
+
     def limits(self) -> dict[str, int]:
         """Declared byte widths of the sized text columns, by name."""
         return {c.name: c.declared_bytes for c in self.columns
