@@ -8,8 +8,7 @@ from pyspark.sql import types as T
 
 # The texts that mean true, and the accepted number and time layouts.
 TRUE_TEXTS = ("1", "true", "TRUE", "Y")
-INFINITY_TEXT = r"(?i)^[+-]?inf(inity)?$"
-NAN_TEXT = r"(?i)^nan$"
+SPECIAL_TEXT = r"(?i)^([+-]?inf(inity)?|nan)$"
 SAFE_DIGITS = 300
 LONG_BOUND = 2.0**63
 ZONED_TIME_TEXT = (
@@ -58,14 +57,14 @@ def to_int64(value: Column, source: T.DataType) -> Column:
     if isinstance(source, NUMBERS):
         return _truncated(value.cast("double"))
     if isinstance(source, T.StringType):
-        whole = F.when(_bare(value), value.try_cast("bigint"))
-        return F.coalesce(whole, _truncated(_parse_float(value)))
+        whole = value.try_cast("bigint")
+        return F.when(_bare(value), F.coalesce(whole, _truncated(value.try_cast("double"))))
     return nothing(T.LongType())
 
 
 def _truncated(number: Column) -> Column:
     # The cast alone would let 2^63 itself through, as the largest value below it.
-    return F.when((number >= -LONG_BOUND) & (number < LONG_BOUND), number.try_cast("bigint"))
+    return F.when(number < LONG_BOUND, number.try_cast("bigint"))
 
 
 def to_float64(value: Column, source: T.DataType) -> Column:
@@ -76,7 +75,7 @@ def to_float64(value: Column, source: T.DataType) -> Column:
     return nothing(T.DoubleType())
 
 
-def _bare(text: Column, last: str = "") -> Column:
+def _bare(text: Column) -> Column:
     """True where a text begins and ends as a number does.
 
     A cast ignores blanks around a number and takes suffixes like ``d``; the accepted texts
@@ -84,25 +83,18 @@ def _bare(text: Column, last: str = "") -> Column:
     characters a number can begin with, and comparing is much cheaper than a pattern.
     """
     end = F.right(text, F.lit(1))
-    ends_well = end.between("0", "9")
-    for other in last:
-        ends_well = ends_well | (end == other)
-    return (text >= "+") & (text < ":") & ends_well
+    return (text >= "+") & (text < ":") & (end.between("0", "9") | (end == "."))
 
 
 def _parse_float(text: Column) -> Column:
     """Number texts only: no blanks around them, no type suffix, nothing that overflows."""
+    # Kept short on purpose: one wide row of these must stay small enough to be compiled.
     number = text.try_cast("double")
-    in_range = F.when(F.abs(number) < F.lit(float("inf")), number)
-    small = F.length(text) < SAFE_DIGITS
-    for letter in "eExX":
-        small = small & ~text.contains(letter)
-    infinity = F.when(text.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
-    return (
-        F.when(_bare(text, "."), F.when(small, number).otherwise(in_range))
-        .when(text.rlike(INFINITY_TEXT), infinity)
-        .when(text.rlike(NAN_TEXT), F.lit(float("nan")))
-    )
+    may_overflow = F.length(text) > SAFE_DIGITS
+    for letter in "eEpP":
+        may_overflow = may_overflow | text.contains(letter)
+    overflows = may_overflow & (F.abs(number) == F.lit(float("inf")))
+    return F.when((_bare(text) & ~overflows) | text.rlike(SPECIAL_TEXT), number)
 
 
 def to_text(value: Column, source: T.DataType) -> Column:

@@ -15,8 +15,20 @@ RESULT_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# The JVM never compiles a method of more than 8000 bytes of bytecode. Above that size the
+# generated code of a wide projection is interpreted, while Spark's other way of running it
+# (many small methods) is compiled: 3.5 times faster for eleven conformed columns.
+SPEED_SETTINGS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
-def local_session(cores: str = "*", partitions: int = 8) -> SparkSession:
+
+def apply_settings(spark: SparkSession) -> SparkSession:
+    """The settings above on an existing session."""
+    for key, value in {**RESULT_SETTINGS, **SPEED_SETTINGS}.items():
+        spark.conf.set(key, value)
+    return spark
+
+
+def local_session(cores: str = "*", partitions: int = 8, config: dict[str, str] | None = None) -> SparkSession:
     """A session for tests and the benchmark on one machine."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -25,7 +37,7 @@ def local_session(cores: str = "*", partitions: int = 8) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
-    for key, value in RESULT_SETTINGS.items():
+    for key, value in {**RESULT_SETTINGS, **SPEED_SETTINGS, **(config or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
