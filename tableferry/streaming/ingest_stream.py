@@ -92,5 +92,10 @@ def _move_partition(spark: SparkSession, table: str, query: str, batch_id: int)
 
 
 def loaded_rows(spark: SparkSession, table: str) -> DataFrame:
-    """The loaded table without the columns that tell the batches apart."""
+    """The loaded table without the columns that tell the batches apart.
+
+    Batches are written by the query's own session, so this one forgets first what it may
+    remember of the table's files.
+    """
+    spark.catalog.refreshTable(table)
     return spark.table(table).drop(QUERY_COLUMN, BATCH_COLUMN)

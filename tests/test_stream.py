@@ -1,0 +1,113 @@
+"""Stream loads: exactly once, plan fixed by the first batch, restart after a failure."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tableferry import InvalidState, NotFound, TableExists, ingest, ingest_stream, loaded_rows
+from tableferry.operators.ingest import stored_plan
+
+SCHEMA = "id bigint, payload string"
+
+
+@pytest.fixture
+def inbox(spark, tmp_path):
+    """add(rows) puts one more file into the folder that is streamed from."""
+    folder = str(tmp_path / "in")
+
+    def add(rows):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+
+    add.stream = lambda: spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder)
+    add.checkpoint = str(tmp_path / "checkpoint")
+    return add
+
+
+def load(inbox, table, **options):
+    query = ingest_stream(inbox.stream(), table, inbox.checkpoint, **options)
+    query.awaitTermination()
+
+
+def batch(start, text="row"):
+    return [(i, f"{text}-{i}") for i in range(start, start + 100)]
+
+
+def test_every_row_once_over_batches_and_restarts(spark, inbox, table):
+    for start in (0, 100, 200):
+        inbox(batch(start))
+    load(inbox, table)
+    load(inbox, table)
+    inbox(batch(300))
+    load(inbox, table)
+    loaded = loaded_rows(spark, table)
+    assert loaded.columns == ["ID", "PAYLOAD"]
+    assert loaded.agg(F.count("*"), F.countDistinct("ID")).first() == (400, 400)
+    assert spark.table(table).select("LOAD_BATCH").distinct().count() == 4
+
+
+def test_a_later_wide_value_stops_the_load_and_the_plan_stays(spark, inbox, table):
+    inbox(batch(0))
+    load(inbox, table)
+    plan = stored_plan(spark, table)
+    inbox([(900, "w" * 9000)])
+    with pytest.raises(Exception, match="clob_columns"):
+        load(inbox, table)
+    assert loaded_rows(spark, table).count() == 100
+    assert stored_plan(spark, table) == plan and plan.declared["PAYLOAD"] == "VARCHAR2(64)"
+
+
+def test_forced_large_text_takes_the_wide_value(spark, inbox, table):
+    inbox(batch(0))
+    inbox([(900, "w" * 9000)])
+    load(inbox, table, options={"clob_columns": "payload"})
+    assert loaded_rows(spark, table).agg(F.count("*"), F.max(F.length("PAYLOAD"))).first() == (101, 9000)
+
+
+def test_a_batch_that_is_run_again_replaces_itself(spark, inbox, table, monkeypatch):
+    """A failure after a batch was written but before it was noted as done."""
+    inbox(batch(0))
+    load(inbox, table)
+    inbox(batch(100))
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    original = DataFrameWriter.insertInto
+
+    def written_then_lost(self, *args, **kwargs):
+        original(self, *args, **kwargs)
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(DataFrameWriter, "insertInto", written_then_lost)
+    with pytest.raises(Exception, match="driver lost"):
+        load(inbox, table)
+    monkeypatch.undo()
+    load(inbox, table)
+    assert loaded_rows(spark, table).agg(F.count("*"), F.countDistinct("ID")).first() == (200, 200)
+
+
+def test_a_first_batch_that_fails_leaves_nothing_behind(spark, inbox, table, monkeypatch):
+    inbox(batch(0))
+    monkeypatch.setattr("tableferry.streaming.ingest_stream.publish", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(Exception, match="lost"):
+        load(inbox, table)
+    monkeypatch.undo()
+    assert not spark.catalog.tableExists(table)
+    load(inbox, table)
+    assert loaded_rows(spark, table).count() == 100
+
+
+def test_modes(spark, inbox, table, tmp_path):
+    inbox(batch(0))
+    with pytest.raises(NotFound):
+        load(inbox, table, mode="append")
+    ingest(spark.createDataFrame([(1,)], "stale int"), table)
+    with pytest.raises(TableExists):
+        load(inbox, table)
+    with pytest.raises(InvalidState, match="stream"):
+        load(inbox, table, mode="create_append")
+    load(inbox, table, mode="replace")
+    assert loaded_rows(spark, table).count() == 100
+    # A second query adds its own batches next to those of the first.
+    inbox.checkpoint = str(tmp_path / "second")
+    load(inbox, table, mode="append")
+    assert loaded_rows(spark, table).count() == 200
+    with pytest.raises(InvalidState):
+        ingest_stream(spark.range(1), table, inbox.checkpoint)
