@@ -42,7 +42,12 @@ def main() -> None:
     cores = os.environ.get("BENCH_CPUS", "8")
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     spark = local_session(cores, partitions=int(cores))
-    base = f"{shared_folder(spark)}/{new_table(spark, 'bench')}"
+    base = f"{shared_folder(spark)}/ferry_bench_{os.path.basename(sf_dir.rstrip('/'))}"
+    loaded = []
+
+    def load():
+        loaded.append(new_table(spark, "load"))
+        return ingest(lineitem, loaded[-1]).rows
 
     lineitem = read(spark, sf_dir, "lineitem")
     spread = lineitem.repartition(int(cores))
@@ -83,7 +88,7 @@ def main() -> None:
         "bound_join": lambda: len(bound_join(spark, sf_dir).collect()),
         "width_scan_documents": lambda: len(profile_text(read(spark, sf_dir, "documents")).collect()),
         "width_scan_lineitem": lambda: len(profile_text(lineitem).collect()),
-        "load_lineitem": lambda: ingest(lineitem, new_table(spark, "load")).rows,
+        "load_lineitem": load,
         "conform_lineitem": lambda: measure_scan(conform(stored("rendered"), wanted)).rows,
         "update_many_orders": update_many,
         "encode_points": lambda: measure_scan(encode_geometry(stored("points"), "geom")).rows,
@@ -102,6 +107,8 @@ def main() -> None:
         "metric": "total_seconds", "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": seconds, "rows_per_second": rates, "sf": os.path.basename(sf_dir.rstrip("/")), "cpus": int(cores),
     }))
+    for table in loaded:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.stop()
 
 

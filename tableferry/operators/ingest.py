@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import InvalidArgument, InvalidState, NotFound, TableExists
@@ -60,47 +60,47 @@ def ingest(
 
     named = normalise_names(df)
     adding = exists and mode in ("append", "create_append")
-    known = stored_plan(spark, table) if adding else _plan_before(named, options, batch and batch.upper())
-    ready, observed, watch = prepare(named, options, known)
+    known = stored_plan(spark, table) if adding else plan_before(named, options, batch and batch.upper())
+    prepared = prepare(named, options, known)
     if adding:
-        _check_names(spark, table, ready)
-        add_rows(ready, table)
+        _check_names(spark, table, prepared.rows)
+        add_rows(prepared.rows, table)
         plan = known or plan_from_widths(named, {}, options)
     else:
-        stage = stage_name(table)
-        try:
-            ready.write.format("parquet").mode("errorifexists").saveAsTable(stage)
-            plan = known or plan_from_widths(named, watch.widths(observed), options)
-            store_plan(spark, stage, plan, table)
-            publish(spark, stage, table)
-        except Exception:
-            spark.sql(f"DROP TABLE IF EXISTS {identifier(stage)}")
-            raise
-    return IngestResult(table.upper(), observed.get["rows"], plan, watch.rejected(observed))
+        plan = write_new(prepared, table)
+    return IngestResult(table.upper(), prepared.observed.get["rows"], plan, prepared.rejected())
 
 
 @dataclass(frozen=True)
-class _Watch:
-    """Which observed number belongs to which column."""
-
+class Prepared:
+    """Rows ready to be written; what the write observes is read afterwards."""
+
+    named: DataFrame
+    rows: DataFrame
+    options: LoadOptions
+    known: LoadPlan | None
+    observed: Observation
     width_keys: dict[str, str]
     reject_keys: dict[str, str]
 
-    def widths(self, observed: Observation) -> dict[str, int]:
-        return {name: observed.get[key] or 0 for name, key in self.width_keys.items()}
+    def plan(self) -> LoadPlan:
+        if self.known is not None:
+            return self.known
+        widths = {name: self.observed.get[key] or 0 for name, key in self.width_keys.items()}
+        return plan_from_widths(self.named, widths, self.options)
 
-    def rejected(self, observed: Observation) -> dict[str, int]:
-        return {name: observed.get[key] for name, key in self.reject_keys.items()}
+    def rejected(self) -> dict[str, int]:
+        return {name: self.observed.get[key] for name, key in self.reject_keys.items()}
 
 
-def _plan_before(named: DataFrame, options: LoadOptions, batch: str | None) -> LoadPlan | None:
+def plan_before(named: DataFrame, options: LoadOptions, batch: str | None = None) -> LoadPlan | None:
     """The plan if it does not depend on all rows, else None: the write finds the widths."""
     depends = scanned_columns(named.schema, options)
     limited = options.type_scan_limit_bytes == 0 or (batch and options.type_scan_limit_bytes)
     return plan_columns(named, options, batch) if limited or not depends else None
 
 
-def prepare(named: DataFrame, options: LoadOptions, known: LoadPlan | None):
+def prepare(named: DataFrame, options: LoadOptions, known: LoadPlan | None) -> Prepared:
     """Rows as they are written, with an observation of counts and widths attached."""
     geometry = geometry_columns(named.schema)
     rows = to_load_form(named, keep=tuple(geometry))
@@ -112,20 +112,38 @@ def prepare(named: DataFrame, options: LoadOptions, known: LoadPlan | None):
     for name, reason in reasons.items():
         rows = decode_geometry(rows, name, reason=reason)
     texts = [] if known is not None else scanned_columns(named.schema, options)
-    watch = _Watch(
-        {name: f"width{i}" for i, name in enumerate(texts)},
-        {name: f"rejected{i}" for i, name in enumerate(geometry)},
-    )
+    width_keys = {name: f"width{i}" for i, name in enumerate(texts)}
+    reject_keys = {name: f"rejected{i}" for i, name in enumerate(geometry)}
     observed = Observation()
     # Last step before the write, so it runs in the job's result stage, where a task that
     # is repeated is counted once.
     rows = rows.observe(
         observed,
         F.count(F.lit(1)).alias("rows"),
-        *[F.max(F.octet_length(f"`{n}`")).alias(k) for n, k in watch.width_keys.items()],
-        *[F.count_if(F.col(reasons[n]).isNotNull()).alias(k) for n, k in watch.reject_keys.items()],
+        *[F.max(F.octet_length(f"`{n}`")).alias(k) for n, k in width_keys.items()],
+        *[F.count_if(F.col(reasons[n]).isNotNull()).alias(k) for n, k in reject_keys.items()],
     )
-    return rows.drop(*reasons.values()), observed, watch
+    return Prepared(named, rows.drop(*reasons.values()), options, known, observed, width_keys, reject_keys)
+
+
+def write_new(
+    prepared: Prepared, table: str, partitions: dict[str, Column] | None = None,
+    properties: dict[str, str] | None = None,
+) -> LoadPlan:
+    """Write to a staging table, note the plan there, and give it the target's name."""
+    spark, stage = prepared.rows.sparkSession, stage_name(table)
+    partitions = partitions or {}
+    try:
+        writer = prepared.rows.withColumns(partitions).write.format("parquet").mode("errorifexists")
+        (writer.partitionBy(*partitions) if partitions else writer).saveAsTable(stage)
+        plan = prepared.plan()
+        noted = {PLAN_PROPERTY: plan.to_json(), DDL_PROPERTY: render_ddl(plan, table), **(properties or {})}
+        set_property(spark, stage, **noted)
+        publish(spark, stage, table)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {identifier(stage)}")
+        raise
+    return plan
 
 
 def plan_from_widths(named: DataFrame, widths: dict[str, int], options: LoadOptions) -> LoadPlan:
@@ -194,10 +212,6 @@ def _sql_text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def store_plan(spark: SparkSession, stage: str, plan: LoadPlan, table: str) -> None:
-    set_property(spark, stage, **{PLAN_PROPERTY: plan.to_json(), DDL_PROPERTY: render_ddl(plan, table)})
-
-
 def stored_plan(spark: SparkSession, table: str) -> LoadPlan | None:
     text = get_property(spark, table, PLAN_PROPERTY)
     return LoadPlan.from_json(text) if text else None

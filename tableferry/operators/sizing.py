@@ -130,8 +130,9 @@ def plan_frame(
 ) -> DataFrame:
     """The plan as a table: position, name, source_type, width, declared, nullable.
 
-    Rows are looked at only if some text column's type depends on them. With ``batch`` the
-    scan stops after ``type_scan_limit_bytes``.
+    Rows are looked at only if some text column's type depends on them. With ``batch`` only
+    the batches within ``type_scan_limit_bytes`` decide; their totals still take one pass
+    over the table. (A load without limit takes none: its write finds the widths.)
     """
     options = LoadOptions.parse(options)
     columns = scanned_columns(df.schema, options)

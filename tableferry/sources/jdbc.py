@@ -35,9 +35,15 @@ def jdbc_read_options(
     }
 
 
+def custom_schema(schema: T.StructType) -> str:
+    """The read types of a table (see ``table_schema``) as the connector takes them."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString().upper()}" for f in schema)
+
+
 def load_jdbc(
     spark: SparkSession, url: str, query: str, schema: T.StructType | None = None, **options
 ) -> DataFrame:
+    """The result of a remote query, conformed to ``schema`` if one is given."""
     df = spark.read.format("jdbc").options(**jdbc_read_options(url, query, **options)).load()
     return conform(df, schema) if schema is not None else df
 

@@ -14,9 +14,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ..errors import InvalidState, NotFound, TableExists
 from ..operators.conform import normalise_names
 from ..operators.ingest import (
-    get_property, identifier, prepare, publish, set_property, stage_name, store_plan, stored_plan,
+    get_property, identifier, plan_before, prepare, stored_plan, write_new,
 )
-from ..operators.sizing import plan_columns
 from ..plans.options import LoadOptions, check_mode
 
 QUERY_COLUMN, BATCH_COLUMN = "LOAD_QUERY", "LOAD_BATCH"
@@ -57,24 +56,18 @@ def ingest_stream(
             or get_property(session, table, LOADER_PROPERTY) == checkpoint
         )
         # A first batch that failed is planned again from the same rows.
-        plan = stored_plan(session, table) if ours else plan_columns(named, options)
-        ready, _, _ = prepare(named, options, plan)
-        ready = ready.withColumn(QUERY_COLUMN, F.lit(query)).withColumn(
-            BATCH_COLUMN, F.lit(batch_id).cast("bigint")
-        )
+        known = stored_plan(session, table) if ours else plan_before(named, options)
+        prepared = prepare(named, options, known)
+        marks = {QUERY_COLUMN: F.lit(query), BATCH_COLUMN: F.lit(batch_id).cast("bigint")}
         if ours:
             # A setting of this batch's own session: only the batch's partition is replaced.
             session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
             target = session.table(table)
-            ready.select(
+            prepared.rows.withColumns(marks).select(
                 *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in target.schema]
             ).write.mode("overwrite").insertInto(table)
             return
-        stage = stage_name(table)
-        ready.write.partitionBy(QUERY_COLUMN, BATCH_COLUMN).format("parquet").saveAsTable(stage)
-        store_plan(session, stage, plan, table)
-        set_property(session, stage, **{LOADER_PROPERTY: checkpoint})
-        publish(session, stage, table)
+        write_new(prepared, table, marks, {LOADER_PROPERTY: checkpoint})
         _move_partition(session, table, query, batch_id)
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

@@ -85,7 +85,7 @@ def test_a_batch_that_is_run_again_replaces_itself(spark, inbox, table, monkeypa
 
 def test_a_first_batch_that_fails_leaves_nothing_behind(spark, inbox, table, monkeypatch):
     inbox(batch(0))
-    monkeypatch.setattr("tableferry.streaming.ingest_stream.publish", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    monkeypatch.setattr("tableferry.operators.ingest.publish", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
     with pytest.raises(Exception, match="lost"):
         load(inbox, table)
     monkeypatch.undo()
