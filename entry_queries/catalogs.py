@@ -101,5 +101,5 @@ over_inventory("m8_object_tree", tree, """
     FROM (SELECT *, max(CASE WHEN "column" LIKE '%1%' THEN 1 ELSE 0 END) OVER (PARTITION BY catalog, schema, "table") AS has FROM i) j
     WHERE has = 0""")
 over_inventory("m8_table_level", shallow, """
-    SELECT catalog, schema, count(DISTINCT "table") AS n_tables, min("table") AS first_table
+    SELECT catalog, schema, CAST(count(DISTINCT "table") AS INT) AS n_tables, min("table") AS first_table
     FROM i WHERE table_type = 'VIEW' GROUP BY catalog, schema""")

@@ -166,7 +166,7 @@ def flags(spark, sf_dir):
 
 QUERIES["b7_flag"] = (
     flags,
-    f"""SELECT l_orderkey, l_linenumber, {_FLAG_TEXT} IN ('1', 'true', 'TRUE', 'Y') AS txt,
+    f"""SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, {_FLAG_TEXT} IN ('1', 'true', 'TRUE', 'Y') AS txt,
         l_returnflag IN ('1', 'true', 'TRUE', 'Y') AS ret, l_discount <> 0 AS dec, l_linenumber <> 1 AS num,
         CAST(NULL AS BOOLEAN) AS day FROM lineitem""",
 )
@@ -227,7 +227,7 @@ loaded("c2_unsigned", "orders",
 loaded("c3_floats", "embeddings", {"vec_id": "vec_id", "f": "embedding[0]", "d": "double(embedding[1])"},
        "SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS f, CAST(embedding[2] AS DOUBLE) AS d FROM embeddings")
 loaded("c4_flags", "labels", {"doc_id": "doc_id", "good": "quality = 1", "toxic": "if(toxic = 1, true, NULL)"},
-       "SELECT doc_id, CASE WHEN quality = 1 THEN 1 ELSE 0 END AS good, CASE WHEN toxic = 1 THEN 1 END AS toxic FROM labels")
+       "SELECT doc_id, CAST(quality = 1 AS BIGINT) AS good, CASE WHEN toxic = 1 THEN CAST(1 AS BIGINT) END AS toxic FROM labels")
 loaded("c5_text", "conversations", {"conv_id": "conv_id", "turn": "turn", "role": "role", "text": "text"},
        "SELECT conv_id, turn, role, text FROM conversations")
 loaded("c6_bytes", "conversations", {"conv_id": "conv_id", "turn": "turn", "raw": "encode(text, 'UTF-8')"},
@@ -263,7 +263,7 @@ def round_trip(spark, sf_dir):
 
 QUERIES["c_round_trip"] = (
     round_trip,
-    """SELECT CAST(o_orderkey AS VARCHAR) AS id, CASE WHEN o_totalprice > 100000 THEN 1 ELSE 0 END AS flag,
+    """SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_totalprice > 100000 AS BIGINT) AS flag,
        CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS price, o_custkey AS cust, CAST(o_orderkey AS VARCHAR) AS big,
        CAST(o_custkey AS DOUBLE) / 4 AS ratio, date_trunc('day', o_orderdate) AS day,
        nullif(o_orderstatus, 'F') AS status FROM orders""",

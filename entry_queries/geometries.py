@@ -53,7 +53,7 @@ def facts(spark, sf_dir):
 
 QUERIES["e4_facts"] = (
     facts,
-    """SELECT event_id, 2 + event_id % 3 AS dims, event_id % 4 AS lrs, 1 + event_id % 7 AS shape,
+    """SELECT event_id, CAST(2 + event_id % 3 AS INT) AS dims, CAST(event_id % 4 AS INT) AS lrs, CAST(1 + event_id % 7 AS INT) AS shape,
        event_id % 7 = 0 AND event_id % 2 = 0 AS is_point FROM events""",
 )
 
@@ -297,7 +297,7 @@ def arc_lines(spark, sf_dir):
 
 QUERIES["e11_encode_arcs"] = (
     arc_lines,
-    """SELECT p_partkey, arc, 33 AS n, 33 AS last, round(max(p_size * sin(t * sweep / 32)), 6) + 0.0 AS top,
+    """SELECT p_partkey, arc, CAST(33 AS BIGINT) AS n, 33 AS last, round(max(p_size * sin(t * sweep / 32)), 6) + 0.0 AS top,
        round(min(p_size * cos(t * sweep / 32)), 6) + 0.0 AS "left"
        FROM part, (VALUES ('quarter', pi() / 2), ('wide', 3 * pi() / 2)) a(arc, sweep),
             (SELECT unnest(range(33)) AS t) s GROUP BY p_partkey, arc""",

@@ -146,7 +146,7 @@ _HINT = "value is wider than the column chosen from the scanned rows: name the c
 QUERIES["s9_violations"] = (
     too_wide,
     " UNION ALL ".join(
-        f"""SELECT doc_id, '{c.upper()}' AS "column", {_OCTETS(c)} AS width, 4000 AS declared_bytes, '{_HINT}' AS hint
+        f"""SELECT doc_id, '{c.upper()}' AS "column", {_OCTETS(c)} AS width, CAST(4000 AS BIGINT) AS declared_bytes, '{_HINT}' AS hint
             FROM documents WHERE {_OCTETS(c)} > 4000""" for c in TEXTS["documents"]
     ),
 )
@@ -231,7 +231,7 @@ def batch_load(spark, sf_dir):
     )
 
 
-QUERIES["d6_batch_load"] = (batch_load, "SELECT count(*) AS reported, 0 AS empty, count(*) AS stored FROM lineitem")
+QUERIES["d6_batch_load"] = (batch_load, "SELECT count(*) AS reported, CAST(0 AS BIGINT) AS empty, count(*) AS stored FROM lineitem")
 
 
 def stream_load(spark, sf_dir):
@@ -293,14 +293,14 @@ def geometry_load(spark, sf_dir):
     declared = done.plan.declared["GEOM"]
     return spark.table(table).groupBy(F.col("GEOM.gtype").alias("gtype"), F.col("GEOM.srid").alias("srid")).agg(
         F.count("*").alias("n"), F.sum(F.size(F.coalesce("GEOM.ordinates", F.array()))).alias("ordinates")
-    ).select("*", F.lit(done.rejected["GEOM"]).alias("rejected"), F.lit(declared).alias("declared"))
+    ).select("*", F.lit(done.rejected["GEOM"]).cast("bigint").alias("rejected"), F.lit(declared).alias("declared"))
 
 
 _BAD = sum(1 for _, reason in SPOILT if reason)
 QUERIES["d11_geometry_load"] = (
     geometry_load,
     f"""SELECT CASE WHEN vec_id % 8 = 6 THEN 2006 END AS gtype, CASE WHEN vec_id % 8 = 6 THEN 4326 END AS srid, count(*) AS n,
-        sum(CASE WHEN vec_id % 8 = 6 THEN 64 ELSE 0 END) AS ordinates,
+        CAST(sum(CASE WHEN vec_id % 8 = 6 THEN 64 ELSE 0 END) AS BIGINT) AS ordinates,
         (SELECT count(*) FROM embeddings WHERE vec_id % 8 < {_BAD}) AS rejected, 'MDSYS.SDO_GEOMETRY' AS declared
         FROM embeddings GROUP BY 1, 2""",
 )

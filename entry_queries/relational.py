@@ -53,12 +53,12 @@ sql_shape(
 sql_shape("a1_count", *["SELECT count(*) AS n FROM lineitem"] * 2, "lineitem")
 sql_shape(
     "a1_distinct_and_width",
-    *["SELECT count(*) AS n, count(DISTINCT lang) AS langs, max(length(text)) AS longest FROM documents"] * 2,
+    *["SELECT count(*) AS n, count(DISTINCT lang) AS langs, CAST(max(length(text)) AS BIGINT) AS longest FROM documents"] * 2,
     "documents",
 )
 sql_shape(
     "a1_value_lengths",
-    *["SELECT doc_id, length(text) AS chars FROM documents WHERE lang = 'de'"] * 2, "documents",
+    *["SELECT doc_id, CAST(length(text) AS BIGINT) AS chars FROM documents WHERE lang = 'de'"] * 2, "documents",
 )
 sql_shape(
     "a1_time_formats",
