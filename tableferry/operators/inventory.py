@@ -161,11 +161,9 @@ def object_tree(
     elif column:
         # A pattern on columns thins the lists of columns; a table without a match keeps
         # its place, with an empty list.
-        matching = rows.where(like(F.col("column"), column))
-        bare = rows.select("catalog", *keys).distinct().join(
-            matching.select("catalog", *keys).distinct(), ["catalog", *keys], "left_anti"
-        )
-        rows = matching.unionByName(bare, allowMissingColumns=True)
+        matches = like(F.col("column"), column)
+        bare = rows.groupBy("catalog", *keys).agg(F.coalesce(F.max(matches), F.lit(False)).alias("__any")).where("NOT __any")
+        rows = rows.where(matches).unionByName(bare.drop("__any"), allowMissingColumns=True)
 
     slices = rows.groupBy("catalog").agg(F.ceil(F.count("*") / rows_per_slice).cast("bigint").alias("__slices"))
     sliced = rows.join(slices.withColumnRenamed("catalog", "__c"), F.col("catalog").eqNullSafe(F.col("__c")))

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from ..functions.typemaps import is_text
 from ..plans.columns import LoadPlan, plan_rows, scanned_columns
 from ..plans.options import LoadOptions
+from ..session import cut_lineage
 
 DEFAULT_SCAN_LIMIT = 64 << 20
 # Batches summed together before running totals are formed over the sums.
@@ -91,18 +92,20 @@ def scan_window(df: DataFrame, batch: str, limit: int = DEFAULT_SCAN_LIMIT) -> D
     """Per batch: rows, bytes, text widths, bytes before it, and whether it is scanned.
 
     Batches are read in order until ``limit`` bytes have been seen; the last one counts in
-    full. Running totals are formed over blocks of batches first and inside each block
-    after that, so no task holds the list of all batches.
+    full. The table is read once, when this is called: the totals per batch are kept, and
+    running totals are formed over blocks of batches first and inside each block after
+    that, so no task holds the list of all batches.
     """
-    columns = text_columns(df)
+    columns = [c for c in text_columns(df) if c != batch]
     totals = df.groupBy(F.col(batch).cast("bigint").alias("batch")).agg(
         F.count("*").alias("n_rows"),
         F.sum(record_bytes(df.drop(batch).schema)).alias("bytes"),
         *[_width(name) for name in columns],
-    ).withColumn("__block", F.floor(F.col("batch") / BATCHES_PER_BLOCK))
+    )
+    totals = cut_lineage(totals).withColumn("__block", F.call_function("div", F.col("batch"), F.lit(BATCHES_PER_BLOCK)))
     blocks = totals.groupBy("__block").agg(F.sum("bytes").alias("__bytes"))
     preceding = blocks.selectExpr(
-        "__block",
+        "__block AS __of",
         "coalesce(sum(__bytes) OVER (ORDER BY __block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
         " AS __offset",
     )
@@ -112,7 +115,8 @@ def scan_window(df: DataFrame, batch: str, limit: int = DEFAULT_SCAN_LIMIT) -> D
         " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS __inside",
     )
     before = F.col("__offset") + F.col("__inside")
-    return inside.join(preceding, "__block").select(
+    # Rows without a batch number form a batch of their own, before all others.
+    return inside.join(preceding, F.col("__block").eqNullSafe(F.col("__of"))).select(
         "batch", "n_rows", "bytes", *[f"`{c}`" for c in columns],
         before.alias("bytes_before"), (before < limit).alias("scanned"),
     )

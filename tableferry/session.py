@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Only behaviour that results depend on is set here. Sizes (partitions, memory,
 # broadcast threshold) belong to the cluster's own configuration.
@@ -56,3 +56,11 @@ def shared_folder(spark: SparkSession) -> str:
     if spark.sparkContext.master.startswith("local"):
         return tempfile.mkdtemp(prefix="tableferry-")
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tableferry"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared folder, where it outlives executors."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()

@@ -80,6 +80,12 @@ def test_scan_window_over_many_blocks_equals_a_running_sum(spark):
         running += row.bytes
 
 
+def test_scan_window_keeps_rows_without_a_batch(spark):
+    df = spark.createDataFrame([(None, "abc"), (2, "d"), (2, "e"), (-1, "fg")], "batch bigint, s string")
+    rows = [tuple(r) for r in scan_window(df, "batch", 4).orderBy("bytes_before").collect()]
+    assert rows == [(None, 1, 3, 3, 0, True), (-1, 1, 2, 2, 3, True), (2, 2, 2, 1, 5, False)]
+
+
 def test_record_bytes(spark):
     df = spark.sql("""SELECT 1L a, 'é' b, array('xx', NULL) c, map('k', 1) d, named_struct('x', 1D, 'y', 'abc') e,
                       X'0102' f, CAST(NULL AS STRING) g, array(1, 2, 3) h""")
