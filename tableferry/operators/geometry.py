@@ -152,7 +152,7 @@ def explode_rings(df: DataFrame, column: str, keep: list[str] | None = None) ->
     )
     rings = f"CASE WHEN {_FACTS}.single THEN {whole} ELSE filter({_ELEMENTS}, x -> x.etype IN (1003, 2003)) END"
     problem = (
-        f"CASE WHEN {_FACTS}.single THEN NULL WHEN size({_ELEMENTS}) = 0 THEN 'bad_elem_info'"
+        f"CASE WHEN {_FACTS}.single THEN NULL WHEN coalesce(size({geom}.elem_info), 0) < 3 THEN 'bad_elem_info'"
         f" WHEN NOT {_bounds(_ELEMENTS, f'{_FACTS}.count')} THEN 'element_offsets'"
         f" WHEN size(__rings) = 0 THEN 'no_rings' {_ring_problem(dims, '__rings')} END"
     )

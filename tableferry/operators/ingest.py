@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import InvalidArgument, InvalidState, NotFound, TableExists
-from ..plans.columns import LoadPlan, plan_rows, render_ddl, scanned_columns
+from ..functions.geometry import is_geometry_object
+from ..plans.columns import LoadPlan, fixed_limits, plan_rows, render_ddl, scanned_columns
 from ..plans.options import LoadOptions, check_mode
 from .conform import normalise_names, to_load_form
 from .geometry import decode_geometry, geometry_columns
@@ -103,11 +104,11 @@ def plan_before(named: DataFrame, options: LoadOptions, batch: str | None = None
 def prepare(named: DataFrame, options: LoadOptions, known: LoadPlan | None) -> Prepared:
     """Rows as they are written, with an observation of counts and widths attached."""
     geometry = geometry_columns(named.schema)
-    rows = to_load_form(named, keep=tuple(geometry))
+    objects = [f.name for f in named.schema if is_geometry_object(f.dataType)]
+    rows = to_load_form(named, keep=(*geometry, *objects))
     if options.ingest_workers:
         rows = rows.repartition(options.ingest_workers)
-    if known is not None:
-        rows = guarded(rows, known.limits())
+    rows = guarded(rows, fixed_limits(named.schema) if known is None else known.limits())
     reasons = {name: f"__reason{i}" for i, name in enumerate(geometry)}
     for name, reason in reasons.items():
         rows = decode_geometry(rows, name, reason=reason)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.loadform import load_form
 from ..functions.typemaps import is_text
 from ..plans.columns import LoadPlan, plan_rows, scanned_columns
 from ..plans.options import LoadOptions
@@ -178,7 +179,7 @@ def violations(df: DataFrame, plan: LoadPlan, keys: list[str]) -> DataFrame:
     cells = [
         F.struct(
             F.lit(f.name.upper()).alias("column"),
-            F.octet_length(f"`{f.name}`").cast("bigint").alias("width"),
+            F.octet_length(load_form(F.col(f"`{f.name}`"), f.dataType)).cast("bigint").alias("width"),
             F.lit(limits[f.name.upper()]).cast("bigint").alias("declared_bytes"),
         )
         for f in df.schema

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from ..errors import InvalidArgument
 from ..functions.crs import is_geometry_field
 from ..functions.geometry import is_geometry_object
-from ..functions.typemaps import GEOMETRY_DDL, is_text, target_type
+from ..functions.typemaps import FALLBACK_DDL, GEOMETRY_DDL, is_text, target_type
 from .options import STANDARD_LIMIT, LoadOptions
 
 # A text column whose producer announces large values, by its column metadata.
@@ -54,9 +54,8 @@ class LoadPlan:
         return cls(tuple(sorted(columns, key=lambda c: c.position)), options.inline_limit)
 
     def limits(self) -> dict[str, int]:
-        """Declared byte widths of the sized text columns, by name."""
-        return {c.name: c.declared_bytes for c in self.columns
-                if c.declared_bytes is not None and c.source_type == "string"}
+        """Declared byte widths of the columns that are stored as sized text, by name."""
+        return {c.name: c.declared_bytes for c in self.columns if c.declared_bytes is not None}
 
     def to_json(self) -> str:
         return json.dumps({"inline_limit": self.inline_limit, "columns": [asdict(c) for c in self.columns]})
@@ -108,6 +107,16 @@ def scanned_columns(schema: T.StructType, options: LoadOptions) -> list[str]:
     return [f.name for f in schema if is_text(f.dataType) and f.name.upper() not in options.clob_columns]
 
 
+def fixed_limits(schema: T.StructType) -> dict[str, int]:
+    """Byte widths that hold whatever the data: values stored in their text form."""
+    return {
+        name: STANDARD_LIMIT
+        for field, name in zip(schema, upper_names(schema.fieldNames()))
+        if not is_text(field.dataType) and not is_geometry_object(field.dataType)
+        and target_type(field.dataType) == FALLBACK_DDL
+    }
+
+
 def plan_rows(widths: DataFrame, schema: T.StructType, options: LoadOptions) -> DataFrame:
     """One row per column from one row of widths (columns named as in ``schema``)."""
     names = upper_names(schema.fieldNames())

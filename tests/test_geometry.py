@@ -214,6 +214,8 @@ def test_rings_of_objects(spark):
     rows = explode_rings(df, "g").orderBy("id", "ring_no").collect()
     assert [(r.id, r.ring_no, r.outer, r.interp, r.ordinates, r.reason) for r in rows] == [
         (0, 1, True, 1, SQUARE, None), (0, 2, False, 3, [0.0, 0.0, 1.0, 1.0], None), (1, None, None, None, None, "no_rings")]
+    others = objects(spark, shape(2002, [1, 2, 1], [0, 0, 1, 1]), shape(2001, point=(1.0, 2.0, None)), shape(2003, [1, 1003, 1], SQUARE))
+    assert [r.reason for r in explode_rings(others, "g").orderBy("id").collect()] == ["no_rings", "bad_elem_info", None]
     expanded = expand_rectangles(explode_rings(df, "g")).where("interp = 3").first()
     assert expanded.ordinates == [0.0, 0.0, 1.0, 0.0, 1.0, 1.0, 0.0, 1.0, 0.0, 0.0]
 

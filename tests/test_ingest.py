@@ -4,11 +4,13 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tableferry import (
     InvalidArgument, InvalidState, LoadPlan, NotFound, TableExists, crs_metadata, decode_geometry,
-    encode_geometry, ingest, load_parquet,
+    encode_geometry, ingest, load_parquet, violations,
 )
+from tableferry.functions.geometry import GEOMETRY_TYPE
 from tableferry.operators.ingest import DDL_PROPERTY, get_property, stored_plan
 from tableferry.plans.columns import ColumnPlan
 from tableferry.sources.jdbc import jdbc_read_options, jdbc_write_options
@@ -136,6 +138,20 @@ def test_geometry_columns_are_decoded_and_bad_values_counted(spark, table):
     assert encode_geometry(spark.table(table + "_n"), "GEOM").first().GEOM == bytearray(wkb)
 
 
+def test_objects_stay_objects_and_other_types_are_text(spark, table):
+    df = spark.createDataFrame([(1, (2001, 4326, (1.0, 2.0, None), [], []), [1, 2])],
+                               T.StructType().add("id", T.LongType()).add("place", GEOMETRY_TYPE).add("list", T.ArrayType(T.LongType())))
+    result = ingest(df, table)
+    assert result.plan.declared == {"ID": "NUMBER(19)", "PLACE": "MDSYS.SDO_GEOMETRY", "LIST": "VARCHAR2(4000)"}
+    row = spark.table(table).first()
+    assert (row.PLACE.gtype, row.LIST) == (2001, "[1,2]")
+    long = df.select("id", F.sequence(F.lit(1000), F.lit(2000)).alias("list"))
+    assert [(r.column, r.width) for r in violations(long, result.plan, ["id"]).collect()] == [("LIST", 5006)]
+    for mode in ("append", "replace"):
+        with pytest.raises(Exception, match="LIST declared with 4000 bytes"):
+            ingest(long, table, mode)
+
+
 def test_parquet_file_to_table(spark, tiny, table):
     parts = load_parquet(spark, f"{tiny}/part.parquet", where="p_size > 25", columns=["p_partkey", "p_name"])
     result = ingest(parts, table, "replace")
