@@ -42,6 +42,8 @@ def width_row(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 def profile_text(df: DataFrame) -> DataFrame:
     """(column, max_bytes) per text column; a column without values has width 0."""
     columns = text_columns(df)
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column string, max_bytes bigint")
     cells = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("max_bytes")) for c in columns]
     return width_row(df, columns).select(F.inline(F.array(*cells)))
 
@@ -162,6 +164,9 @@ def plan_columns(
 def batch_bind_kind(df: DataFrame, batch: str, limit: int) -> DataFrame:
     """Per batch and text column: whether its values travel as text or as large objects."""
     columns = [c for c in text_columns(df) if c != batch]
+    if not columns:
+        return df.select(F.col(batch).alias("batch"), F.lit("").alias("column"), F.lit(0).cast("bigint").alias("max_bytes"),
+                         F.lit("text").alias("kind")).where("false")
     cells = [
         F.struct(
             F.lit(c).alias("column"), F.col(f"`{c}`").alias("max_bytes"),

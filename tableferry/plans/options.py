@@ -17,7 +17,8 @@ OPTION_NAMES = (
 
 
 def check_mode(mode: str) -> str:
-    name = (mode or "create").lower().removeprefix("adbc.ingest.mode.")
+    """The mode's plain name; a dotted prefix is allowed, as for options."""
+    name = (mode or "create").lower().rsplit(".", 1)[-1]
     if name not in MODES:
         raise InvalidArgument(f"unknown ingest mode: {mode!r} (one of {', '.join(MODES)})")
     return name

@@ -81,6 +81,21 @@ def test_failed_loads_leave_the_target_as_it_was(spark, three, table):
     assert not [n for n in names(spark) if n.startswith(table + "__")]
 
 
+def test_qualified_names(spark, three):
+    spark.sql("CREATE DATABASE IF NOT EXISTS shop")
+    for mode in ("create", "replace", "any.mode.create_append"):
+        assert ingest(three, "shop.Goods", mode).rows == 3
+    assert spark.table("shop.goods").count() == 6
+    assert [t.name for t in spark.catalog.listTables("shop")] == ["goods"]
+    assert ingest(three, "`shop`.`more`").ddl.startswith("CREATE TABLE ")
+
+
+def test_a_table_can_be_replaced_from_itself(spark, three, table):
+    ingest(three, table)
+    assert ingest(spark.table(table).where("ID > 1"), table, "replace").rows == 2
+    assert [r[0] for r in rows(spark, table)] == [2, 3]
+
+
 def test_bad_arguments(spark, three, table):
     with pytest.raises(InvalidArgument):
         ingest(three, table, "upsert")

@@ -88,6 +88,17 @@ def test_many_delete_insert_select(spark, stock):
     assert rows(picked.frame) == sorted([(1, "x", 1, 1, "a"), (1, "x", 1, 1, "b"), (1, "y", 2, 1, "a"), (1, "y", 2, 1, "b")], key=str)
 
 
+def test_many_with_one_key_holding_a_third_of_both_sides(spark):
+    """The hot key meets itself once per row, never as all pairs."""
+    target = spark.range(30000).selectExpr("if(id < 10000, 0, id) AS k", "id AS v")
+    given = spark.range(30000).selectExpr("if(id < 10000, 0, id) AS p", "-id AS w", "id AS seq")
+    updated = run_many(target, given, {"k": "p"}, "update", {"v": "w"}, "seq")
+    assert updated.frame.groupBy().sum("v").first()[0] == 10000 * -9999 - sum(range(10000, 30000))
+    assert updated.affected.first().n == 10000 * 10000 + 20000
+    deleted = run_many(target, given.where("p < 15000"), {"k": "p"}, "delete")
+    assert (deleted.frame.count(), deleted.affected.first().n) == (15000, 15000)
+
+
 def test_many_without_rows_changes_nothing(spark, stock):
     nothing = params(spark, (1, "x", 1)).limit(0)
     for action, extra in (("update", {"assign": {"v": "w"}, "order_by": "seq"}), ("delete", {})):

@@ -47,6 +47,13 @@ def test_width_scan_counts_bytes_and_skips_nulls(spark):
     assert dict(profile_text(df.limit(0)).collect()) == {"s": 0, "t": 0}
 
 
+def test_tables_without_text(spark):
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    assert profile_text(df).count() == 0 and batch_bind_kind(df, "b", 4000).count() == 0
+    assert plan_columns(df).declared == {"A": "NUMBER(19)", "B": "NUMBER(19)"}
+    assert violations(df, plan_columns(df), ["a"]).count() == 0
+
+
 def test_no_scan_without_need(spark):
     """A plan that does not depend on the data must not read it."""
     exploding = spark.range(5).select(F.raise_error(F.lit("read")).cast("string").alias("s"))
