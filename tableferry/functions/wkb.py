@@ -1,12 +1,14 @@
 """The two byte-level steps Spark has no built-in for: WKB bytes to numbers and back.
 
-Each works on a whole Arrow batch at once with NumPy, never value by value: in every
-round all values of the batch advance by one header or ring together. Nothing geometric
-happens here; winding, rectangles, arcs and element rules are Catalyst expressions.
+Each works on a whole Arrow batch at once with NumPy: in every round all values of the
+batch advance by one header or ring together. Only when few values are left, those with
+the most parts, is each walked to its end by itself. Nothing geometric happens here;
+winding, rectangles, arcs and element rules are Catalyst expressions.
 """
 
 from __future__ import annotations
 
+import struct
 import sys
 
 import numpy as np
@@ -27,6 +29,9 @@ DECODE_REASONS = (
     None, "too_short", "bad_byte_order", "unsupported_type", "truncated", "count_exceeds_bytes",
 )
 
+# With fewer values than this, a round over all costs more than walking them one by one.
+FEW = 32
+
 UNPACKED = (
     T.StructType()
     .add("kind", T.IntegerType())
@@ -75,6 +80,39 @@ def _scatter_doubles(data, at, values):
         data[shift:shift + usable].view("<f8")[(at[hit] - shift) // 8] = values[hit]
 
 
+def _walk(data, at, end, point_bytes, big, parts, rings, opening):
+    """The rest of one value: (reason, spans of byte position, points, element, swapped)."""
+    read = {False: struct.Struct("<I").unpack_from, True: struct.Struct(">I").unpack_from}
+    found = []
+    while parts or rings:
+        if rings:
+            shape, element = POLYGON, OUTER_RING if opening else INNER_RING
+            rings, opening = rings - 1, False
+        else:
+            if at + 5 > end:
+                return TRUNCATED, None
+            big = bool(data[at] == 0)
+            shape = read[big](data, at + 1)[0]
+            shape -= 1000 * (shape >= 1000)
+            if not POINT <= shape <= POLYGON:
+                return BAD_TYPE, None
+            element = {POINT: ELEMENT_POINT, LINE: ELEMENT_LINE, POLYGON: None}[shape]
+            at, parts = at + 5, parts - 1
+        points = 1
+        if shape != POINT:
+            if at + 4 > end:
+                return TRUNCATED, None
+            points, at = read[big](data, at)[0], at + 4
+        if element is None:
+            rings, opening = points, True
+            continue
+        if points > (end - at) // point_bytes:
+            return (TRUNCATED if shape == POINT else TOO_MANY), None
+        found.append((at, points, element, big))
+        at += points * point_bytes
+    return 0, found
+
+
 def unpack_batch(values: pa.Array) -> pa.Array:
     """WKB column to (kind, dims, point, element triplets, ordinates, reason)."""
     values = pc.fill_null(values.cast(pa.large_binary()), b"")
@@ -139,7 +177,7 @@ def unpack_batch(values: pa.Array) -> pa.Array:
     parts[multi] = count
 
     live = np.flatnonzero((reason == 0) & (parts + rings > 0))
-    while len(live):
+    while len(live) >= FEW:
         in_ring = rings[live] > 0
         areas, count = read_count(live[in_ring])
         rings[areas] -= 1
@@ -158,6 +196,16 @@ def unpack_batch(values: pa.Array) -> pa.Array:
         read_body(headed[known], shape[known])
         live = live[(reason[live] == 0) & (parts[live] + rings[live] > 0)]
 
+    for row in live:
+        why, found = _walk(
+            data, int(cursor[row]), int(end[row]), int(dims[row]) * 8, bool(big[row]),
+            int(parts[row]), int(rings[row]), bool(opening[row]),
+        )
+        reason[row] = why
+        if not why and found:
+            at, points, element, swapped = (np.array(values, dtype=np.int64) for values in zip(*found))
+            spans.append((np.full(len(at), row), at, points, element, swapped))
+
     row, at, points, element, swapped = (
         np.concatenate([span[i] for span in spans]) if spans else np.zeros(0, dtype=np.int64)
         for i in range(5)

@@ -75,6 +75,19 @@ def test_kernel_reads_what_a_plain_writer_wrote(order):
         assert row["elem_info"][::3] == starts
 
 
+def test_kernel_reads_a_value_alone_as_it_does_among_many():
+    rng = random.Random(9)
+    shapes = [write(k, p, z, rng.choice("<>")) for k, z, p in (random_shape(rng) for _ in range(300))]
+    spoilt = [s[:rng.randint(0, len(s))] for s in shapes] + [
+        s[:i] + bytes([rng.randint(0, 255)]) + s[i + 1:] for s in shapes for i in [rng.randrange(len(s))]]
+    values = shapes + spoilt
+    together = unpack_batch(pa.array(values, pa.binary())).to_pylist()
+    alone = [unpack_batch(pa.array([v], pa.binary())).to_pylist()[0] for v in values]
+    # repr, because a spoilt byte can make a coordinate that is not equal to itself.
+    assert [repr(v) for v in together] == [repr(v) for v in alone]
+    assert {v["reason"] for v in alone} >= {None, "truncated", "too_short", "count_exceeds_bytes", "unsupported_type"}
+
+
 def test_kernel_writes_what_a_plain_writer_writes():
     rng = random.Random(8)
     shapes = [random_shape(rng) for _ in range(500)]
