@@ -46,8 +46,8 @@ def _declared_sql(width, limit):
 
 QUERIES["s3_declared_width"] = (
     lambda spark, sf_dir: read(spark, sf_dir, "documents").select(
-        "doc_id", declared_width(F.octet_length("text"), 4000).alias("standard"),
-        declared_width(F.octet_length("text"), 32767).alias("extended"),
+        "doc_id", declared_width("octet_length(text)", 4000).alias("standard"),
+        declared_width("octet_length(text)", 32767).alias("extended"),
     ),
     f"""SELECT doc_id, {_declared_sql(_OCTETS('text'), 4000)} AS standard,
         {_declared_sql(_OCTETS('text'), 32767)} AS extended FROM documents""",

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..errors import InvalidArgument, InvalidState, NotFound, TableExists
 from ..functions.geometry import is_geometry_object
-from ..plans.columns import LoadPlan, fixed_limits, plan_rows, render_ddl, scanned_columns
+from ..plans.columns import LoadPlan, fixed_limits, plan_rows, render_ddl, scanned_columns, sql_text
 from ..plans.options import LoadOptions, check_mode
 from .conform import normalise_names, to_load_form
 from .geometry import decode_geometry, geometry_columns
@@ -200,7 +200,7 @@ def add_rows(rows: DataFrame, table: str) -> None:
 
 
 def set_property(spark: SparkSession, table: str, **values: str) -> None:
-    texts = ", ".join(f"'{key}' = {_sql_text(value)}" for key, value in values.items())
+    texts = ", ".join(f"'{key}' = {sql_text(value)}" for key, value in values.items())
     spark.sql(f"ALTER TABLE {identifier(table)} SET TBLPROPERTIES ({texts})")
 
 
@@ -209,10 +209,6 @@ def get_property(spark: SparkSession, table: str, name: str) -> str | None:
     return rows[0]["value"] if rows else None
 
 
-def _sql_text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def stored_plan(spark: SparkSession, table: str) -> LoadPlan | None:
     text = get_property(spark, table, PLAN_PROPERTY)
     return LoadPlan.from_json(text) if text else None

@@ -75,29 +75,37 @@ def upper_names(names: list[str]) -> list[str]:
     return upper
 
 
-def declared_width(width: Column, limit: int) -> Column:
+def sql_text(value: str) -> str:
+    """A SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def declared_width_sql(width: str, limit: int) -> str:
     """Declared bytes for an observed maximum: headroom, rounded up, kept inline if it fits."""
-    bucket = F.call_function(
-        "div", F.greatest(width, F.lit(1)) * HEADROOM + SURPLUS + BUCKET - 1, F.lit(BUCKET)
-    ) * BUCKET
-    inline = F.when(width <= STANDARD_LIMIT, F.least(bucket, F.lit(STANDARD_LIMIT))).otherwise(bucket)
-    return F.least(F.greatest(inline, F.lit(BUCKET)), F.lit(limit)).cast("bigint")
+    bucket = f"((greatest({width}, 1) * {HEADROOM} + {SURPLUS + BUCKET - 1}) div {BUCKET} * {BUCKET})"
+    inline = f"CASE WHEN {width} <= {STANDARD_LIMIT} THEN least({bucket}, {STANDARD_LIMIT}) ELSE {bucket} END"
+    return f"CAST(least(greatest({inline}, {BUCKET}), {limit}) AS BIGINT)"
+
+
+def declared_width(width: str, limit: int) -> Column:
+    return F.expr(declared_width_sql(width, limit))
 
 
-def column_type(field: T.StructField, width: Column, options: LoadOptions) -> Column:
-    """Declared type of one column; ``width`` is NULL where nothing was scanned."""
+def column_type_sql(field: T.StructField, width: str | None, options: LoadOptions) -> str:
+    """Declared type of one column as SQL; without a ``width`` nothing was scanned."""
     limit = options.inline_limit
     if is_geometry_field(field) or is_geometry_object(field.dataType):
-        return F.lit(GEOMETRY_DDL)
+        return sql_text(GEOMETRY_DDL)
     if not is_text(field.dataType):
-        return F.lit(target_type(field.dataType))
+        return sql_text(target_type(field.dataType))
     if field.name.upper() in options.clob_columns or options.string_type == "clob":
-        return F.lit("CLOB")
-    if options.string_type == "varchar2":
-        return F.lit(f"VARCHAR2({limit})")
-    unscanned = "CLOB" if (field.metadata or {}).get(LARGE_TEXT_KEY) else f"VARCHAR2({limit})"
-    sized = F.concat(F.lit("VARCHAR2("), declared_width(width, limit).cast("string"), F.lit(")"))
-    return F.when(width.isNull(), unscanned).when(width > limit, "CLOB").otherwise(sized)
+        return "'CLOB'"
+    large = (field.metadata or {}).get(LARGE_TEXT_KEY) and options.string_type != "varchar2"
+    unscanned = "'CLOB'" if large else f"'VARCHAR2({limit})'"
+    if options.string_type == "varchar2" or width is None:
+        return unscanned
+    sized = f"concat('VARCHAR2(', {declared_width_sql(width, limit)}, ')')"
+    return f"CASE WHEN {width} IS NULL THEN {unscanned} WHEN {width} > {limit} THEN 'CLOB' ELSE {sized} END"
 
 
 def scanned_columns(schema: T.StructType, options: LoadOptions) -> list[str]:
@@ -123,20 +131,16 @@ def plan_rows(widths: DataFrame, schema: T.StructType, options: LoadOptions) ->
     present = set(widths.columns)
     cells = []
     for position, (field, name) in enumerate(zip(schema, names), start=1):
-        width = F.col(f"`{field.name}`") if field.name in present else F.lit(None)
-        width = width.cast("bigint")
+        width = f"`{field.name}`" if field.name in present else None
         # '' is stored as NULL by the target, so text is never declared NOT NULL.
         cells.append(
-            F.struct(
-                F.lit(position).alias("position"),
-                F.lit(name).alias("name"),
-                F.lit(field.dataType.simpleString()).alias("source_type"),
-                width.alias("width"),
-                column_type(field, width, options).alias("declared"),
-                F.lit(field.nullable or is_text(field.dataType)).alias("nullable"),
-            )
+            f"named_struct('position', {position}, 'name', {sql_text(name)},"
+            f" 'source_type', {sql_text(field.dataType.simpleString())},"
+            f" 'width', CAST({width or 'NULL'} AS BIGINT),"
+            f" 'declared', {column_type_sql(field, width, options)},"
+            f" 'nullable', {str(field.nullable or is_text(field.dataType)).lower()})"
         )
-    return widths.select(F.inline(F.array(*cells)))
+    return widths.selectExpr(f"inline(array({', '.join(cells)}))")
 
 
 def target_types(schema: T.StructType, options: LoadOptions | dict | None = None) -> list[tuple[str, str]]:

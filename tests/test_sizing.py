@@ -21,7 +21,7 @@ SIZED = (
     (5000, 32767, 10048), (32767, 32767, 32767),
 ])
 def test_declared_width(spark, width, limit, expected):
-    assert spark.range(1).select(declared_width(F.lit(width), limit)).first()[0] == expected
+    assert spark.range(1).select(declared_width(str(width), limit)).first()[0] == expected
 
 
 @pytest.mark.parametrize("widths,options,expected", [

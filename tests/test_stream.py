@@ -111,3 +111,13 @@ def test_modes(spark, inbox, table, tmp_path):
     assert loaded_rows(spark, table).count() == 200
     with pytest.raises(InvalidState):
         ingest_stream(spark.range(1), table, inbox.checkpoint)
+
+
+def test_geometry_arrives_as_objects(spark, tmp_path, table):
+    folder, wkb = str(tmp_path / "shapes"), bytes.fromhex("0101000000000000000000F03F0000000000000040")
+    spark.createDataFrame([(1, bytearray(wkb)), (2, bytearray(b"\x01"))], "id bigint, geom binary").write.parquet(folder)
+    stream = spark.readStream.schema("id bigint, geom binary").parquet(folder)
+    ingest_stream(stream, table, str(tmp_path / "checkpoint")).awaitTermination()
+    stored = {r.ID: r.GEOM for r in loaded_rows(spark, table).collect()}
+    assert stored[2] is None and (stored[1].gtype, stored[1].point.x) == (2001, 1.0)
+    assert stored_plan(spark, table).declared["GEOM"] == "MDSYS.SDO_GEOMETRY"
