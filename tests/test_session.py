@@ -1,18 +1,23 @@
 """Settings, the shared folder, and kept intermediate results."""
 
+from types import SimpleNamespace
+
 from pyspark.sql import functions as F
 
 from tableferry.session import apply_settings, cut_lineage, shared_folder
 
 
-def test_the_named_folder_is_used(spark):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", "/shared/place/")
-    try:
-        assert shared_folder(spark) == "/shared/place"
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before) if before else spark.conf.unset("spark.checkpoint.dir")
-    assert shared_folder(spark)
+def session(master, **settings):
+    conf = SimpleNamespace(get=lambda key, default=None: settings.get(key.replace(".", "_"), default))
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+
+def test_the_shared_folder():
+    named = session("yarn", spark_checkpoint_dir="hdfs:///kept/", spark_sql_warehouse_dir="hdfs:///tables")
+    assert shared_folder(named) == "hdfs:///kept"
+    # A cluster that names none gets a folder next to its tables, never a local one.
+    assert shared_folder(session("yarn", spark_sql_warehouse_dir="hdfs:///tables")) == "hdfs:///tables/_tableferry"
+    assert shared_folder(session("local[2]")).startswith("/tmp")
 
 
 def test_kept_results_are_not_computed_again(spark):
