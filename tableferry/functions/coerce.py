@@ -1,191 +1,178 @@
-"""Loose values to typed columns. Whatever does not fit becomes NULL, never an exception."""
+"""Loose values to typed columns. Whatever does not fit becomes NULL, never an exception.
+
+The rules are SQL texts over a column's name: a table of hundreds of columns is then built
+with one call per column.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The texts that mean true, and the accepted number and time layouts.
 TRUE_TEXTS = ("1", "true", "TRUE", "Y")
-SPECIAL_TEXT = r"(?i)^([+-]?inf(inity)?|nan)$"
-SAFE_DIGITS = 300
-LONG_BOUND = 2.0**63
+SPECIAL_TEXT = "(?i)^([+-]?inf(inity)?|nan)$"
 ZONED_TIME_TEXT = (
-    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
-    r"(T[0-9]{1,2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?| [0-9]{1,2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})? )"
-    r"(Z|[+-]([01][0-9]|2[0-4]):[0-5][0-9])$"
-)
-PLAIN_TIME_TEXT = (
-    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}( [0-9]{1,2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?)?$"
+    "^[0-9]{4}-[0-9]{2}-[0-9]{2}"
+    "(T[0-9]{1,2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,9})?| [0-9]{1,2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,9})? )"
+    "(Z|[+-]([01][0-9]|2[0-4]):[0-5][0-9])$"
 )
-ZONE_SUFFIX = r" ?(Z|[+-][0-9]{2}:[0-9]{2})$"
+PLAIN_TIME_TEXT = "^[0-9]{4}-[0-9]{2}-[0-9]{2}( [0-9]{1,2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,9})?)?$"
+ZONE_SUFFIX = " ?(Z|[+-][0-9]{2}:[0-9]{2})$"
+SPACED_ZONE = " (Z|[+-][0-9]{2}:[0-9]{2})$"
+SAFE_DIGITS = 300
+LONG_BOUND = "9.223372036854775808E18D"
 
 INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 NUMBERS = (*INTEGERS, T.FloatType, T.DoubleType, T.DecimalType)
 
 
-def coerce(value: Column, source: T.DataType, target: T.DataType, zone: str = "UTC") -> Column:
-    """``value`` of type ``source`` as ``target``; NULL where the pair has no conversion."""
+def coerce(value: str, source: T.DataType, target: T.DataType, zone: str = "UTC") -> str:
+    """``value`` (SQL) of type ``source`` as ``target``; NULL where there is no conversion."""
     if isinstance(target, T.LongType):
-        return to_int64(value, source)
-    if isinstance(target, T.DoubleType):
-        return to_float64(value, source)
-    if isinstance(target, T.StringType):
-        return to_text(value, source)
-    if isinstance(target, T.TimestampNTZType):
-        return to_wall_clock(value, source, zone)
-    if isinstance(target, T.TimestampType):
-        return to_instant(value, source)
-    if isinstance(target, T.BinaryType):
-        return value if isinstance(source, T.BinaryType) else nothing(target)
-    if isinstance(target, T.BooleanType):
-        return to_flag(value, source)
-    return nothing(target)
-
-
-def nothing(target: T.DataType) -> Column:
-    return F.lit(None).cast(target)
-
-
-def to_int64(value: Column, source: T.DataType) -> Column:
+        found = to_int64(value, source)
+    elif isinstance(target, T.DoubleType):
+        found = to_float64(value, source)
+    elif isinstance(target, T.StringType):
+        found = to_text(value, source)
+    elif isinstance(target, T.TimestampNTZType):
+        found = to_wall_clock(value, source, zone)
+    elif isinstance(target, T.TimestampType):
+        found = to_instant(value, source)
+    elif isinstance(target, T.BooleanType):
+        found = to_flag(value, source)
+    elif isinstance(target, T.BinaryType) and isinstance(source, T.BinaryType):
+        found = value
+    else:
+        found = None
+    return nothing(target) if found is None else found
+
+
+def nothing(target: T.DataType) -> str:
+    return f"CAST(NULL AS {target.simpleString()})"
+
+
+def to_int64(value: str, source: T.DataType) -> str | None:
     """Integers widen, other numbers lose their fraction, text is read as either."""
     if isinstance(source, INTEGERS):
-        return value.cast("bigint")
+        return f"CAST({value} AS BIGINT)"
     if isinstance(source, T.DecimalType):
-        return value.try_cast("bigint")
+        return f"try_cast({value} AS BIGINT)"
     if isinstance(source, NUMBERS):
-        return _truncated(value.cast("double"))
+        return _truncated(f"CAST({value} AS DOUBLE)")
     if isinstance(source, T.StringType):
-        whole = value.try_cast("bigint")
-        return F.when(_bare(value), F.coalesce(whole, _truncated(value.try_cast("double"))))
-    return nothing(T.LongType())
+        number = _truncated(f"try_cast({value} AS DOUBLE)")
+        return f"CASE WHEN {_bare(value)} THEN coalesce(try_cast({value} AS BIGINT), {number}) END"
+    return None
 
 
-def _truncated(number: Column) -> Column:
+def _truncated(number: str) -> str:
     # The cast alone would let 2^63 itself through, as the largest value below it.
-    return F.when(number < LONG_BOUND, number.try_cast("bigint"))
+    return f"CASE WHEN {number} < {LONG_BOUND} THEN try_cast({number} AS BIGINT) END"
 
 
-def to_float64(value: Column, source: T.DataType) -> Column:
+def to_float64(value: str, source: T.DataType) -> str | None:
+    """Numbers widen; text is read if it is a number and does not overflow."""
     if isinstance(source, NUMBERS):
-        return value.cast("double")
-    if isinstance(source, T.StringType):
-        return _parse_float(value)
-    return nothing(T.DoubleType())
+        return f"CAST({value} AS DOUBLE)"
+    if not isinstance(source, T.StringType):
+        return None
+    # Kept short on purpose: one wide row of these must stay small enough to be compiled.
+    number = f"try_cast({value} AS DOUBLE)"
+    long = " OR ".join([f"length({value}) > {SAFE_DIGITS}"] + [f"contains({value}, '{c}')" for c in "eEpP"])
+    overflows = f"(({long}) AND abs({number}) = double('Infinity'))"
+    return f"CASE WHEN ({_bare(value)} AND NOT {overflows}) OR {value} RLIKE '{SPECIAL_TEXT}' THEN {number} END"
 
 
-def _bare(text: Column) -> Column:
+def _bare(text: str) -> str:
     """True where a text begins and ends as a number does.
 
     A cast ignores blanks around a number and takes suffixes like ``d``; the accepted texts
     have neither. What lies in between, the cast checks itself. ``+`` to ``9`` are the
     characters a number can begin with, and comparing is much cheaper than a pattern.
     """
-    end = F.right(text, F.lit(1))
-    return (text >= "+") & (text < ":") & (end.between("0", "9") | (end == "."))
+    end = f"right({text}, 1)"
+    return f"({text} >= '+' AND {text} < ':' AND ({end} BETWEEN '0' AND '9' OR {end} = '.'))"
 
 
-def _parse_float(text: Column) -> Column:
-    """Number texts only: no blanks around them, no type suffix, nothing that overflows."""
-    # Kept short on purpose: one wide row of these must stay small enough to be compiled.
-    number = text.try_cast("double")
-    may_overflow = F.length(text) > SAFE_DIGITS
-    for letter in "eEpP":
-        may_overflow = may_overflow | text.contains(letter)
-    overflows = may_overflow & (F.abs(number) == F.lit(float("inf")))
-    return F.when((_bare(text) & ~overflows) | text.rlike(SPECIAL_TEXT), number)
-
-
-def to_text(value: Column, source: T.DataType) -> Column:
+def to_text(value: str, source: T.DataType) -> str:
     if isinstance(source, T.StringType):
         return value
-    if isinstance(source, T.BinaryType):
-        # Bytes are taken over as they are; invalid UTF-8 must not stop the job.
-        return value.cast("string")
     if isinstance(source, (T.DoubleType, T.FloatType)):
         return printed_float(value)
     if isinstance(source, T.TimestampNTZType):
-        return F.concat(value.cast("string"), F.lit(" +0000 UTC"))
+        return f"concat(CAST({value} AS STRING), ' +0000 UTC')"
     if isinstance(source, T.TimestampType):
-        wall = F.convert_timezone(None, F.lit("UTC"), value.cast("timestamp_ntz"))
-        return F.concat(wall.cast("string"), F.lit(" +0000 UTC"))
+        wall = f"convert_timezone('UTC', CAST({value} AS TIMESTAMP_NTZ))"
+        return f"concat(CAST({wall} AS STRING), ' +0000 UTC')"
     if isinstance(source, (T.ArrayType, T.MapType, T.StructType)):
-        return F.to_json(value)
-    return value.cast("string")
+        return f"to_json({value})"
+    # Bytes too are taken over as they are; invalid UTF-8 must not stop the job.
+    return f"CAST({value} AS STRING)"
 
 
-def printed_float(value: Column) -> Column:
+def printed_float(value: str) -> str:
     """Shortest text: no trailing ``.0``, exponent only below 1e-4 and from 1e21 on."""
-    text = value.cast("string")
-    sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    plain = F.regexp_replace(text, r"\.0$", "")
-    mantissa = F.regexp_replace(F.regexp_extract(text, r"^-?([0-9.]+)E", 1), r"\.0$", "")
-    digits = F.replace(mantissa, F.lit("."), F.lit(""))
-    exponent = F.regexp_extract(text, r"E(-?[0-9]+)$", 1).try_cast("int")
-    power = F.concat(
-        F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")),
-        F.when(F.abs(exponent) < 10, F.lit("0")).otherwise(F.lit("")),
-        F.abs(exponent).cast("string"),
+    text = f"CAST({value} AS STRING)"
+    sign = f"CASE WHEN {text} LIKE '-%' THEN '-' ELSE '' END"
+    mantissa = f"regexp_replace(regexp_extract({text}, '^-?([0-9.]+)E', 1), '[.]0$', '')"
+    digits = f"replace({mantissa}, '.', '')"
+    exponent = f"try_cast(regexp_extract({text}, 'E(-?[0-9]+)$', 1) AS INT)"
+    power = (
+        f"concat(CASE WHEN {exponent} < 0 THEN 'e-' ELSE 'e+' END,"
+        f" CASE WHEN abs({exponent}) < 10 THEN '0' ELSE '' END, CAST(abs({exponent}) AS STRING))"
     )
-    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
-    whole = F.concat(sign, F.rpad(digits, exponent + 1, "0"))
-    split = F.concat(
-        sign, F.substring(digits, F.lit(1), exponent + 1), F.lit("."),
-        F.substring(digits, exponent + 2, F.length(digits)),
-    )
-    large = F.when(F.length(digits) <= exponent + 1, whole).otherwise(split)
     return (
-        F.when(text == "Infinity", F.lit("+Inf"))
-        .when(text == "-Infinity", F.lit("-Inf"))
-        .when(~text.contains("E"), plain)
-        .when((exponent < -4) | (exponent >= 21), F.concat(sign, mantissa, power))
-        .when(exponent < 0, small)
-        .otherwise(large)
+        f"CASE WHEN {text} = 'Infinity' THEN '+Inf' WHEN {text} = '-Infinity' THEN '-Inf'"
+        f" WHEN NOT contains({text}, 'E') THEN regexp_replace({text}, '[.]0$', '')"
+        f" WHEN {exponent} < -4 OR {exponent} >= 21 THEN concat({sign}, {mantissa}, {power})"
+        f" WHEN {exponent} < 0 THEN concat({sign}, '0.', repeat('0', -{exponent} - 1), {digits})"
+        f" WHEN length({digits}) <= {exponent} + 1 THEN concat({sign}, rpad({digits}, {exponent} + 1, '0'))"
+        f" ELSE concat({sign}, left({digits}, {exponent} + 1), '.', substr({digits}, {exponent} + 2)) END"
     )
 
 
-def to_wall_clock(value: Column, source: T.DataType, zone: str = "UTC") -> Column:
+def to_wall_clock(value: str, source: T.DataType, zone: str = "UTC") -> str | None:
     """Zone-free timestamp: the clock reading is kept, the zone dropped."""
-    target = T.TimestampNTZType()
     if isinstance(source, (T.TimestampNTZType, T.DateType)):
-        return value.cast(target)
+        return f"CAST({value} AS TIMESTAMP_NTZ)"
     if isinstance(source, T.TimestampType):
-        return F.convert_timezone(None, F.lit(zone), value.cast(target))
+        return f"convert_timezone('{zone}', CAST({value} AS TIMESTAMP_NTZ))"
     if isinstance(source, T.StringType):
         # The layout test comes first, so each value is parsed at most once.
-        return F.when(value.rlike(PLAIN_TIME_TEXT), value.try_cast(target)).when(
-            value.rlike(ZONED_TIME_TEXT), F.regexp_replace(value, ZONE_SUFFIX, "").try_cast(target)
+        return (
+            f"CASE WHEN {value} RLIKE '{PLAIN_TIME_TEXT}' THEN try_cast({value} AS TIMESTAMP_NTZ)"
+            f" WHEN {value} RLIKE '{ZONED_TIME_TEXT}'"
+            f" THEN try_cast(regexp_replace({value}, '{ZONE_SUFFIX}', '') AS TIMESTAMP_NTZ) END"
         )
-    return nothing(target)
+    return None
 
 
-def to_instant(value: Column, source: T.DataType) -> Column:
+def to_instant(value: str, source: T.DataType) -> str | None:
     """Timestamp in UTC: the instant is kept; a reading without zone counts as UTC."""
-    target = T.TimestampType()
     if isinstance(source, T.TimestampType):
         return value
     if isinstance(source, (T.TimestampNTZType, T.DateType)):
-        return utc_reading(value.cast(T.TimestampNTZType()))
+        return _utc_reading(f"CAST({value} AS TIMESTAMP_NTZ)")
     if isinstance(source, T.StringType):
-        tight = F.regexp_replace(value, r" (Z|[+-][0-9]{2}:[0-9]{2})$", "$1")
-        return F.when(
-            value.rlike(PLAIN_TIME_TEXT), utc_reading(value.try_cast(T.TimestampNTZType()))
-        ).when(value.rlike(ZONED_TIME_TEXT), tight.try_cast(target))
-    return nothing(target)
+        return (
+            f"CASE WHEN {value} RLIKE '{PLAIN_TIME_TEXT}' THEN {_utc_reading(f'try_cast({value} AS TIMESTAMP_NTZ)')}"
+            f" WHEN {value} RLIKE '{ZONED_TIME_TEXT}'"
+            f" THEN try_cast(regexp_replace({value}, '{SPACED_ZONE}', '$1') AS TIMESTAMP) END"
+        )
+    return None
 
 
-def utc_reading(wall: Column) -> Column:
+def _utc_reading(wall: str) -> str:
     """The instant at which a UTC clock shows ``wall``, whatever the session's zone."""
-    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), wall).cast("timestamp")
+    return f"CAST(convert_timezone('UTC', current_timezone(), {wall}) AS TIMESTAMP)"
 
 
-def to_flag(value: Column, source: T.DataType) -> Column:
+def to_flag(value: str, source: T.DataType) -> str | None:
     """Numbers: not zero. Text: one of the true texts; any other text is false, not NULL."""
     if isinstance(source, T.BooleanType):
         return value
     if isinstance(source, NUMBERS):
-        return value != 0
+        return f"{value} != 0"
     if isinstance(source, T.StringType):
-        return value.isin(*TRUE_TEXTS)
-    return nothing(T.BooleanType())
+        return f"{value} IN ({', '.join(repr(t) for t in TRUE_TEXTS)})"
+    return None

@@ -10,7 +10,7 @@ from ..errors import InvalidArgument
 from ..functions.coerce import coerce, nothing
 from ..functions.loadform import load_form
 from ..functions.typemaps import source_type
-from ..plans.columns import upper_names
+from ..plans.columns import sql_text, upper_names
 
 
 def conform(df: DataFrame, schema: T.StructType, on_error: str = "null", zone: str = "UTC") -> DataFrame:
@@ -28,14 +28,14 @@ def conform(df: DataFrame, schema: T.StructType, on_error: str = "null", zone: s
         if source is None:
             value = nothing(target.dataType)
         else:
-            raw = F.col(f"`{source.name}`")
+            raw = f"`{source.name}`"
             value = coerce(raw, source.dataType, target.dataType, zone)
             if on_error == "fail":
-                message = F.concat(F.lit(f"column {target.name}: no {target.dataType.simpleString()} in "),
-                                   raw.cast("string"))
-                value = F.when(raw.isNotNull() & value.isNull(),
-                               F.raise_error(message).cast(target.dataType)).otherwise(value)
-        columns.append(value.alias(target.name, metadata=target.metadata or {}))
+                kind = target.dataType.simpleString()
+                message = f"concat({sql_text(f'column {target.name}: no {kind} in ')}, CAST({raw} AS STRING))"
+                value = (f"CASE WHEN {raw} IS NOT NULL AND {value} IS NULL"
+                         f" THEN CAST(raise_error({message}) AS {kind}) ELSE {value} END")
+        columns.append(F.expr(value).alias(target.name, metadata=target.metadata or {}))
     return df.select(*columns)
 
 

@@ -87,11 +87,13 @@ class Prepared:
     def plan(self) -> LoadPlan:
         if self.known is not None:
             return self.known
-        widths = {name: self.observed.get[key] or 0 for name, key in self.width_keys.items()}
+        seen = self.observed.get
+        widths = {name: seen[key] or 0 for name, key in self.width_keys.items()}
         return plan_from_widths(self.named, widths, self.options)
 
     def rejected(self) -> dict[str, int]:
-        return {name: self.observed.get[key] for name, key in self.reject_keys.items()}
+        seen = self.observed.get
+        return {name: seen[key] for name, key in self.reject_keys.items()}
 
 
 def plan_before(named: DataFrame, options: LoadOptions, batch: str | None = None) -> LoadPlan | None:

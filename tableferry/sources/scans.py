@@ -37,7 +37,7 @@ def preview(df: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:
     first = df.limit(n)
     return first.select(
         *[
-            F.coalesce(to_text(F.col(f"`{f.name}`"), f.dataType), F.lit("NULL")).alias(f.name)
+            F.coalesce(F.expr(to_text(f"`{f.name}`", f.dataType)), F.lit("NULL")).alias(f.name)
             for f in df.schema
         ]
     )
