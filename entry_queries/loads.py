@@ -1,6 +1,5 @@
 """S and D rows: text sizing, column plans, and loads in every mode."""
 
-
 from pyspark.sql import functions as F
 
 from tableferry import (
@@ -153,7 +152,7 @@ QUERIES["s9_violations"] = (
 
 
 def too_wide_for_window(spark, sf_dir):
-    """Planned on the first source only, checked on everything: what later rows break."""
+    """Planned on the first turns only, checked on everything: what later turns break."""
     batched = read(spark, sf_dir, "conversations")
     plan = plan_columns(batched, {"type_scan_limit_bytes": 1, "max_string_size": "extended"}, batch="turn")
     return violations(batched, plan, ["conv_id", "turn"])

@@ -54,10 +54,6 @@ def shape(geom: Column) -> Column:
     return geom["gtype"] % 100
 
 
-def array_length(array: Column) -> Column:
-    return F.coalesce(F.size(array), F.lit(0))
-
-
 def is_point(geom: Column) -> Column:
     """A point held in the point fields, both arrays empty."""
     empty = (filled(geom["elem_info"]) == 0) & (filled(geom["ordinates"]) == 0)
@@ -199,10 +195,6 @@ def oriented(ring: str, dims: int | str, outer: str) -> Column:
     return F.expr(oriented_sql(_quoted(ring), str(dims), outer))
 
 
-def ring_area(ring: str, dims: int | str = 2) -> Column:
-    return F.expr(f"{ring_area_sql(_quoted(ring), str(dims))} / 2")
-
-
 def rectangle(corners: str, dims: int | str = 2) -> Column:
     """NULL unless there are exactly two corners."""
     name = _quoted(corners)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableferry import (
-    InvalidArgument, InvalidState, LoadPlan, NotFound, TableExists, crs_metadata, decode_geometry,
+    InvalidArgument, InvalidState, LoadPlan, NotFound, TableExists, crs_metadata,
     encode_geometry, ingest, load_parquet, violations,
 )
 from tableferry.functions.geometry import GEOMETRY_TYPE
