@@ -8,8 +8,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tableferry.llm.chat import collapse_and_render
 from tableferry.llm.common import read
+from tableferry.llm.packing import pack
 from tableferry.llm.quality_rules import quality_rules
+from tableferry.llm.url_rules import url_rules
 
 
 def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +20,67 @@ def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0").select("doc_id")
 
 
+# The rules of the query's contract: host, path, verdict.
+URL_RULES = (
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+)
+
+SQL_OP2 = """
+WITH rules(host, path, verdict) AS (
+    VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+parts AS (
+    SELECT page_id,
+        translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path,
+        row_number() OVER () AS n
+    FROM pages),
+fits AS (
+    SELECT n, arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(verdict, length(r.host || r.path)) AS verdict
+    FROM parts p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+    GROUP BY n)
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, coalesce(verdict, 'allow') AS verdict
+FROM parts LEFT JOIN fits USING (n)
+"""
+
+SQL_OP6 = r"""
+WITH turns AS (SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+    SELECT conv_id, count(*) AS n_turns, list({'role': role, 'text': text} ORDER BY turn, role, text) AS body,
+        string_agg('<|im_start|>' || role || chr(10) || replace(replace(text, '<|im_start|>', '<\|im_start|>'), '<|im_end|>', '<\|im_end|>')
+            || '<|im_end|>' || chr(10), '' ORDER BY turn, role, text) AS text
+    FROM turns GROUP BY conv_id),
+prefixes AS (SELECT DISTINCT body[:k] AS body FROM (SELECT body, unnest(range(1, n_turns)) AS k FROM convs)),
+firsts AS (SELECT min(conv_id) AS conv_id, count(*) AS n_copies FROM convs GROUP BY body)
+SELECT conv_id, 0 AS part, n_turns, n_copies, text
+FROM firsts JOIN convs USING (conv_id) WHERE NOT EXISTS (SELECT 1 FROM prefixes WHERE prefixes.body = convs.body)
+"""
+
+
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_rules(read(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "url_rule.*")
+
+
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collapse_and_render(read(spark, sf_dir, "conversations"))
+
+
+def tokenizer_definition(name: str = "byte_bpe_50k.json") -> str:
+    """The text of an installed vocabulary; read here once and sent to the tasks."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        return file.read()
+
+
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(read(spark, sf_dir, "documents"), tokenizer_definition())
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = quality_rules(read(spark, sf_dir, "documents").select("doc_id", "text"), trusted_ids(spark, sf_dir))
     return marked.select("doc_id", "rules.n_words", "rules.word_chars", "rules.n_symbols", "rules.n_dup_lines",
@@ -24,5 +88,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_url_rules": (op2, SQL_OP2),
+    "op6_chat_format": (op6, SQL_OP6),
+    "op7_packing": (op7, None),
     "op10_quality_rules": (op10, None),
 }
