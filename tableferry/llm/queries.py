@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tableferry.llm.chat import collapse_and_render
 from tableferry.llm.common import read
+from tableferry.llm.decontaminate import decontaminate
 from tableferry.llm.packing import pack
 from tableferry.llm.quality_rules import quality_rules
 from tableferry.llm.url_rules import url_rules
@@ -68,6 +69,39 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collapse_and_render(read(spark, sf_dir, "conversations"))
 
 
+SQL_OP5 = """
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x{00}-\\x{2F}\\x{3A}-\\x{60}\\x{7B}-\\x{7F}]+') AS w
+    FROM documents),
+i AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x{00}-\\x{2F}\\x{3A}-\\x{60}\\x{7B}-\\x{7F}]+') AS w
+    FROM benchmark),
+windows AS (
+    SELECT DISTINCT item_id, least(13, len(w)) AS size, array_to_string(w[p:p + least(13, len(w)) - 1], ' ') AS body
+    FROM i, unnest(range(1, greatest(1, len(w) - 12) + 1)) AS t(p) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT size FROM windows),
+places AS (
+    SELECT doc_id, p, size, array_to_string(w[p:p + size - 1], ' ') AS body
+    FROM d, sizes, unnest(range(1, len(w) - size + 2)) AS t(p) WHERE len(w) >= size),
+hits AS (SELECT doc_id, p, size, item_id FROM places JOIN windows USING (size, body)),
+words AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM hits, unnest(range(p, p + size)) AS t(q) GROUP BY doc_id),
+items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
+    hit = F.aggregate("overlap.spans", F.lit(0).cast("bigint"), lambda n, x: n + x["end"] - x["start"])
+    return found.select("doc_id", "overlap.n_words", hit.alias("n_hit"), F.size("overlap.items").cast("bigint").alias("n_items"),
+                        F.sha2(F.array_join("overlap.items", ","), 256).alias("items_sha256")).withColumn(
+        "contaminated", F.expr("n_hit > 0 AND 20 * n_hit >= n_words"))
+
+
 def tokenizer_definition(name: str = "byte_bpe_50k.json") -> str:
     """The text of an installed vocabulary; read here once and sent to the tasks."""
     import public_tokenizers
@@ -89,6 +123,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_url_rules": (op2, SQL_OP2),
+    "op5_decontamination": (op5, SQL_OP5),
     "op6_chat_format": (op6, SQL_OP6),
     "op7_packing": (op7, None),
     "op10_quality_rules": (op10, None),
