@@ -5,13 +5,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableferry.llm.chat import collapse_and_render
 from tableferry.llm.common import read
 from tableferry.llm.decontaminate import decontaminate
 from tableferry.llm.packing import pack
+from tableferry.llm.pii import KINDS, find_pii
 from tableferry.llm.quality_rules import quality_rules
 from tableferry.llm.url_rules import url_rules
 
@@ -115,6 +116,24 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def spans_text(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def in_order(spans: Column, kinds: tuple[str, ...]) -> Column:
+    """Spans by start, then by the place of their kind in ``kinds``."""
+    place = lambda s: F.array_position(F.array(*map(F.lit, kinds)), s["kind"])
+    rows = F.sort_array(F.transform(spans, lambda s: F.struct(s["start"], place(s), s["end"], s.alias("span"))))
+    return F.transform(rows, lambda x: x["span"])
+
+
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = lambda kind: F.size(F.filter("pii.base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, KINDS), F.sha2(spans_text(F.col("pii.base")), 256).alias("base_sha256"),
+                        spans_text(in_order(F.concat("pii.base", "pii.added"), KINDS)).alias("spans"))
+
+
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = quality_rules(read(spark, sf_dir, "documents").select("doc_id", "text"), trusted_ids(spark, sf_dir))
     return marked.select("doc_id", "rules.n_words", "rules.word_chars", "rules.n_symbols", "rules.n_dup_lines",
@@ -126,5 +145,6 @@ QUERIES = {
     "op5_decontamination": (op5, SQL_OP5),
     "op6_chat_format": (op6, SQL_OP6),
     "op7_packing": (op7, None),
+    "op8_pii": (op8, None),
     "op10_quality_rules": (op10, None),
 }
