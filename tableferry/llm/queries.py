@@ -14,6 +14,8 @@ from tableferry.llm.decontaminate import decontaminate
 from tableferry.llm.packing import pack
 from tableferry.llm.pii import KINDS, find_pii
 from tableferry.llm.quality_rules import quality_rules
+from tableferry.llm.secret_scan import KINDS as SECRET_KINDS
+from tableferry.llm.secret_scan import find_secrets, labelled_samples, train
 from tableferry.llm.url_rules import url_rules
 
 
@@ -70,6 +72,14 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collapse_and_render(read(spark, sf_dir, "conversations"))
 
 
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_secrets(documents, train(labelled_samples(documents)))
+    count = lambda kind: F.size(F.filter("secrets.base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, SECRET_KINDS[:3]), F.sha2(spans_text(F.col("secrets.base")), 256).alias("base_sha256"),
+                        spans_text(in_order(F.concat("secrets.base", "secrets.added"), SECRET_KINDS)).alias("spans"))
+
+
 SQL_OP5 = """
 WITH d AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x{00}-\\x{2F}\\x{3A}-\\x{60}\\x{7B}-\\x{7F}]+') AS w
@@ -142,6 +152,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_url_rules": (op2, SQL_OP2),
+    "op4_secret_scan": (op4, None),
     "op5_decontamination": (op5, SQL_OP5),
     "op6_chat_format": (op6, SQL_OP6),
     "op7_packing": (op7, None),
