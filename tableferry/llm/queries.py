@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tableferry.llm.chat import collapse_and_render
 from tableferry.llm.common import read
+from tableferry.llm.compression_quality import compression_quality, fit
 from tableferry.llm.decontaminate import decontaminate
 from tableferry.llm.packing import pack
 from tableferry.llm.pii import KINDS, find_pii
@@ -72,6 +73,17 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collapse_and_render(read(spark, sf_dir, "conversations"))
 
 
+def crc_of_id(divisor: int) -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(divisor))
+
+
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit(documents, read(spark, sf_dir, "labels").where(crc_of_id(3) != 1))
+    scored = compression_quality(documents, model)
+    return scored.select("doc_id", (crc_of_id(3) == 1).alias("held_out"), "quality_score.score", "quality_score.predicted")
+
+
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = find_secrets(documents, train(labelled_samples(documents)))
@@ -152,6 +164,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_url_rules": (op2, SQL_OP2),
+    "op3_compression_quality": (op3, None),
     "op4_secret_scan": (op4, None),
     "op5_decontamination": (op5, SQL_OP5),
     "op6_chat_format": (op6, SQL_OP6),
