@@ -12,6 +12,7 @@ from tableferry.llm.chat import collapse_and_render
 from tableferry.llm.common import read
 from tableferry.llm.compression_quality import compression_quality, fit
 from tableferry.llm.decontaminate import decontaminate
+from tableferry.llm.ngram_join import ngram_join
 from tableferry.llm.packing import pack
 from tableferry.llm.pii import KINDS, find_pii
 from tableferry.llm.quality_rules import quality_rules
@@ -156,6 +157,30 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
                         spans_text(in_order(F.concat("pii.base", "pii.added"), KINDS)).alias("spans"))
 
 
+SQL_OP9 = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \t-\r]+') AS w
+    FROM documents),
+sets AS (
+    SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS shingle
+    FROM d, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS t(p) WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+    FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (
+    SELECT x, y FROM shared JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+    WHERE 100 * shared.n >= 75 * (a.n + b.n - shared.n)),
+reach(x, y) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM d LEFT JOIN sizes USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) USING (doc_id)
+"""
+
+
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = quality_rules(read(spark, sf_dir, "documents").select("doc_id", "text"), trusted_ids(spark, sf_dir))
     return marked.select("doc_id", "rules.n_words", "rules.word_chars", "rules.n_symbols", "rules.n_dup_lines",
@@ -170,5 +195,6 @@ QUERIES = {
     "op6_chat_format": (op6, SQL_OP6),
     "op7_packing": (op7, None),
     "op8_pii": (op8, None),
+    "op9_ngram_join": (op9, SQL_OP9),
     "op10_quality_rules": (op10, None),
 }
