@@ -10,8 +10,9 @@ sequence's worth of padding is left per group of ends.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import chain
+import base64
+import sys
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -25,55 +26,56 @@ GROUP = 4096
 #: Cost of a piece of n tokens: n * LINEAR + n * n. The linear part of a transformer layer is
 #: about as costly as attention to this many tokens.
 LINEAR = 4096
-#: Characters of text that are tokenised at once, and words that are remembered.
-SLICE_CHARS = 4_000_000
-MEMORY = 400_000
+#: Parts of texts that a task remembers.
+MEMORY = 600_000
 
 
 class TokenBytes:
     """Texts to token ids as little-endian 32-bit bytes, word by word.
 
-    A space between two other characters always starts a new unit of the byte-level
-    vocabulary, so the parts in between are tokenised once and remembered. A text with any
-    other use of spaces next to white space is tokenised whole.
+    In the pattern of a byte-level vocabulary, a space or line break between two other
+    characters always starts a new unit, so the parts in between are tokenised once and
+    remembered. A text with white space next to white space is tokenised whole.
     """
 
-    def __init__(self, definition: str, end: int):
-        from tokenizers import Tokenizer
+    def __init__(self, ranks: str, pattern: str, end: int):
+        import tiktoken
 
-        self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        pairs = map(str.split, ranks.splitlines())
+        self.encode = tiktoken.Encoding(
+            "own", pat_str=pattern, mergeable_ranks={base64.b64decode(a): int(b) for a, b in pairs}, special_tokens={}).encode_ordinary
         self.end = int(end).to_bytes(4, "little")
+        #: A part without its leading space, or with its leading line break: its ids.
         self.known: dict[str, bytes | None] = {}
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        return [np.array(x.ids, "<u4").tobytes() for x in encode(texts, add_special_tokens=False)]
-
-    def _learn(self, parts: set[str]) -> None:
-        if len(self.known) > MEMORY:
-            self.known.clear()
-        # "\\0" marks the first part of a text, which has no space before it.
-        plain = [p for p in parts if not (p[1:2].isspace() or p[-1:].isspace() or len(p) == 1)]
-        self.known.update(dict.fromkeys(parts))
-        texts = [p[1:] if p[0] == "\0" else p for p in plain]
-        self.known.update(zip(plain, self._ids(texts), strict=True))
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [[f"\0{first}", *(f" {p}" for p in rest)] for first, *rest in (t.split(" ") for t in texts)]
-        unknown = set(chain.from_iterable(split)).difference(self.known)
-        if unknown:
-            size = len(self.known)
-            self._learn(unknown)
-            if size > MEMORY:
-                self._learn(set(chain.from_iterable(split)).difference(self.known))
-        known, found = self.known, []
-        for text, parts in zip(texts, split, strict=True):
-            try:
-                found.append(b"".join([known[p] for p in parts]) + self.end)
-            except TypeError:  # a part that cannot stand alone
-                found.append((self._ids([text])[0] if text else b"") + self.end)
-        return found
+    def ids(self, text: str) -> bytes:
+        found = array("I", self.encode(text))
+        if sys.byteorder == "big":
+            found.byteswap()
+        return found.tobytes()
+
+    def learn(self, parts: list[str]) -> None:
+        known = self.known
+        if len(known) > MEMORY:
+            known.clear()
+        for p in parts:
+            if p not in known:
+                if p[:1] == "\n":
+                    known[p] = None if len(p) == 1 or p[1].isspace() or p[-1].isspace() else self.ids(p)
+                else:
+                    known[p] = None if not p or p[0].isspace() or p[-1].isspace() else self.ids(f" {p}")
+
+    def __call__(self, text: str) -> bytes:
+        first, *parts = text.replace("\n", " \n").split(" ")
+        known = self.known
+        try:
+            found = [known[p] for p in parts]
+        except KeyError:
+            self.learn(parts)
+            found = [known[p] for p in parts]
+        if not first or first[-1].isspace() or None in found:
+            return self.ids(text) + self.end
+        return self.ids(first) + b"".join(found) + self.end
 
 
 def deal(lengths: np.ndarray, length: int = LENGTH, linear: float = LINEAR) -> list[tuple[int, int, int, int]]:
@@ -100,36 +102,23 @@ def deal(lengths: np.ndarray, length: int = LENGTH, linear: float = LINEAR) -> l
     return pieces
 
 
-def _slices(batch: pa.RecordBatch, chars: int) -> Iterator[tuple[list, list[str]]]:
-    ids, texts, size = [], [], 0
-    for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-        ids.append(key)
-        texts.append(text.as_py() or "")
-        size += len(texts[-1])
-        if size >= chars:
-            yield ids, texts
-            ids, texts, size = [], [], 0
-    if ids:
-        yield ids, texts
-
-
-def pack(documents: DataFrame, tokenizer: str, *, id_column: str = "doc_id", text: str = "text", end: int = 0,
+def pack(documents: DataFrame, ranks: str, pattern: str, *, id_column: str = "doc_id", text: str = "text", end: int = 0,
          length: int = LENGTH, group: int = GROUP, linear: float = LINEAR) -> DataFrame:
     """One row per piece of a document; together the pieces of a sequence fill it.
 
-    ``tokenizer`` is the definition (JSON text) of a byte-level vocabulary whose pre-tokens take
-    at most one leading space; ``end`` follows every document. Columns: the id, ``start`` (its
+    ``ranks`` (lines of a base64 token and its id) and ``pattern`` define a byte-level vocabulary
+    whose units take at most one leading space; ``end`` follows every document. Columns: the id, ``start`` (its
     document's ids before the piece), ``length``, ``doc_tokens``, ``sequence_id``, ``offset`` (in
     the sequence, without gaps from 0) and ``ids``, as little-endian unsigned 32-bit numbers.
 
     Every row of ``documents`` is packed, repeated ones too and whatever its id; a null text is
     empty and gives the end token alone. Other columns are ignored. An empty table gives none.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(tokenizer)  # one vocabulary, a few MB
+    shared = documents.sparkSession.sparkContext.broadcast((ranks, pattern))  # one vocabulary, under 1 MB
     fields = documents.select(F.col(id_column).alias("doc_id")).schema.fields
 
     def pack_task(batches):
-        tokens, task = TokenBytes(shared.value, end), TaskContext.get().partitionId() << 40
+        tokens, task = TokenBytes(*shared.value, end), TaskContext.get().partitionId() << 40
         sequence, ends, out = 0, [], []
 
         def row(key, start, size, total, at, offset, ids):
@@ -155,19 +144,19 @@ def pack(documents: DataFrame, tokenizer: str, *, id_column: str = "doc_id", tex
         kind = None
         for batch in batches:
             kind = batch.schema.field(0).type
-            for keys, texts in _slices(batch, SLICE_CHARS):
-                for key, ids in zip(keys, tokens(texts), strict=True):
-                    total = len(ids) // 4
-                    whole = total - total % length
-                    for start in range(0, whole, length):
-                        row(key, start, length, total, sequence, 0, ids[4 * start: 4 * (start + length)])
-                        sequence += 1
-                    if total > whole:
-                        ends.append((key, whole, total, ids[4 * whole:]))
-                    if len(ends) >= group:
-                        flush()
-                    if len(out) >= 8192:
-                        yield table()
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                ids = tokens(text.as_py() or "")
+                total = len(ids) // 4
+                whole = total - total % length
+                for start in range(0, whole, length):
+                    row(key, start, length, total, sequence, 0, ids[4 * start: 4 * (start + length)])
+                    sequence += 1
+                if total > whole:
+                    ends.append((key, whole, total, ids[4 * whole:]))
+                if len(ends) >= group:
+                    flush()
+                if len(out) >= 8192:
+                    yield table()
         if ends:
             flush()
         if out:

@@ -126,16 +126,19 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         "contaminated", F.expr("n_hit > 0 AND 20 * n_hit >= n_words"))
 
 
-def tokenizer_definition(name: str = "byte_bpe_50k.json") -> str:
-    """The text of an installed vocabulary; read here once and sent to the tasks."""
+def vocabulary(name: str = "byte_bpe_50k.tiktoken") -> tuple[str, str]:
+    """Ranks and pattern of an installed vocabulary; read here once and sent to the tasks.
+
+    It is the vocabulary of ``byte_bpe_50k.json`` and gives the same ids.
+    """
     import public_tokenizers
 
-    with open(public_tokenizers.path(name), encoding="utf-8") as file:
-        return file.read()
+    with open(public_tokenizers.path(name), encoding="ascii") as file:
+        return file.read(), public_tokenizers.PATTERN
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = pack(read(spark, sf_dir, "documents"), tokenizer_definition())
+    pieces = pack(read(spark, sf_dir, "documents"), *vocabulary())
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
