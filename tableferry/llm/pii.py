@@ -273,3 +273,21 @@ def mask(text: str, spans: list[Span]) -> str:
         elif b > at:  # the rest of an overlapping span goes too
             at = b
     return "".join([*out, text[at:]])
+
+
+def mask_pii(documents: DataFrame, *, text: str = "text") -> DataFrame:
+    """``documents`` with every span of ``text``, base or added, replaced by its kind.
+
+    Rows, columns and nulls stay as they are; a text without spans is not changed.
+    """
+    at = documents.columns.index(text)
+
+    def replace(batches):
+        for batch in batches:
+            texts = []
+            for value in batch.column(at).to_pylist():
+                base, extra = all_spans(value or "")
+                texts.append(mask(value, base + extra) if base or extra else value)
+            yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+
+    return documents.mapInArrow(replace, documents.schema)

@@ -13,6 +13,7 @@ from tableferry.llm.common import read
 from tableferry.llm.compression_quality import compression_quality, fit
 from tableferry.llm.decontaminate import decontaminate
 from tableferry.llm.ngram_join import ngram_join
+from tableferry.llm.ngram_lm import score_texts
 from tableferry.llm.packing import pack
 from tableferry.llm.pii import KINDS, find_pii
 from tableferry.llm.quality_rules import quality_rules
@@ -65,6 +66,11 @@ FROM firsts JOIN convs USING (conv_id) WHERE NOT EXISTS (SELECT 1 FROM prefixes
 """
 
 
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_texts(read(spark, sf_dir, "documents"), crc_of_id(10) != 0)
+    return scored.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_rules(read(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "url_rule.*")
@@ -118,12 +124,20 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def n_hit(overlap: str) -> Column:
+    """Words inside benchmark windows."""
+    return F.aggregate(f"{overlap}.spans", F.lit(0).cast("bigint"), lambda n, x: n + x["end"] - x["start"])
+
+
+def is_contaminated(overlap: str) -> Column:
+    """At least a twentieth of the words, and one, are inside benchmark windows."""
+    return (n_hit(overlap) > 0) & (20 * n_hit(overlap) >= F.col(f"{overlap}.n_words"))
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
-    hit = F.aggregate("overlap.spans", F.lit(0).cast("bigint"), lambda n, x: n + x["end"] - x["start"])
-    return found.select("doc_id", "overlap.n_words", hit.alias("n_hit"), F.size("overlap.items").cast("bigint").alias("n_items"),
-                        F.sha2(F.array_join("overlap.items", ","), 256).alias("items_sha256")).withColumn(
-        "contaminated", F.expr("n_hit > 0 AND 20 * n_hit >= n_words"))
+    return found.select("doc_id", "overlap.n_words", n_hit("overlap").alias("n_hit"), F.size("overlap.items").cast("bigint").alias("n_items"),
+                        F.sha2(F.array_join("overlap.items", ","), 256).alias("items_sha256"), is_contaminated("overlap").alias("contaminated"))
 
 
 def vocabulary(name: str = "byte_bpe_50k.tiktoken") -> tuple[str, str]:
@@ -191,6 +205,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm_scoring": (op1, None),
     "op2_url_rules": (op2, SQL_OP2),
     "op3_compression_quality": (op3, None),
     "op4_secret_scan": (op4, None),
