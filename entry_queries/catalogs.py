@@ -72,24 +72,16 @@ QUERIES["m7_like"] = (
 
 def tree(inventory):
     """The tree opened up again, so that every leaf can be compared."""
-    nested = object_tree(inventory, "columns", schema="BRAND%", column="%1%", rows_per_slice=500)
-    tables = nested.select("catalog", F.explode("schemas").alias("s")).select(
-        "catalog", F.col("s.schema").alias("schema"), F.explode("s.tables").alias("t")
-    )
-    return tables.select(
-        "catalog", "schema", F.col("t.table").alias("table"), F.col("t.table_type").alias("table_type"),
-        F.explode_outer("t.columns").alias("c"),
-    ).select(
+    nested = object_tree(inventory, "columns", schema="BRAND%", column="%1%")
+    return nested.select("catalog", "schema", "table", "table_type", F.explode_outer("columns").alias("c")).select(
         "catalog", "schema", "table", "table_type", F.col("c.position").alias("position"),
         F.col("c.column").alias("column"), F.col("c.nullability").alias("nullability"),
     )
 
 
 def shallow(inventory):
-    return object_tree(inventory, "tables", kinds=["VIEW"]).select("catalog", F.explode("schemas").alias("s")).select(
-        "catalog", F.col("s.schema").alias("schema"), F.size("s.tables").alias("n_tables"),
-        F.element_at("s.tables", 1)["table"].alias("first_table"),
-    )
+    views = object_tree(inventory, "tables", kinds=["VIEW"])
+    return views.groupBy("catalog", "schema").agg(F.count("*").cast("int").alias("n_tables"), F.min("table").alias("first_table"))
 
 
 over_inventory("m8_object_tree", tree, """

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tableferry import (
-    batch_bind_kind, ddl_frame, ingest, ingest_stream, load_parquet,
+    InvalidArgument, batch_bind_kind, ddl_frame, ingest, ingest_stream, load_parquet,
     loaded_rows, normalise_names, plan_columns, plan_frame, profile_text, record_bytes,
     scan_window, violations,
 )
@@ -152,16 +152,16 @@ QUERIES["s9_violations"] = (
 
 
 def too_wide_for_window(spark, sf_dir):
-    """Planned on the first turns only, checked on everything: what later turns break."""
-    batched = read(spark, sf_dir, "conversations")
-    plan = plan_columns(batched, {"type_scan_limit_bytes": 1, "max_string_size": "extended"}, batch="turn")
-    return violations(batched, plan, ["conv_id", "turn"])
+    """Planned on what users say, checked on everything: what the other roles' turns break."""
+    turns = read(spark, sf_dir, "conversations")
+    plan = plan_columns(turns.where("role = 'user'"), {"max_string_size": "extended"})
+    return violations(turns, plan, ["conv_id", "turn"])
 
 
 QUERIES["s9_window_violations"] = (
     too_wide_for_window,
     f"""WITH w AS (SELECT max({_OCTETS('text')}) AS text, max({_OCTETS('role')}) AS role FROM conversations
-                   WHERE turn = (SELECT min(turn) FROM conversations)),
+                   WHERE role = 'user'),
         d AS (SELECT {_declared_sql('text', 32767)} AS text_limit, {_declared_sql('role', 32767)} AS role_limit FROM w)
         SELECT conv_id, turn, 'TEXT' AS "column", {_OCTETS('text')} AS width, text_limit AS declared_bytes, '{_HINT}' AS hint
         FROM conversations, d WHERE {_OCTETS('text')} > text_limit
@@ -213,6 +213,94 @@ def create_append(spark, sf_dir):
 
 
 QUERIES["d1_create"] = (create, _ORDERS_SQL)
+
+
+def created_decimals(spark, sf_dir):
+    """Decimals are stored as decimals: numbers compare and sort as numbers."""
+    table = new_table(spark, "d1d")
+    rows = read(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "CAST(l_extendedprice AS DECIMAL(18,2)) AS price", "CAST(l_discount / 1000000 AS DECIMAL(12,7)) AS small")
+    plan = ingest(rows, table).plan
+    stored = spark.table(table)
+    kinds = F.lit(f"{stored.schema['PRICE'].dataType.simpleString()} {plan.declared['SMALL']}").alias("kinds")
+    return stored.groupBy("L_LINENUMBER").agg(
+        F.max("PRICE").cast("double").alias("highest"), F.min("SMALL").cast("double").alias("least"), F.sum("PRICE").cast("double").alias("total"),
+    ).select("*", kinds)
+
+
+QUERIES["d1_decimals"] = (
+    created_decimals,
+    """SELECT l_linenumber AS "L_LINENUMBER", CAST(max(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS highest,
+        CAST(min(CAST(l_discount / 1000000 AS DECIMAL(12,7))) AS DOUBLE) AS least,
+        CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total, 'decimal(18,2) NUMBER(12,7)' AS kinds
+        FROM lineitem GROUP BY l_linenumber""",
+)
+
+
+def append_widened(spark, sf_dir):
+    """The second part has wider texts than the plan allows, until the options say otherwise."""
+    table, documents = new_table(spark, "d2w"), read(spark, sf_dir, "documents").select("doc_id", "text")
+    ingest(documents.where("octet_length(text) <= 500"), table)
+    refused = 0
+    try:
+        ingest(documents.where("octet_length(text) > 500"), table, "append")
+    except Exception as error:
+        refused = int("clob_columns" in str(error))
+    done = ingest(documents.where("octet_length(text) > 500"), table, "append", {"clob_columns": "text"})
+    return spark.table(table).select("DOC_ID", F.octet_length("TEXT").alias("bytes"), F.lit(refused).alias("refused"),
+                                     F.lit(done.plan.declared["TEXT"]).alias("declared"))
+
+
+QUERIES["d2_append_widened"] = (
+    append_widened,
+    f"SELECT doc_id AS \"DOC_ID\", {_OCTETS('text')} AS bytes, 1 AS refused, 'CLOB' AS declared FROM documents",
+)
+
+
+def wide_lists(spark, sf_dir):
+    """Vectors whose text form is longer than any inline text."""
+    table = new_table(spark, "d6l")
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", F.flatten(F.array_repeat("embedding", 12)).alias("numbers"))
+    plan = ingest(rows, table).plan
+    return spark.table(table).select("VEC_ID", F.size(F.from_json("NUMBERS", "array<double>")).alias("n"),
+                                     (F.octet_length("NUMBERS") > 4000).alias("long"), F.lit(plan.declared["NUMBERS"]).alias("declared"))
+
+
+QUERIES["d6_wide_lists"] = (
+    wide_lists, "SELECT vec_id AS \"VEC_ID\", 12 * len(embedding) AS n, true AS long, 'CLOB' AS declared FROM embeddings",
+)
+
+
+def unknown_modes(spark, sf_dir):
+    """Every refusal, and the target as it was."""
+    table, orders = new_table(spark, "d5"), read(spark, sf_dir, "orders")
+    ingest(orders, table)
+    refused = []
+    for mode in ("upsert", "overwrite", "create append", "bulk.merge"):
+        try:
+            ingest(orders, table, mode)
+        except InvalidArgument:
+            refused.append(mode)
+    return spark.table(table).agg(F.count("*").alias("n")).select(F.explode(F.array(*map(F.lit, refused))).alias("mode"), "n")
+
+
+QUERIES["d5_unknown_modes"] = (
+    unknown_modes,
+    "SELECT unnest(['upsert', 'overwrite', 'create append', 'bulk.merge']) AS mode, (SELECT count(*) FROM orders) AS n",
+)
+
+
+def committed_rows(spark, sf_dir):
+    """Rows reported by a load are rows stored, in every file that a task committed."""
+    table = new_table(spark, "d9")
+    reported = ingest(read(spark, sf_dir, "lineitem"), table, options={"ingest_workers": 3}).rows
+    by_file = spark.table(table).groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("n"))
+    return by_file.agg(F.sum("n").alias("stored"), F.count("*").alias("tasks")).select(
+        F.lit(reported).cast("bigint").alias("reported"), "stored", "tasks")
+
+
+QUERIES["d9_committed_rows"] = (
+    committed_rows, "SELECT count(*) AS reported, CAST(count(*) AS BIGINT) AS stored, 3 AS tasks FROM lineitem")
 QUERIES["d2_append"] = (
     append,
     _ORDERS_SQL.replace("o_orderpriority AS", "CASE WHEN o_totalprice < 100000 THEN o_orderpriority END AS"),
@@ -252,6 +340,30 @@ QUERIES["d7_stream_load"] = (
 )
 
 
+def stream_widened(spark, sf_dir):
+    """A batch with a wide value stops the stream; started again with the option, all rows are there once."""
+    table = new_table(spark, "d7w")
+    folder, checkpoint = f"{shared_folder(spark)}/{table}_in", f"{shared_folder(spark)}/{table}"
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+
+    def arrive(condition):
+        documents.where(condition).write.mode("append").parquet(folder)
+        return spark.readStream.schema(documents.schema).parquet(folder)
+
+    ingest_stream(arrive("octet_length(text) <= 500"), table, checkpoint).awaitTermination()
+    stopped, arriving = 0, arrive("octet_length(text) > 500")
+    try:
+        ingest_stream(arriving, table, checkpoint).awaitTermination()
+    except Exception as error:
+        stopped = int("clob_columns" in str(error))
+    ingest_stream(arriving, table, checkpoint, options={"clob_columns": "text"}).awaitTermination()
+    return loaded_rows(spark, table).select("DOC_ID", F.octet_length("TEXT").alias("bytes"), F.lit(stopped).alias("stopped"))
+
+
+QUERIES["d7_stream_widened"] = (
+    stream_widened, f"SELECT doc_id AS \"DOC_ID\", {_OCTETS('text')} AS bytes, 1 AS stopped FROM documents")
+
+
 def fan_out(spark, sf_dir):
     result = None
     for workers in (1, 4):

@@ -150,6 +150,33 @@ QUERIES["a4_many_delete"] = (
 )
 
 
+def many_update_nulls(spark, sf_dir):
+    """Some order keys are missing: such a row comes before all others, and counts if it is alone."""
+    changes = read(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").selectExpr(
+        "l_orderkey", "CAST(l_linenumber AS STRING) AS new_customer", "CASE WHEN l_linenumber % 2 = 1 THEN l_linenumber END AS seq")
+    return run_many(read(spark, sf_dir, "orders"), changes, {"o_orderkey": "l_orderkey"}, "update",
+                    assign={"o_custkey": "new_customer"}, order_by="seq").frame.select("o_orderkey", "o_custkey")
+
+
+QUERIES["a4_many_update_nulls"] = (
+    many_update_nulls,
+    """
+    WITH last AS (
+        SELECT l_orderkey, l_linenumber, row_number() OVER (
+            PARTITION BY l_orderkey ORDER BY CASE WHEN l_linenumber % 2 = 1 THEN l_linenumber END DESC NULLS LAST,
+            CAST(l_linenumber AS BIGINT) DESC) AS r
+        FROM lineitem WHERE l_returnflag = 'R')
+    SELECT o_orderkey, CASE WHEN r = 1 THEN l_linenumber ELSE o_custkey END AS o_custkey
+    FROM orders LEFT JOIN last ON o_orderkey = l_orderkey AND r = 1
+    """,
+)
+QUERIES["a4_many_delete_self"] = (
+    lambda spark, sf_dir: (lambda orders: run_many(orders, orders.where("o_totalprice > 200000"), ["o_custkey"], "delete").frame)(
+        read(spark, sf_dir, "orders")),
+    "SELECT * FROM orders WHERE o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 200000)",
+)
+
+
 def many_insert(spark, sf_dir):
     rows = read(spark, sf_dir, "customer").select(
         (F.lit(10_000_000) + F.col("c_custkey")).alias("key"), F.col("c_custkey").alias("cust"), "c_acctbal"
@@ -207,6 +234,26 @@ QUERIES["a5_statements"] = (
 )
 
 
+def partition_overwrite(spark, sf_dir):
+    """One partition of a table is replaced; the count is of the rows written, not of the table."""
+    views(spark, sf_dir, "orders")
+    table = new_table(spark, "a5p")
+    run_update(spark, f"CREATE TABLE {table} (k BIGINT, status STRING) USING parquet PARTITIONED BY (status)")
+    whole = run_update(spark, f"INSERT INTO {table} SELECT o_orderkey, o_orderstatus FROM orders")
+    part = run_update(spark, f"INSERT OVERWRITE {table} PARTITION (status = 'F') SELECT o_orderkey FROM orders WHERE o_totalprice > :1", [100000])
+    return spark.table(table).groupBy("status").agg(F.count("*").alias("n")).select(
+        "status", "n", F.lit(whole).cast("bigint").alias("whole"), F.lit(part).cast("bigint").alias("part"))
+
+
+QUERIES["a5_partition_overwrite"] = (
+    partition_overwrite,
+    """SELECT status, count(*) AS n, (SELECT count(*) FROM orders) AS whole,
+        (SELECT count(*) FROM orders WHERE o_totalprice > 100000) AS part
+        FROM (SELECT o_orderstatus AS status FROM orders WHERE o_orderstatus <> 'F'
+              UNION ALL SELECT 'F' FROM orders WHERE o_totalprice > 100000) q GROUP BY status""",
+)
+
+
 def geometry_scan(spark, sf_dir):
     scanned = scan_geometry(event_points(spark, sf_dir).select("event_id", "geom"))
     tag = scanned.schema["geom"].metadata

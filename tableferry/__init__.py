@@ -23,4 +23,4 @@ from .plans.options import LoadOptions
 from .session import apply_settings
 from .sources.jdbc import load_jdbc, write_jdbc
 from .sources.scans import ScanReport, load_parquet, measure_scan, preview, scan_geometry
-from .streaming.ingest_stream import ingest_stream, loaded_rows
+from .streaming.ingest_stream import ingest_stream, loaded_rows, rejected_rows

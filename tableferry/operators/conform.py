@@ -10,7 +10,7 @@ from ..errors import InvalidArgument
 from ..functions.coerce import coerce, nothing
 from ..functions.loadform import load_form
 from ..functions.typemaps import source_type
-from ..plans.columns import sql_text, upper_names
+from ..plans.columns import quote, sql_text, upper_names
 
 
 def conform(df: DataFrame, schema: T.StructType, on_error: str = "null", zone: str = "UTC") -> DataFrame:
@@ -21,14 +21,17 @@ def conform(df: DataFrame, schema: T.StructType, on_error: str = "null", zone: s
     """
     if on_error not in ("null", "fail"):
         raise InvalidArgument(f"on_error must be null or fail, got {on_error!r}")
-    sources = {field.name.lower(): field for field in df.schema}
+    sources = {}
+    for field in df.schema:
+        if sources.setdefault(field.name.lower(), field) is not field:
+            raise InvalidArgument(f"source columns {sources[field.name.lower()].name} and {field.name} differ in case only")
     columns = []
     for target in schema:
         source = sources.get(target.name.lower())
         if source is None:
             value = nothing(target.dataType)
         else:
-            raw = f"`{source.name}`"
+            raw = quote(source.name)
             value = coerce(raw, source.dataType, target.dataType, zone)
             if on_error == "fail":
                 kind = target.dataType.simpleString()
@@ -43,7 +46,7 @@ def to_load_form(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Every column in the form a load sends; columns in ``keep`` are passed on untouched."""
     return df.select(
         *[
-            (F.col(f"`{f.name}`") if f.name in keep else load_form(F.col(f"`{f.name}`"), f.dataType)).alias(
+            (F.col(quote(f.name)) if f.name in keep else load_form(F.col(quote(f.name)), f.dataType)).alias(
                 f.name, metadata=f.metadata or {}
             )
             for f in df.schema
@@ -53,7 +56,7 @@ def to_load_form(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 def normalise_names(df: DataFrame) -> DataFrame:
     return df.select(
-        *[F.col(f"`{old}`").alias(new) for old, new in zip(df.columns, upper_names(df.columns))]
+        *[F.col(quote(old)).alias(new) for old, new in zip(df.columns, upper_names(df.columns))]
     )
 
 
@@ -92,8 +95,8 @@ def read_back(df: DataFrame, plan_columns_types: dict[str, str]) -> DataFrame:
     stored = to_load_form(df)
     blanked = stored.select(
         *[
-            (F.nullif(F.col(f"`{f.name}`"), F.lit("")) if isinstance(f.dataType, T.StringType)
-             else F.col(f"`{f.name}`")).alias(f.name)
+            (F.nullif(F.col(quote(f.name)), F.lit("")) if isinstance(f.dataType, T.StringType)
+             else F.col(quote(f.name))).alias(f.name)
             for f in stored.schema
         ]
     )

@@ -21,9 +21,6 @@ TABLE_TYPES = ("TABLE", "VIEW", "MATERIALIZED VIEW", "SYNONYM")
 LISTED_TYPES = ("TABLE", "VIEW")
 NULLABLE, NO_NULLS, UNKNOWN = "nullable", "no nulls", "unknown"
 DEPTHS = ("catalogs", "schemas", "tables", "columns")
-# Limits on what one row of the tree may hold.
-ROWS_PER_SLICE = 200_000
-COLUMNS_PER_CHUNK = 1_000
 
 INVENTORY = T.StructType.fromJson(
     {
@@ -135,57 +132,33 @@ def table_schema(inventory: DataFrame, schema: str, table: str, strict_reference
 def object_tree(
     inventory: DataFrame, depth: str = "columns", catalog: str | None = None, schema: str | None = None,
     table: str | None = None, column: str | None = None, kinds: list[str] | None = None,
-    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
-    """Catalogs with their schemas, tables and columns nested, cut off at ``depth``.
+    """One row per node at ``depth``, with the nodes above it: catalog, schema, table, table_type.
 
-    One row per catalog, as long as it has at most ``rows_per_slice`` columns in all. A
-    larger catalog is spread over several rows, numbered by ``slice``, that together hold
-    the whole tree; so no task ever builds an unbounded row. One shuffle serves all levels.
+    At depth ``columns`` a table's row holds the list of its columns, in order. The shape is
+    the same at every size, and no row holds more than one table. A pattern on columns thins
+    the lists; a table without a match keeps its place, with an empty list. One shuffle.
     """
     if depth not in DEPTHS:
         raise InvalidArgument(f"depth must be one of {', '.join(DEPTHS)}, got {depth!r}")
     level = DEPTHS.index(depth)
     rows = _filtered(inventory, catalog=catalog)
-    if level == 0:
-        return rows.select("catalog").distinct().withColumn("slice", F.lit(0).cast("bigint"))
-    rows = _filtered(rows, schema=schema)
+    if level >= 1:
+        rows = _filtered(rows, schema=schema)
     if level >= 2:
         rows = _filtered(rows, table=table)
         if kinds:
             rows = rows.where(F.col("table_type").isin(*kinds))
-    keys = ["schema"] if level == 1 else ["schema", "table", "table_type"]
+    keys = (["catalog"], ["catalog", "schema"])[level] if level < 2 else ["catalog", "schema", "table", "table_type"]
     if level < 3:
-        rows = rows.select("catalog", *keys).distinct()
-
-    elif column:
-        # A pattern on columns thins the lists of columns; a table without a match keeps
-        # its place, with an empty list.
-        matches = like(F.col("column"), column)
-        bare = rows.groupBy("catalog", *keys).agg(F.coalesce(F.max(matches), F.lit(False)).alias("__any")).where("NOT __any")
-        rows = rows.where(matches).unionByName(bare.drop("__any"), allowMissingColumns=True)
-
-    slices = rows.groupBy("catalog").agg(F.ceil(F.count("*") / rows_per_slice).cast("bigint").alias("__slices"))
-    sliced = rows.join(slices.withColumnRenamed("catalog", "__c"), F.col("catalog").eqNullSafe(F.col("__c")))
-    chunk = [F.coalesce(F.floor(F.col("position") / COLUMNS_PER_CHUNK), F.lit(0))] if level == 3 else []
-    spread = F.pmod(F.xxhash64(*keys, *chunk), F.col("__slices")).alias("slice")
-    nodes = sliced.select(*[c for c in rows.columns], spread).repartition("catalog", "slice")
-
-    if level == 3:
-        described = F.struct(
-            "position", "column", F.col("data_type").alias("type_name"),
-            nullability(F.col("nullable")).alias("nullability"), F.col("precision").alias("column_size"),
-            F.col("scale").alias("decimal_digits"), F.col("default").alias("column_default"),
-        )
-        nodes = nodes.groupBy("catalog", "slice", "schema", "table", "table_type").agg(
-            F.sort_array(F.collect_list(F.when(F.col("column").isNotNull(), described))).alias("columns")
-        )
-    if level >= 2:
-        node = ["table", "table_type"] + (["columns"] if level == 3 else [])
-        nodes = nodes.groupBy("catalog", "slice", "schema").agg(
-            F.sort_array(F.collect_list(F.struct(*node))).alias("tables")
-        )
-    node = ["schema"] + (["tables"] if level >= 2 else [])
-    return nodes.groupBy("catalog", "slice").agg(
-        F.sort_array(F.collect_list(F.struct(*node))).alias("schemas")
+        return rows.select(*keys).distinct()
+    described = F.struct(
+        "position", "column", F.col("data_type").alias("type_name"),
+        nullability(F.col("nullable")).alias("nullability"), F.col("precision").alias("column_size"),
+        F.col("scale").alias("decimal_digits"), F.col("default").alias("column_default"),
     )
+    wanted = F.col("column").isNotNull()
+    if column is not None:
+        wanted = wanted & like(F.col("column"), column)
+    # Collecting skips nulls, so tables without a match are kept in the same pass.
+    return rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.when(wanted, described))).alias("columns"))

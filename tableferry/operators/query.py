@@ -5,21 +5,25 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import re
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import InvalidArgument, InvalidState
+from ..plans.columns import quote
 from .conform import conform
 
 # Places where ":1" is not a parameter come first and are left as they are.
 _PLACEHOLDER = re.compile(
     r"'(?:[^'\\]|\\.|'')*'|\"[^\"]*\"|`[^`]*`|--[^\n]*|/\*.*?\*/|::|:(\d+)\b", re.DOTALL
 )
+# Everything of an INSERT before its query: texts and bracketed lists are skipped as a whole.
 _INSERT = re.compile(
-    r"^\s*INSERT\s+(INTO|OVERWRITE)\s+(?:TABLE\s+)?((?:`[^`]+`|[\w$]+)(?:\.(?:`[^`]+`|[\w$]+))*)", re.IGNORECASE
+    r"^\s*INSERT\s+(?:INTO|OVERWRITE)\s+(?:'(?:[^'\\]|\\.)*'|\((?:[^()']|'(?:[^'\\]|\\.)*')*\)|`[^`]+`|(?!\b(?:SELECT|WITH|VALUES|FROM|TABLE\s+\S+\s*;?\s*$)\b)[^('`])+?"
+    r"(?=\b(?:SELECT|WITH|VALUES|FROM)\b)", re.IGNORECASE | re.DOTALL
 )
 ROWS_UNKNOWN = -1
 MAX_LONG = 2**63 - 1
@@ -57,7 +61,7 @@ def bind_value(value) -> Column:
 def bind_form(params: DataFrame) -> DataFrame:
     """A parameter table with every column in the type it is bound as."""
     def bound(field: T.StructField) -> Column:
-        value, kind = F.col(f"`{field.name}`"), field.dataType
+        value, kind = F.col(quote(field.name)), field.dataType
         if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
             return value.cast("bigint")
         if isinstance(kind, (T.FloatType, T.DoubleType)):
@@ -99,18 +103,28 @@ def run_query(
 
 
 def run_update(spark: SparkSession, sql: str, params=None) -> int:
-    """Runs a statement; rows affected, where an INSERT lets Spark tell, else 0 or -1."""
+    """Runs a statement and returns the rows affected.
+
+    The rows of an INSERT are counted while it writes them, whatever it writes to (a table, one
+    partition, a folder) and whoever else writes there. Statements about tables as a whole
+    return 0. What Spark does not tell is -1.
+    """
     if not sql or not sql.strip():
         raise InvalidState("no query set")
-    insert = _INSERT.match(sql)
-    into = insert and insert.group(1).upper() == "INTO"
-    before = spark.table(insert.group(2)).count() if into else 0
-    args = _arguments(params)
-    spark.sql(numbered_to_named(sql), args=args) if args else spark.sql(sql)
-    if insert:
-        # Counting a table of files reads their footers only.
-        return spark.table(insert.group(2)).count() - before
-    return 0 if re.match(r"^\s*(CREATE|DROP|ALTER|TRUNCATE)\b", sql, re.IGNORECASE) else ROWS_UNKNOWN
+    args, text = _arguments(params), numbered_to_named(sql)
+    insert = _INSERT.match(text)
+    if insert is None:
+        spark.sql(text, args=args) if args else spark.sql(text)
+        return 0 if re.match(r"^\s*(CREATE|DROP|ALTER|TRUNCATE)\b", text, re.IGNORECASE) else ROWS_UNKNOWN
+    source = text[insert.end():]
+    rows = spark.sql(source, args=args) if args else spark.sql(source)
+    counted, view = Observation(), f"insert_{uuid.uuid4().hex}"
+    rows.observe(counted, F.count(F.lit(1)).alias("rows")).createTempView(view)
+    try:
+        spark.sql(f"{insert.group(0)} SELECT * FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
+    return counted.get["rows"]
 
 
 @dataclass(frozen=True)
@@ -135,7 +149,9 @@ def run_many(
     ``on`` maps target columns to parameter columns; ``where`` adds a condition over both
     (select and delete). ``assign`` maps target to parameter columns for update and
     insert. Where several parameter rows update one target row, the last by ``order_by``
-    wins, as it would if they ran one after the other.
+    wins, as it would if they ran one after the other: a null comes before all others, and of
+    equal ones the row with the largest new values is the last, nulls being the smallest. New values take
+    the target's types. Parameters may come from the target itself.
 
     Neither side is forced into memory: Spark broadcasts a side only below its own size
     threshold, and splits a hot key at run time otherwise.
@@ -167,43 +183,56 @@ def run_many(
         if order_by is None:
             raise InvalidArgument("an update needs order_by to tell which parameter row is last")
         # One row per key, combined before the shuffle, so the join never multiplies rows.
-        values = F.struct(*[F.col(p).alias(t) for t, p in assign.items()])
-        last = params.groupBy(*[F.col(p).alias(k) for p, k in renamed.items()]).agg(
-            F.max_by(values, F.col(order_by)).alias("__new"), F.count("*").alias("__times")
-        )
-        match = _all_equal(target, last, keys, renamed)
-        joined = target.join(last, match, "left")
-        frame = joined.select(
-            *[
-                F.when(F.col("__times").isNotNull(), F.col("__new")[c]).otherwise(target[c]).alias(c)
-                if c in assign else target[c]
-                for c in target.columns
-            ]
-        )
-        counted = target.select(*keys).join(last.drop("__new"), match, "inner")
+        values = F.struct(*[
+            F.col(quote(p)).cast(target.schema[t].dataType).alias(f"v{i}") for i, (t, p) in enumerate(assign.items())])
+        order = F.col(quote(order_by))
+        chosen = params.select(*[F.col(quote(p)).alias(k) for p, k in renamed.items()],
+                               F.struct(order.isNotNull(), order, values.alias("new")).alias("__row"))
+        last = chosen.groupBy(*renamed.values()).agg(F.max("__row").alias("__last"), F.count("*").alias("__times"))
+        joined = _plain(target).join(last, _all_equal(target, keys, renamed), "left")
+        place = {t: f"v{i}" for i, t in enumerate(assign)}
+        frame = joined.select(*[
+            F.when(F.col("__times").isNotNull(), F.col("__last.new")[place[c]]).otherwise(F.col(_own(c))).alias(c)
+            if c in assign else F.col(_own(c)).alias(c)
+            for c in target.columns
+        ])
+        # The count leaves out the new values, and reads the keys of the target only.
+        times = params.groupBy(*[F.col(quote(p)).alias(k) for p, k in renamed.items()]).agg(F.count("*").alias("__times"))
+        counted = _plain(target.select(*map(quote, keys))).join(times, _all_equal(target, keys, renamed), "inner")
         return ManyResult(frame, counted.agg(F.coalesce(F.sum("__times"), F.lit(0)).alias("n")))
 
     clash = set(target.columns) & set(params.columns) - set(renamed)
     if where and clash:
         raise InvalidArgument(f"columns on both sides: {sorted(clash)}")
-    wanted = params if action == "select" or where else params.select(*renamed).distinct()
-    wanted = wanted.withColumns({k: F.col(p) for p, k in renamed.items()})
-    match = _all_equal(target, wanted, keys, renamed)
+    # A fresh projection gives the parameters columns of their own, also if they come from the target.
+    given = [F.col(quote(p)).alias(k) for p, k in renamed.items()]
+    extra = [c for c in params.columns if c not in target.columns]
+    if action == "select" or where:
+        wanted = params.select(*given, *[F.col(quote(c)).alias(c) for c in extra])
+    else:
+        wanted = params.select(*given).distinct()
+    rows = target.select(*[F.col(quote(c)).alias(c) for c in target.columns])
+    match = _all_equal(target, keys, renamed, own=lambda c: c)
     if where:
         match = match & F.expr(where)
     if action == "select":
-        extra = [c for c in params.columns if c not in target.columns]
-        frame = target.join(wanted, match, "inner").select(
-            *[wanted[c] for c in extra], *[target[c] for c in target.columns]
-        )
+        frame = rows.join(wanted, match, "inner").select(*map(quote, extra), *map(quote, target.columns))
         return ManyResult(frame, frame.agg(F.count("*").alias("n")))
-    frame = target.join(wanted, match, "left_anti")
-    gone = target.join(wanted, match, "left_semi")
-    return ManyResult(frame, gone.agg(F.count("*").alias("n")))
+    gone = rows.join(wanted, match, "left_semi")
+    return ManyResult(rows.join(wanted, match, "left_anti"), gone.agg(F.count("*").alias("n")))
+
+
+def _own(name: str) -> str:
+    return quote(f"__target_{name}")
+
+
+def _plain(target: DataFrame) -> DataFrame:
+    """The target under names that no parameter has."""
+    return target.select(*[F.col(quote(c)).alias(f"__target_{c}") for c in target.columns])
 
 
-def _all_equal(target: DataFrame, other: DataFrame, keys: dict[str, str], renamed: dict[str, str]) -> Column:
+def _all_equal(target: DataFrame, keys: dict[str, str], renamed: dict[str, str], own=None) -> Column:
     condition = F.lit(True)
     for column, param in keys.items():
-        condition = condition & (target[column] == other[renamed[param]])
+        condition = condition & (F.col(quote(own(column)) if own else _own(column)) == F.col(renamed[param]))
     return condition

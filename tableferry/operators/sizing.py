@@ -6,37 +6,42 @@ row of maxima, or one row per batch. A third of all rows under one batch costs n
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.loadform import load_form
 from ..functions.typemaps import is_text
-from ..plans.columns import LoadPlan, plan_rows, scanned_columns
+from ..plans.columns import LoadPlan, plan_rows, quote, scanned_columns
 from ..plans.options import LoadOptions
 from ..session import cut_lineage
 
 DEFAULT_SCAN_LIMIT = 64 << 20
-# Batches summed together before running totals are formed over the sums.
-BATCHES_PER_BLOCK = 4096
 HINT = (
     "value is wider than the column chosen from the scanned rows: name the column in "
     "clob_columns, or set string_type=clob"
 )
 
 
+def width_of(field: T.StructField) -> Column:
+    """Bytes of a value in the form it is loaded in."""
+    return F.octet_length(load_form(F.col(quote(field.name)), field.dataType))
+
+
 def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if is_text(f.dataType)]
 
 
 def _width(name: str) -> Column:
-    return F.coalesce(F.max(F.octet_length(f"`{name}`")), F.lit(0)).cast("bigint").alias(name)
+    return F.coalesce(F.max(F.octet_length(quote(name))), F.lit(0)).cast("bigint").alias(name)
 
 
 def width_row(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """One row with the widest value, in bytes, of every text column."""
+    """One row with the widest value, in bytes, of every text column, or of the named ones."""
     columns = text_columns(df) if columns is None else columns
-    return df.agg(*[_width(name) for name in columns])
+    return df.agg(*[
+        F.coalesce(F.max(width_of(df.schema[name])), F.lit(0)).cast("bigint").alias(name) for name in columns
+    ])
 
 
 def profile_text(df: DataFrame) -> DataFrame:
@@ -44,7 +49,7 @@ def profile_text(df: DataFrame) -> DataFrame:
     columns = text_columns(df)
     if not columns:
         return df.sparkSession.createDataFrame([], "column string, max_bytes bigint")
-    cells = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("max_bytes")) for c in columns]
+    cells = [F.struct(F.lit(c).alias("column"), F.col(quote(c)).alias("max_bytes")) for c in columns]
     return width_row(df, columns).select(F.inline(F.array(*cells)))
 
 
@@ -52,7 +57,7 @@ def record_bytes(schema: T.StructType) -> Column:
     """Estimated bytes of a row: values, not headers; nested children included."""
     total = F.lit(0).cast("bigint")
     for field in schema:
-        total = total + _value_bytes(F.col(f"`{field.name}`"), field.dataType)
+        total = total + _value_bytes(F.col(quote(field.name)), field.dataType)
     return total
 
 
@@ -95,70 +100,54 @@ def scan_window(df: DataFrame, batch: str, limit: int = DEFAULT_SCAN_LIMIT) -> D
     """Per batch: rows, bytes, text widths, bytes before it, and whether it is scanned.
 
     Batches are read in order until ``limit`` bytes have been seen; the last one counts in
-    full. The table is read once, when this is called: the totals per batch are kept, and
-    running totals are formed over blocks of batches first and inside each block after
-    that, so no task holds the list of all batches.
+    full. A report only: plans are made from all rows. The table is read once, when this is
+    called. The totals per batch are range-partitioned by batch number, whatever the numbers
+    are, and running totals are formed inside each partition; the driver gets one sum per
+    partition, for the bytes before it.
     """
     columns = [c for c in text_columns(df) if c != batch]
-    totals = df.groupBy(F.col(batch).cast("bigint").alias("batch")).agg(
+    totals = df.groupBy(F.col(quote(batch)).cast("bigint").alias("batch")).agg(
         F.count("*").alias("n_rows"),
         F.sum(record_bytes(df.drop(batch).schema)).alias("bytes"),
         *[_width(name) for name in columns],
     )
-    totals = cut_lineage(totals).withColumn("__block", F.call_function("div", F.col("batch"), F.lit(BATCHES_PER_BLOCK)))
-    blocks = totals.groupBy("__block").agg(F.sum("bytes").alias("__bytes"))
-    preceding = blocks.selectExpr(
-        "__block AS __of",
-        "coalesce(sum(__bytes) OVER (ORDER BY __block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
-        " AS __offset",
-    )
-    inside = totals.selectExpr(
-        "*",
-        "coalesce(sum(bytes) OVER (PARTITION BY __block ORDER BY batch"
-        " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS __inside",
-    )
-    before = F.col("__offset") + F.col("__inside")
     # Rows without a batch number form a batch of their own, before all others.
-    return inside.join(preceding, F.col("__block").eqNullSafe(F.col("__of"))).select(
-        "batch", "n_rows", "bytes", *[f"`{c}`" for c in columns],
-        before.alias("bytes_before"), (before < limit).alias("scanned"),
+    ranged = cut_lineage(totals.repartitionByRange(F.col("batch").asc_nulls_first())).withColumn("__part", F.spark_partition_id())
+    sums = dict(ranged.groupBy("__part").agg(F.sum("bytes")).collect())
+    offset, before = 0, {}
+    for part in sorted(sums):
+        before[part] = offset
+        offset += sums[part]
+    offsets = F.create_map(*[F.lit(x) for pair in before.items() for x in pair]) if before else F.create_map().cast("map<int,int>")
+    inside = F.coalesce(
+        F.sum("bytes").over(Window.partitionBy("__part").orderBy(F.col("batch").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0),
+    )
+    seen = (offsets[F.col("__part")] + inside).cast("bigint")
+    return ranged.select(
+        "batch", "n_rows", "bytes", *[quote(c) for c in columns], seen.alias("bytes_before"), (seen < limit).alias("scanned"),
     )
 
 
-def window_widths(df: DataFrame, batch: str, limit: int) -> DataFrame:
-    """One row of text widths over the scanned batches only."""
-    columns = [c for c in text_columns(df) if c != batch]
-    seen = scan_window(df, batch, limit).where("scanned")
-    return seen.agg(*[F.coalesce(F.max(f"`{c}`"), F.lit(0)).cast("bigint").alias(c) for c in columns])
-
-
-def plan_frame(
-    df: DataFrame, options: LoadOptions | dict | None = None, batch: str | None = None
-) -> DataFrame:
+def plan_frame(df: DataFrame, options: LoadOptions | dict | None = None) -> DataFrame:
     """The plan as a table: position, name, source_type, width, declared, nullable.
 
-    Rows are looked at only if some text column's type depends on them. With ``batch`` only
-    the batches within ``type_scan_limit_bytes`` decide; their totals still take one pass
-    over the table. (A load without limit takes none: its write finds the widths.)
+    All rows are looked at, and only if some column's type depends on them. (A load takes no
+    such pass: its write finds the widths.)
     """
     options = LoadOptions.parse(options)
     columns = scanned_columns(df.schema, options)
     if not columns or options.type_scan_limit_bytes == 0:
         widths = df.sparkSession.range(1).select()
-    elif batch and options.type_scan_limit_bytes:
-        widths = window_widths(df.select(batch, *[f"`{c}`" for c in df.columns if c != batch]),
-                               batch, options.type_scan_limit_bytes)
     else:
         widths = width_row(df, columns)
     return plan_rows(widths, df.schema, options)
 
 
-def plan_columns(
-    df: DataFrame, options: LoadOptions | dict | None = None, batch: str | None = None
-) -> LoadPlan:
+def plan_columns(df: DataFrame, options: LoadOptions | dict | None = None) -> LoadPlan:
     """The plan on the driver: one row per column of the schema."""
     options = LoadOptions.parse(options)
-    return LoadPlan.of(plan_frame(df, options, batch), options)
+    return LoadPlan.of(plan_frame(df, options), options)
 
 
 def batch_bind_kind(df: DataFrame, batch: str, limit: int) -> DataFrame:
@@ -169,8 +158,8 @@ def batch_bind_kind(df: DataFrame, batch: str, limit: int) -> DataFrame:
                          F.lit("text").alias("kind")).where("false")
     cells = [
         F.struct(
-            F.lit(c).alias("column"), F.col(f"`{c}`").alias("max_bytes"),
-            F.when(F.col(f"`{c}`") > limit, "lob").otherwise("text").alias("kind"),
+            F.lit(c).alias("column"), F.col(quote(c)).alias("max_bytes"),
+            F.when(F.col(quote(c)) > limit, "lob").otherwise("text").alias("kind"),
         )
         for c in columns
     ]
@@ -184,7 +173,7 @@ def violations(df: DataFrame, plan: LoadPlan, keys: list[str]) -> DataFrame:
     cells = [
         F.struct(
             F.lit(f.name.upper()).alias("column"),
-            F.octet_length(load_form(F.col(f"`{f.name}`"), f.dataType)).cast("bigint").alias("width"),
+            width_of(f).cast("bigint").alias("width"),
             F.lit(limits[f.name.upper()]).cast("bigint").alias("declared_bytes"),
         )
         for f in df.schema
@@ -202,7 +191,7 @@ def guarded(df: DataFrame, limits: dict[str, int]) -> DataFrame:
     columns = {}
     for name, limit in limits.items():
         if name in df.columns:
-            value = F.col(f"`{name}`")
+            value = F.col(quote(name))
             message = F.concat(
                 F.lit(f"column {name} declared with {limit} bytes, value has "),
                 F.octet_length(value).cast("string"), F.lit(f" ({HINT})"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import re
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,6 +57,25 @@ class LoadPlan:
         """Declared byte widths of the columns that are stored as sized text, by name."""
         return {c.name: c.declared_bytes for c in self.columns if c.declared_bytes is not None}
 
+    def widened(self, options: LoadOptions) -> "LoadPlan":
+        """The plan with the columns that ``options`` name made wider; none becomes narrower.
+
+        ``clob_columns`` and ``string_type=clob`` turn sized text into CLOB, and
+        ``string_type=varchar2`` gives it the whole inline limit.
+        """
+        limit = max(self.inline_limit, options.inline_limit)
+
+        def wider(column: ColumnPlan) -> ColumnPlan:
+            if column.declared_bytes is None:
+                return column
+            if options.string_type == "clob" or column.name in options.clob_columns:
+                return replace(column, declared="CLOB")
+            if options.string_type == "varchar2" and column.declared_bytes < limit:
+                return replace(column, declared=f"VARCHAR2({limit})")
+            return column
+
+        return LoadPlan(tuple(map(wider, self.columns)), limit)
+
     def to_json(self) -> str:
         return json.dumps({"inline_limit": self.inline_limit, "columns": [asdict(c) for c in self.columns]})
 
@@ -66,6 +85,11 @@ class LoadPlan:
         return cls(tuple(ColumnPlan(**c) for c in data["columns"]), data["inline_limit"])
 
 
+def quote(name: str) -> str:
+    """A column name as Spark SQL takes it, whatever it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def upper_names(names: list[str]) -> list[str]:
     """Names as the target stores them; two names that become one are refused."""
     upper = [name.upper() for name in names]
@@ -96,7 +120,7 @@ def column_type_sql(field: T.StructField, width: str | None, options: LoadOption
     limit = options.inline_limit
     if is_geometry_field(field) or is_geometry_object(field.dataType):
         return sql_text(GEOMETRY_DDL)
-    if not is_text(field.dataType):
+    if not is_sized(field):
         return sql_text(target_type(field.dataType))
     if field.name.upper() in options.clob_columns or options.string_type == "clob":
         return "'CLOB'"
@@ -108,21 +132,18 @@ def column_type_sql(field: T.StructField, width: str | None, options: LoadOption
     return f"CASE WHEN {width} IS NULL THEN {unscanned} WHEN {width} > {limit} THEN 'CLOB' ELSE {sized} END"
 
 
+def is_sized(field: T.StructField) -> bool:
+    """Whether the column is stored as text: text itself, and values loaded in their text form."""
+    if is_geometry_field(field) or is_geometry_object(field.dataType):
+        return False
+    return is_text(field.dataType) or target_type(field.dataType) == FALLBACK_DDL
+
+
 def scanned_columns(schema: T.StructType, options: LoadOptions) -> list[str]:
-    """Text columns whose type depends on the data; empty means no scan is needed."""
+    """Columns stored as text whose type depends on the data; empty means no scan is needed."""
     if options.string_type != "auto":
         return []
-    return [f.name for f in schema if is_text(f.dataType) and f.name.upper() not in options.clob_columns]
-
-
-def fixed_limits(schema: T.StructType) -> dict[str, int]:
-    """Byte widths that hold whatever the data: values stored in their text form."""
-    return {
-        name: STANDARD_LIMIT
-        for field, name in zip(schema, upper_names(schema.fieldNames()))
-        if not is_text(field.dataType) and not is_geometry_object(field.dataType)
-        and target_type(field.dataType) == FALLBACK_DDL
-    }
+    return [f.name for f in schema if is_sized(f) and f.name.upper() not in options.clob_columns]
 
 
 def plan_rows(widths: DataFrame, schema: T.StructType, options: LoadOptions) -> DataFrame:
@@ -131,14 +152,14 @@ def plan_rows(widths: DataFrame, schema: T.StructType, options: LoadOptions) ->
     present = set(widths.columns)
     cells = []
     for position, (field, name) in enumerate(zip(schema, names), start=1):
-        width = f"`{field.name}`" if field.name in present else None
+        width = quote(field.name) if field.name in present else None
         # '' is stored as NULL by the target, so text is never declared NOT NULL.
         cells.append(
             f"named_struct('position', {position}, 'name', {sql_text(name)},"
             f" 'source_type', {sql_text(field.dataType.simpleString())},"
             f" 'width', CAST({width or 'NULL'} AS BIGINT),"
             f" 'declared', {column_type_sql(field, width, options)},"
-            f" 'nullable', {str(field.nullable or is_text(field.dataType)).lower()})"
+            f" 'nullable', {str(field.nullable or is_sized(field)).lower()})"
         )
     return widths.selectExpr(f"inline(array({', '.join(cells)}))")
 

@@ -28,7 +28,8 @@ def check_mode(mode: str) -> str:
 class LoadOptions:
     """How text columns are declared and how wide the write fans out.
 
-    ``type_scan_limit_bytes`` unset means every row is looked at, 0 that none is.
+    ``type_scan_limit_bytes`` unset means every row is looked at, 0 that none is. Any other
+    limit is refused: a later value could be wider than what the first ones show.
     ``max_string_size`` is ``standard``, ``extended`` or a number of bytes; unknown (None)
     counts as standard.
     """
@@ -49,6 +50,8 @@ class LoadOptions:
         object.__setattr__(self, "string_type", text_type)
         object.__setattr__(self, "clob_columns", names)
         object.__setattr__(self, "type_scan_limit_bytes", _count("type_scan_limit_bytes", self.type_scan_limit_bytes))
+        if self.type_scan_limit_bytes:
+            raise InvalidArgument("type_scan_limit_bytes must be 0 or unset: column types are chosen from all rows")
         object.__setattr__(self, "ingest_workers", _count("ingest_workers", self.ingest_workers))
         self.inline_limit  # fails on a size that is not understood
 

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .errors import InvalidState
+
 # Only behaviour that results depend on is set here. Sizes (partitions, memory,
 # broadcast threshold) belong to the cluster's own configuration.
 RESULT_SETTINGS = {
@@ -47,15 +53,26 @@ def local_session(cores: str = "*", partitions: int = 8, config: dict[str, str]
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, for checkpoints and intermediate files.
 
-    The cluster names it in ``spark.checkpoint.dir``. A temporary folder is used only
-    when that is unset and the whole of Spark is one local process.
+    The cluster names it in ``spark.checkpoint.dir``; without that, it is next to the tables if
+    their folder is in a shared store. A temporary folder, one per process and gone with it, is
+    used only when the whole of Spark is that process.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="tableferry-")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tableferry"
+    if re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        return _own_folder()
+    tables = spark.conf.get("spark.sql.warehouse.dir", None) or ""
+    if re.match(r"(?!file:)[a-z][a-z0-9+.-]*:/", tables):
+        return tables.rstrip("/") + "/_tableferry"
+    raise InvalidState("set spark.checkpoint.dir to a folder that all executors share")
+
+
+@functools.cache
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="tableferry-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

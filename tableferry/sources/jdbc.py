@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..errors import InvalidArgument
+from ..errors import InvalidArgument, NotFound
 from ..operators.conform import conform
-from ..plans.columns import LoadPlan
+from ..operators.sizing import guarded
+from ..plans.columns import LoadPlan, quote
+from ..plans.options import check_mode
 
 FETCH_ROWS = 10_000
 BATCH_ROWS = 10_000
-# How the planned types are spelled in Spark's own type language; anything else is left
-# to the database dialect.
+# How the planned types are spelled in Spark's own type language, the only one the connector
+# takes. Types it has no word for need a table that was made with the plan's own DDL.
 _SPARK_SPELLING = {
     "NUMBER(19)": "DECIMAL(19,0)", "NUMBER(20)": "DECIMAL(20,0)", "NUMBER(1)": "DECIMAL(1,0)",
     "BINARY_DOUBLE": "DOUBLE", "BINARY_FLOAT": "FLOAT",
@@ -52,10 +56,13 @@ def jdbc_write_options(plan: LoadPlan, url: str, table: str, workers: int | None
     """Options of a load: declared widths from the plan, one transaction per partition."""
     types = []
     for column in plan.columns:
+        number = re.fullmatch(r"NUMBER\((\d+),(\d+)\)", column.declared)
         if column.declared_bytes is not None:
-            types.append(f"`{column.name}` VARCHAR({column.declared_bytes})")
+            types.append(f"{quote(column.name)} VARCHAR({column.declared_bytes})")
+        elif number:
+            types.append(f"{quote(column.name)} DECIMAL({number[1]},{number[2]})")
         elif column.declared in _SPARK_SPELLING:
-            types.append(f"`{column.name}` {_SPARK_SPELLING[column.declared]}")
+            types.append(f"{quote(column.name)} {_SPARK_SPELLING[column.declared]}")
     options = {"url": url, "dbtable": table.upper(), "batchsize": str(BATCH_ROWS), **extra}
     if types:
         options["createTableColumnTypes"] = ", ".join(types)
@@ -64,9 +71,32 @@ def jdbc_write_options(plan: LoadPlan, url: str, table: str, workers: int | None
     return options
 
 
+# Declared types that only the database's own DDL can name.
+ONLY_BY_DDL = ("CLOB", "MDSYS.SDO_GEOMETRY")
+
+
+def check_jdbc_load(plan: LoadPlan, mode: str) -> str:
+    """The mode's plain name; a load that would have to create types it cannot name is refused."""
+    mode = check_mode(mode)
+    unnamed = [f"{c.name} {c.declared}" for c in plan.columns if c.declared in ONLY_BY_DDL]
+    if unnamed and mode != "append":
+        raise InvalidArgument(
+            f"the connector cannot create {', '.join(unnamed)}: make the table with render_ddl(plan, table) and append to it")
+    return mode
+
+
 def write_jdbc(df: DataFrame, plan: LoadPlan, url: str, table: str, mode: str = "create",
                workers: int | None = None, **extra: str) -> None:
-    """Load a table that is already in load form into a database."""
+    """Load a table that is already in load form into a database.
+
+    ``append`` needs a table that exists. A value wider than its planned column stops the load.
+    """
     save_mode = {"create": "errorifexists", "append": "append", "replace": "overwrite", "create_append": "append"}
+    mode = check_jdbc_load(plan, mode)
     options = jdbc_write_options(plan, url, table, workers, **extra)
-    df.write.format("jdbc").options(**options).mode(save_mode[mode]).save()
+    if mode == "append":
+        try:
+            df.sparkSession.read.format("jdbc").options(**{k: v for k, v in options.items() if k != "createTableColumnTypes"}).load()
+        except Exception as error:
+            raise NotFound(f"table {table.upper()} cannot be read, so nothing is appended") from error
+    guarded(df, plan.limits()).write.format("jdbc").options(**options).mode(save_mode[mode]).save()

@@ -8,10 +8,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..errors import InvalidState
+from ..errors import InvalidArgument, InvalidState
 from ..functions.coerce import to_text
 from ..functions.geometry import is_geometry_object
 from ..operators.geometry import encode_geometry, tag_crs
+from ..plans.columns import quote
 
 PREVIEW_ROWS = 20
 
@@ -37,7 +38,7 @@ def preview(df: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:
     first = df.limit(n)
     return first.select(
         *[
-            F.coalesce(F.expr(to_text(f"`{f.name}`", f.dataType)), F.lit("NULL")).alias(f.name)
+            F.coalesce(F.expr(to_text(quote(f.name), f.dataType)), F.lit("NULL")).alias(f.name)
             for f in df.schema
         ]
     )
@@ -61,24 +62,23 @@ def measure_scan(df: DataFrame) -> ScanReport:
     return ScanReport(counted.get["rows"], time.perf_counter() - started)
 
 
-def scan_geometry(df: DataFrame, on_mixed: str = "first") -> DataFrame:
-    """Geometry objects as WKB columns, tagged with the first reference system found.
+def scan_geometry(df: DataFrame, on_mixed: str = "untagged") -> DataFrame:
+    """Geometry objects as WKB columns, tagged with their reference system.
 
-    Finding it stops at the first object that has one. With ``on_mixed="fail"`` all rows
-    are looked at, and a column with several systems is refused.
+    One pass over the reference numbers of all geometry columns finds out whether a column has
+    one system. A column that mixes systems gets no tag, or is refused with ``on_mixed="fail"``.
     """
+    if on_mixed not in ("untagged", "fail"):
+        raise InvalidArgument(f"on_mixed must be untagged or fail, got {on_mixed!r}")
+    names = [f.name for f in df.schema if is_geometry_object(f.dataType)]
+    if not names:
+        return df
+    srids = [F.nullif(F.col(f"{quote(name)}.srid"), F.lit(0)) for name in names]
+    ends = df.agg(*[end(srid).alias(f"{which}{i}") for i, srid in enumerate(srids) for which, end in (("low", F.min), ("high", F.max))]).first()
     result = df
-    for field in df.schema:
-        if not is_geometry_object(field.dataType):
-            continue
-        srids = df.select(F.col(f"`{field.name}`.srid").alias("srid")).where("srid != 0")
-        if on_mixed == "fail":
-            low, high = srids.agg(F.min("srid"), F.max("srid")).first()
-            if low != high:
-                raise InvalidState(f"column {field.name} mixes reference systems, from {low} to {high}")
-            srid = low
-        else:
-            found = srids.first()
-            srid = found.srid if found else None
-        result = tag_crs(encode_geometry(result, field.name), field.name, srid)
+    for i, name in enumerate(names):
+        low, high = ends[f"low{i}"], ends[f"high{i}"]
+        if low != high and on_mixed == "fail":
+            raise InvalidState(f"column {name} mixes reference systems, from {low} to {high}")
+        result = tag_crs(encode_geometry(result, name), name, low if low == high else None)
     return result

@@ -7,6 +7,8 @@ with the table, together with the checkpoint it belongs to, and so outlives the
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -14,12 +16,14 @@ from pyspark.sql.streaming import StreamingQuery
 from ..errors import InvalidState, NotFound, TableExists
 from ..operators.conform import normalise_names
 from ..operators.ingest import (
-    get_property, identifier, plan_before, prepare, stored_plan, write_new,
+    get_property, identifier, plan_before, prepare, set_property, widened_plan, write_new,
 )
+from ..plans.columns import quote
 from ..plans.options import LoadOptions, check_mode
 
 QUERY_COLUMN, BATCH_COLUMN = "LOAD_QUERY", "LOAD_BATCH"
 LOADER_PROPERTY = "tableferry.checkpoint"
+REJECTED_PROPERTY = "tableferry.rejected"
 
 
 def ingest_stream(
@@ -29,7 +33,9 @@ def ingest_stream(
     """Start loading ``stream``; by default everything available now, then the query ends.
 
     The first micro-batch decides the column types. A wider value later on stops the query
-    with a hint; what was committed before stays.
+    with a hint; what was committed before stays. Starting it again with ``clob_columns`` or
+    ``string_type`` makes the columns wider, and the batch that failed is loaded then.
+    Unreadable geometries are counted, see ``rejected_rows``.
     """
     if not stream.isStreaming:
         raise InvalidState("ingest_stream needs a stream; use ingest for a table")
@@ -56,7 +62,7 @@ def ingest_stream(
             or get_property(session, table, LOADER_PROPERTY) == checkpoint
         )
         # A first batch that failed is planned again from the same rows.
-        known = stored_plan(session, table) if ours else plan_before(named, options)
+        known = widened_plan(session, table, options) if ours else plan_before(named, options)
         prepared = prepare(named, options, known)
         marks = {QUERY_COLUMN: F.lit(query), BATCH_COLUMN: F.lit(batch_id).cast("bigint")}
         if ours:
@@ -64,11 +70,13 @@ def ingest_stream(
             session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
             target = session.table(table)
             prepared.rows.withColumns(marks).select(
-                *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in target.schema]
+                *[F.col(quote(f.name)).cast(f.dataType).alias(f.name) for f in target.schema]
             ).write.mode("overwrite").insertInto(table)
-            return
-        write_new(prepared, table, marks, {LOADER_PROPERTY: checkpoint})
-        _move_partition(session, table, query, batch_id)
+        else:
+            write_new(prepared, table, mode, marks, {LOADER_PROPERTY: checkpoint})
+            _move_partition(session, table, query, batch_id)
+        if prepared.reject_keys:
+            _count_rejected(session, table, query, batch_id, prepared.rejected())
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer if continuous else writer.trigger(availableNow=True)).start()
@@ -84,6 +92,24 @@ def _move_partition(spark: SparkSession, table: str, query: str, batch_id: int)
         spark.sql(f"ALTER TABLE {identifier(table)} PARTITION ({partition}) SET LOCATION '{place}'")
 
 
+def _count_rejected(spark: SparkSession, table: str, query: str, batch_id: int, counts: dict[str, int]) -> None:
+    """Totals per query, with the last batch they hold: a batch that is run again counts once."""
+    totals = json.loads(get_property(spark, table, REJECTED_PROPERTY) or "{}")
+    last, before = totals.get(query, (-1, {}))
+    if batch_id > last:
+        totals[query] = (batch_id, {name: before.get(name, 0) + n for name, n in counts.items()})
+        set_property(spark, table, **{REJECTED_PROPERTY: json.dumps(totals)})
+
+
+def rejected_rows(spark: SparkSession, table: str) -> dict[str, int]:
+    """Unreadable geometries per column that stream loads have stored as NULL so far."""
+    found: dict[str, int] = {}
+    for _, counts in json.loads(get_property(spark, table, REJECTED_PROPERTY) or "{}").values():
+        for name, n in counts.items():
+            found[name] = found.get(name, 0) + n
+    return found
+
+
 def loaded_rows(spark: SparkSession, table: str) -> DataFrame:
     """The loaded table without the columns that tell the batches apart.
 

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableferry import (
-    InvalidArgument, InvalidState, LoadPlan, NotFound, TableExists, crs_metadata,
+    InvalidArgument, InvalidState, LoadOptions, LoadPlan, NotFound, TableExists, crs_metadata,
     encode_geometry, ingest, load_parquet, violations,
 )
 from tableferry.functions.geometry import GEOMETRY_TYPE
-from tableferry.operators.ingest import DDL_PROPERTY, get_property, stored_plan
+from tableferry.operators.conform import normalise_names
+from tableferry.operators.ingest import DDL_PROPERTY, get_property, identifier, prepare, stored_plan, write_new
 from tableferry.plans.columns import ColumnPlan
-from tableferry.sources.jdbc import jdbc_read_options, jdbc_write_options
+from tableferry.sources.jdbc import check_jdbc_load, jdbc_read_options, jdbc_write_options
 
 
 def rows(spark, table):
@@ -118,14 +119,59 @@ def test_fan_out_does_not_change_the_result(spark, table, workers):
     assert spark.table(table).agg(F.countDistinct("ID"), F.sum("ID")).first() == (5000, 12497500)
 
 
-def test_window_plan_stops_on_a_later_wide_value(spark, table):
+def test_all_rows_decide_the_types(spark, table):
     df = spark.createDataFrame([(1, 0, "tiny"), (2, 1, "z" * 12000)], "id bigint, batch int, payload string")
-    limited = {"type_scan_limit_bytes": 1}
-    with pytest.raises(Exception, match="string_type=clob"):
-        ingest(df, table, options=limited, batch="batch")
+    with pytest.raises(InvalidArgument, match="all rows"):
+        ingest(df, table, options={"type_scan_limit_bytes": 1})
     assert table not in names(spark)
-    forced = ingest(df, table, options={**limited, "clob_columns": "payload"}, batch="batch")
-    assert (forced.rows, forced.plan.declared["PAYLOAD"]) == (2, "CLOB")
+    assert ingest(df, table).plan.declared["PAYLOAD"] == "CLOB"
+
+
+@pytest.mark.parametrize("options", [{"clob_columns": "payload"}, {"string_type": "clob"}, {"string_type": "varchar2"}])
+def test_options_widen_a_column_of_the_stored_plan(spark, table, options):
+    short, long = (spark.createDataFrame([(i, "z" * n)], "id bigint, payload string") for i, n in ((1, 10), (2, 3000)))
+    assert ingest(short, table).plan.declared["PAYLOAD"] == "VARCHAR2(64)"
+    for mode in ("append", "create_append"):
+        with pytest.raises(Exception, match="clob_columns"):
+            ingest(long, table, mode)
+    wider = ingest(long, table, "append", options).plan
+    assert wider.declared["PAYLOAD"] in ("CLOB", "VARCHAR2(4000)") and stored_plan(spark, table) == wider
+    # What was widened stays so.
+    assert ingest(long, table, "append").plan == wider and spark.table(table).count() == 3
+
+
+def test_decimals_are_stored_as_decimals(spark, table):
+    df = spark.sql("SELECT CAST(9.5 AS DECIMAL(18,2)) a, CAST(0.0000001 AS DECIMAL(12,7)) b UNION ALL SELECT 10.25, NULL")
+    assert ingest(df, table).plan.declared == {"A": "NUMBER(18,2)", "B": "NUMBER(12,7)"}
+    assert dict(spark.table(table).dtypes) == {"A": "decimal(18,2)", "B": "decimal(12,7)"}
+    assert str(spark.table(table).agg(F.max("A")).first()[0]) == "10.25"
+
+
+@pytest.mark.parametrize("mode", ["create", "append", "replace", "create_append"])
+def test_a_table_made_during_the_write_is_not_destroyed(spark, three, table, mode):
+    """Another job makes the table between the check for it and the end of the write."""
+    if mode == "append":
+        with pytest.raises(NotFound):
+            ingest(three, table, mode)
+        return
+    prepared = prepare(normalise_names(three), LoadOptions(), None)
+    ingest(three.limit(1).withColumn("id", F.lit(99).cast("bigint")), table)
+    if mode == "create":
+        with pytest.raises(TableExists):
+            write_new(prepared, table, mode)
+        assert [r.ID for r in spark.table(table).collect()] == [99]
+    else:
+        write_new(prepared, table, mode)
+        ids = sorted(r.ID for r in spark.table(table).collect())
+        assert len(ids) == (4 if mode == "create_append" else 3) and (99 in ids) == (mode == "create_append")
+    assert not [n for n in names(spark) if n.startswith(table + "__")]
+
+
+def test_names_with_marks(spark, table):
+    df = spark.createDataFrame([(1, "x")], "id bigint, `a``b.c` string")
+    assert ingest(df, table).plan.declared["A`B.C"] == "VARCHAR2(64)"
+    assert spark.table(table).columns == ["ID", "A`B.C"]
+    assert identifier("`a.b`.c") == "`a.b`.`c`" and identifier("s.`x``y`") == "`s`.`x``y`"
 
 
 def test_temporal_values(spark, table):
@@ -157,14 +203,15 @@ def test_objects_stay_objects_and_other_types_are_text(spark, table):
     df = spark.createDataFrame([(1, (2001, 4326, (1.0, 2.0, None), [], []), [1, 2])],
                                T.StructType().add("id", T.LongType()).add("place", GEOMETRY_TYPE).add("list", T.ArrayType(T.LongType())))
     result = ingest(df, table)
-    assert result.plan.declared == {"ID": "NUMBER(19)", "PLACE": "MDSYS.SDO_GEOMETRY", "LIST": "VARCHAR2(4000)"}
+    assert result.plan.declared == {"ID": "NUMBER(19)", "PLACE": "MDSYS.SDO_GEOMETRY", "LIST": "VARCHAR2(64)"}
     row = spark.table(table).first()
     assert (row.PLACE.gtype, row.LIST) == (2001, "[1,2]")
     long = df.select("id", F.sequence(F.lit(1000), F.lit(2000)).alias("list"))
     assert [(r.column, r.width) for r in violations(long, result.plan, ["id"]).collect()] == [("LIST", 5006)]
-    for mode in ("append", "replace"):
-        with pytest.raises(Exception, match="LIST declared with 4000 bytes"):
-            ingest(long, table, mode)
+    with pytest.raises(Exception, match="LIST declared with 64 bytes"):
+        ingest(long, table, "append")
+    assert ingest(long, table, "append", {"clob_columns": "list"}).rows == 1
+    assert ingest(long, table, "replace").plan.declared["LIST"] == "CLOB"
 
 
 def test_parquet_file_to_table(spark, tiny, table):
@@ -176,6 +223,13 @@ def test_parquet_file_to_table(spark, tiny, table):
 def test_jdbc_options():
     plan = LoadPlan((ColumnPlan(1, "ID", "bigint", None, "NUMBER(19)", False), ColumnPlan(2, "S", "string", 10, "VARCHAR2(64)", True),
                      ColumnPlan(3, "T", "string", 9000, "CLOB", True)), 4000)
+    for mode, error in (("create", InvalidArgument), ("any.create_append", InvalidArgument), ("upsert", InvalidArgument)):
+        with pytest.raises(error):
+            check_jdbc_load(plan, mode)
+    assert check_jdbc_load(plan, "bulk.append") == "append"
+    sized = LoadPlan((ColumnPlan(1, "D", "decimal(12,2)", None, "NUMBER(12,2)", True),), 4000)
+    assert check_jdbc_load(sized, "create") == "create"
+    assert jdbc_write_options(sized, "jdbc:x:y", "t")["createTableColumnTypes"] == "`D` DECIMAL(12,2)"
     options = jdbc_write_options(plan, "jdbc:x:y", "my_table", workers=8)
     assert options["createTableColumnTypes"] == "`ID` DECIMAL(19,0), `S` VARCHAR(64)"
     assert (options["dbtable"], options["numPartitions"]) == ("MY_TABLE", "8")

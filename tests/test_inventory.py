@@ -94,33 +94,33 @@ def test_table_schema(inventory):
 
 
 def test_tree(inventory):
-    tree = object_tree(inventory).first()
-    assert (tree.catalog, tree.slice, [s.schema for s in tree.schemas]) == ("MAIN", 0, ["SALES", "STORE"])
-    sales = tree.schemas[0].tables
-    assert [(t.table, t.table_type, [c.column for c in t["columns"]]) for t in sales] == [
-        ("BIG_ORDERS", "VIEW", ["ID"]), ("ORDERS", "TABLE", ["ID", "PLACED", "NOTE"])]
-    thin = object_tree(inventory, column="pl%").first().schemas[0].tables
-    assert [(t.table, [c.column for c in t["columns"]]) for t in thin] == [("BIG_ORDERS", []), ("ORDERS", ["PLACED"])]
-    assert [s.asDict() for s in object_tree(inventory, "schemas").first().schemas] == [{"schema": "SALES"}, {"schema": "STORE"}]
-    assert object_tree(inventory, "tables", kinds=["VIEW"]).first().schemas[0].tables[0].table == "BIG_ORDERS"
-    assert object_tree(inventory, "catalogs").first().catalog == "MAIN"
+    def sales(**options):
+        rows = object_tree(inventory, **options).where("schema = 'SALES'").orderBy("table").collect()
+        return [(r.catalog, r.table, r.table_type, [c.column for c in r["columns"]]) for r in rows]
+
+    assert sales() == [("MAIN", "BIG_ORDERS", "VIEW", ["ID"]), ("MAIN", "ORDERS", "TABLE", ["ID", "PLACED", "NOTE"])]
+    assert [r[3] for r in sales(column="pl%")] == [[], ["PLACED"]]
+    assert sorted(map(tuple, object_tree(inventory, "schemas").collect())) == [("MAIN", "SALES"), ("MAIN", "STORE")]
+    assert [tuple(r) for r in object_tree(inventory, "tables", kinds=["VIEW"]).collect()] == [("MAIN", "SALES", "BIG_ORDERS", "VIEW")]
+    assert [tuple(r) for r in object_tree(inventory, "catalogs").collect()] == [("MAIN",)]
     with pytest.raises(InvalidArgument):
         object_tree(inventory, "rows")
 
 
-def test_a_large_tree_is_spread_over_rows_and_stays_whole(spark):
+def test_the_tree_has_one_shape_at_every_size_and_is_read_once(spark):
     # One schema holds nearly everything, and one table in it a third of all columns.
     df = spark.range(30000).selectExpr(
         "'MAIN' AS catalog", "if(id % 50 = 0, 'B', 'A') AS schema",
         "if(id < 10000, 'HOT', concat('T', id div 10)) AS `table`", "'TABLE' AS table_type", "concat('C', id) AS `column`",
         "int(if(id < 10000, id, id % 10)) AS position", "'NUMBER' AS data_type", "'Y' AS nullable", "CAST(NULL AS STRING) AS `default`",
         "9 AS precision", "0 AS scale")
-    tree = object_tree(df, rows_per_slice=2000)
-    leaves = tree.select("slice", F.explode("schemas").alias("s")).select("slice", F.explode("s.tables").alias("t")).select(
-        "slice", "t.table", F.explode("t.columns").alias("c"))
+    tree = object_tree(df, column="C%")
+    assert tree.select("catalog", "schema", "table").distinct().count() == tree.count()
+    leaves = tree.select(F.explode("columns").alias("c"))
     assert leaves.select("c.column").distinct().count() == leaves.count() == 30000
-    largest = leaves.groupBy("slice").count().agg(F.max("count")).first()[0]
-    assert largest < 8000
+    assert tree.columns == object_tree(df.limit(20)).columns
+    plan = tree._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (") == 1 and plan.count("Exchange") == 1
 
 
 def test_inventory_of_spark_schemas(spark):

@@ -4,6 +4,7 @@ import datetime as dt
 import decimal
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableferry import (
@@ -99,6 +100,35 @@ def test_many_with_one_key_holding_a_third_of_both_sides(spark):
     assert (deleted.frame.count(), deleted.affected.first().n) == (15000, 15000)
 
 
+def test_many_update_orders_nulls_first_and_keeps_types(spark, stock):
+    given = spark.createDataFrame([(1, "5", None), (2, "6", 1), (2, "7", None), (3, "9", 2)], "p int, w string, seq int")
+    target = stock.withColumn("v", F.lit(0))
+    result = run_many(target, given, {"k": "p"}, "update", {"v": "w"}, "seq")
+    assert rows(result.frame) == rows(spark.createDataFrame([(1, 5), (1, 5), (2, 6), (None, 0)], "k int, v int"))
+    assert result.frame.dtypes == target.dtypes
+    tied = params(spark, (1, "b", 7), (1, "c", 7), (1, None, 7))
+    assert {r.v for r in run_many(stock, tied, {"k": "p"}, "update", {"v": "w"}, "seq").frame.where("k = 1").collect()} == {"c"}
+
+
+def test_many_with_parameters_from_the_target(spark, stock):
+    found = stock.where("v = 'a'")
+    deleted = run_many(stock, found, ["k"], "delete")
+    assert (rows(deleted.frame), deleted.affected.first().n) == ([(2, "c"), (None, "d")], 2)
+    assert run_many(stock, found, ["k"], "select").frame.count() == 2
+    changed = run_many(stock, found.withColumn("seq", F.lit(1)), ["k"], "update", {"v": "v"}, "seq")
+    assert rows(changed.frame) == [(1, "a"), (1, "a"), (2, "c"), (None, "d")]
+
+
+def test_insert_counts_what_it_writes(spark, table, tmp_path):
+    run_update(spark, f"CREATE TABLE {table} (a INT, p INT) USING parquet PARTITIONED BY (p)")
+    assert run_update(spark, f"INSERT INTO {table} VALUES (1, 1), (2, 1), (3, 2), (4, 2), (5, 3)") == 5
+    assert run_update(spark, f"INSERT OVERWRITE TABLE {table} PARTITION (p = 1) SELECT :1", [9]) == 1
+    assert rows(spark.table(table)) == [(3, 2), (4, 2), (5, 3), (9, 1)]
+    assert run_update(spark, f"insert into {table} (p, a) with t as (select 7 x, 8 y) select x, y from t") == 1
+    assert run_update(spark, f"INSERT OVERWRITE DIRECTORY '{tmp_path}/select from' USING parquet SELECT a FROM {table}") == 5
+    assert spark.read.parquet(f"{tmp_path}/select from").count() == 5
+
+
 def test_many_without_rows_changes_nothing(spark, stock):
     nothing = params(spark, (1, "x", 1)).limit(0)
     for action, extra in (("update", {"assign": {"v": "w"}, "order_by": "seq"}), ("delete", {})):
@@ -125,14 +155,15 @@ def test_preview_and_count(spark):
     assert measure_scan(df.where("id < 0")).rows == 0
 
 
-def test_scan_geometry_tags_the_first_system_found(spark):
+def test_scan_geometry_tags_columns_of_one_system(spark):
     schema = T.StructType().add("id", T.IntegerType()).add("g", GEOMETRY_TYPE)
     point = lambda srid: (2001, srid, (1.0, 2.0, None), [], [])
     df = spark.createDataFrame([(1, None), (2, point(0)), (3, point(3857)), (4, point(4326))], schema).coalesce(1)
-    scanned = scan_geometry(df)
+    assert scan_geometry(df).schema["g"].metadata["ARROW:extension:metadata"] == "{}"
+    scanned = scan_geometry(df.where("id < 4"))
     assert scanned.schema["g"].metadata == {
         "ARROW:extension:name": "geoarrow.wkb", "ARROW:extension:metadata": '{"crs":"EPSG:3857"}'}
-    assert [r.g is None for r in scanned.orderBy("id").collect()] == [True, False, False, False]
+    assert [r.g is None for r in scanned.orderBy("id").collect()] == [True, False, False]
     with pytest.raises(InvalidState, match="mixes"):
         scan_geometry(df, on_mixed="fail")
     assert scan_geometry(df.where("id < 3")).schema["g"].metadata["ARROW:extension:metadata"] == "{}"

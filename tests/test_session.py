@@ -1,9 +1,13 @@
 """Settings, the shared folder, and kept intermediate results."""
 
+import tempfile
 from types import SimpleNamespace
 
+import pytest
+
 from pyspark.sql import functions as F
 
+from tableferry import InvalidState
 from tableferry.session import apply_settings, cut_lineage, shared_folder
 
 
@@ -15,9 +19,15 @@ def session(master, **settings):
 def test_the_shared_folder():
     named = session("yarn", spark_checkpoint_dir="hdfs:///kept/", spark_sql_warehouse_dir="hdfs:///tables")
     assert shared_folder(named) == "hdfs:///kept"
-    # A cluster that names none gets a folder next to its tables, never a local one.
+    # A cluster that names none gets a folder next to its tables if that is shared, never a local one.
     assert shared_folder(session("yarn", spark_sql_warehouse_dir="hdfs:///tables")) == "hdfs:///tables/_tableferry"
-    assert shared_folder(session("local[2]")).startswith("/tmp")
+    for master in ("yarn", "local-cluster[3,2,1024]"):
+        for tables in (None, "/user/hive/warehouse", "file:/tmp/warehouse"):
+            with pytest.raises(InvalidState):
+                shared_folder(session(master, spark_sql_warehouse_dir=tables))
+    for master in ("local", "local[2]", "local[*]", "local[4,2]"):
+        assert shared_folder(session(master)).startswith(tempfile.gettempdir())
+    assert shared_folder(session("local[2]")) == shared_folder(session("local[*]"))
 
 
 def test_kept_results_are_not_computed_again(spark):

@@ -70,9 +70,12 @@ def test_scan_window_stops_after_the_limit_and_counts_the_last_batch_in_full(spa
     seen = {r.batch: (r.n_rows, r.scanned) for r in scan_window(df, "batch", 5000).collect()}
     # Batch 0 holds about 1,400 bytes, batch 1 crosses the limit.
     assert seen == {0: (100, True), 1: (100, True), 2: (100, False), 3: (100, False)}
-    # One byte: the first batch only, so the wide value is not known of.
-    plan = plan_columns(df, {"type_scan_limit_bytes": 1}, batch="batch")
+    # A plan from other rows does not know of the wide value.
+    plan = plan_columns(df.where("batch = 0"))
     assert plan.declared["PAYLOAD"] == "VARCHAR2(64)"
+    # A plan of a table is made from all its rows, so a limit is refused.
+    with pytest.raises(InvalidArgument, match="all rows"):
+        plan_columns(df, {"type_scan_limit_bytes": 1})
     broken = violations(df, plan, ["id"]).collect()
     assert [(r.id, r.column, r.width, r.declared_bytes) for r in broken] == [(150, "PAYLOAD", 9000, 64)]
     assert "clob_columns" in broken[0].hint
@@ -85,6 +88,9 @@ def test_scan_window_over_many_blocks_equals_a_running_sum(spark):
     for row in rows:
         assert row.bytes_before == running and row.scanned == (running < 100_000)
         running += row.bytes
+    # Sparse numbers: no task gets all batches.
+    plan = scan_window(df.withColumn("batch", F.col("batch") * 1_000_003), "batch")._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
 
 
 def test_scan_window_keeps_rows_without_a_batch(spark):

@@ -3,8 +3,12 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tableferry import InvalidState, NotFound, TableExists, ingest, ingest_stream, loaded_rows
-from tableferry.operators.ingest import stored_plan
+from tableferry import (
+    InvalidArgument, InvalidState, LoadOptions, NotFound, TableExists, ingest, ingest_stream, loaded_rows, normalise_names,
+    rejected_rows,
+)
+from tableferry.operators.ingest import prepare, stored_plan, write_new
+from tableferry.streaming.ingest_stream import _count_rejected
 
 SCHEMA = "id bigint, payload string"
 
@@ -121,3 +125,47 @@ def test_geometry_arrives_as_objects(spark, tmp_path, table):
     stored = {r.ID: r.GEOM for r in loaded_rows(spark, table).collect()}
     assert stored[2] is None and (stored[1].gtype, stored[1].point.x) == (2001, 1.0)
     assert stored_plan(spark, table).declared["GEOM"] == "MDSYS.SDO_GEOMETRY"
+
+
+def test_a_stopped_stream_goes_on_with_a_wider_column(spark, inbox, table):
+    inbox(batch(0))
+    load(inbox, table)
+    inbox([(900, "w" * 9000)])
+    with pytest.raises(Exception, match="clob_columns"):
+        load(inbox, table)
+    load(inbox, table, options={"clob_columns": "payload"})
+    load(inbox, table)
+    assert loaded_rows(spark, table).agg(F.count("*"), F.countDistinct("ID")).first() == (101, 101)
+    assert stored_plan(spark, table).declared["PAYLOAD"] == "CLOB"
+
+
+def test_unreadable_geometries_are_counted_once(spark, table, tmp_path):
+    wkb = bytes.fromhex("0101000000000000000000F03F0000000000000040")
+    folder, checkpoint = str(tmp_path / "shapes"), str(tmp_path / "done")
+    for start in (0, 10):
+        rows = [(start + i, bytearray(wkb if i % 2 else b"bad")) for i in range(4)]
+        spark.createDataFrame(rows, "id bigint, geom binary").coalesce(1).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema("id bigint, geom binary").parquet(folder)
+        ingest_stream(stream, table, checkpoint).awaitTermination()
+    assert rejected_rows(spark, table) == {"GEOM": 4}
+    _count_rejected(spark, table, "again", 0, {"GEOM": 2})
+    _count_rejected(spark, table, "again", 0, {"GEOM": 2})
+    assert rejected_rows(spark, table) == {"GEOM": 6}
+
+
+@pytest.mark.parametrize("mode", ["create", "create_append", "replace"])
+def test_other_tables_are_safe_from_a_first_batch(spark, inbox, table, mode):
+    """The stream starts while the table is missing; another load makes it before the batch is published."""
+    inbox(batch(0))
+    other = spark.createDataFrame([(7, "other")], SCHEMA)
+
+    if mode == "replace":
+        load(inbox, table, mode=mode)
+        assert loaded_rows(spark, table).count() == 100
+        return
+    prepared = prepare(normalise_names(spark.createDataFrame(batch(0), SCHEMA)), LoadOptions(), None)
+    ingest(other, table)
+    marks = {"LOAD_QUERY": F.lit("q"), "LOAD_BATCH": F.lit(0).cast("bigint")}
+    with pytest.raises((TableExists, InvalidArgument)):
+        write_new(prepared, table, mode, marks, {})
+    assert [r.ID for r in spark.table(table).collect()] == [7]
