@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tableferry import (
     like, list_catalogs, list_columns, list_schemas, list_tables, object_tree, table_types,
 )
-from tableferry.operators.inventory import table_fields
+from tableferry.operators.inventory import table_fields, table_schema
 
 from .common import read
 from .stock import PART_INVENTORY_SQL, part_inventory
@@ -34,7 +34,16 @@ over_inventory("m5_table_types", table_types,
                """SELECT t AS table_type, count(DISTINCT (catalog, schema, "table")) FILTER (table_type IS NOT NULL) AS n
                   FROM (SELECT unnest(['TABLE', 'VIEW', 'MATERIALIZED VIEW', 'SYNONYM']) AS t) k
                   LEFT JOIN i ON table_type = t GROUP BY t""")
-over_inventory("m6_table_schema", lambda i: table_fields(i, "brand_2", "economy_0"),
+def schema_rows(inventory):
+    """The schema a table is read with as rows, beside the places its columns have in the inventory."""
+    schema = table_schema(inventory, "brand_2", "economy_0")
+    fields = inventory.sparkSession.createDataFrame(
+        [(f.name, f.dataType.simpleString(), f.nullable) for f in schema], "name string, spark_type string, nullable boolean")
+    places = table_fields(inventory, "brand_2", "economy_0").select("position", "name")
+    return places.join(fields, "name").select("position", "name", "spark_type", "nullable")
+
+
+over_inventory("m6_table_schema", schema_rows,
                """SELECT position, "column" AS name,
                   CASE WHEN upper(data_type) = 'NUMBER' AND scale = 0 AND precision <= 18 THEN 'bigint'
                        WHEN upper(data_type) = 'NUMBER' AND scale = 0 THEN 'string'

@@ -224,8 +224,17 @@ loaded("c1_integers", "orders",
 loaded("c2_unsigned", "orders",
        {"k": "o_orderkey", "u": "cast(18446744073709000000 + o_orderkey AS decimal(20,0))"},
        "SELECT o_orderkey AS k, CAST(CAST(18446744073709000000 AS HUGEINT) + o_orderkey AS VARCHAR) AS u FROM orders")
-loaded("c3_floats", "embeddings", {"vec_id": "vec_id", "f": "embedding[0]", "d": "double(embedding[1])"},
-       "SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS f, CAST(embedding[2] AS DOUBLE) AS d FROM embeddings")
+def floats(spark, sf_dir):
+    """Every number of every vector, as single and as double precision."""
+    numbers = read(spark, sf_dir, "embeddings").select("vec_id", F.posexplode("embedding").alias("i", "f"))
+    return to_load_form(numbers.withColumn("d", F.col("f").cast("double") / 4))
+
+
+QUERIES["c3_floats"] = (
+    floats,
+    """SELECT vec_id, CAST(k AS BIGINT) AS i, CAST(embedding[k + 1] AS DOUBLE) AS f, CAST(embedding[k + 1] AS DOUBLE) / 4 AS d
+       FROM (SELECT vec_id, embedding, unnest(range(len(embedding))) AS k FROM embeddings) e""",
+)
 loaded("c4_flags", "labels", {"doc_id": "doc_id", "good": "quality = 1", "toxic": "if(toxic = 1, true, NULL)"},
        "SELECT doc_id, CAST(quality = 1 AS BIGINT) AS good, CASE WHEN toxic = 1 THEN CAST(1 AS BIGINT) END AS toxic FROM labels")
 loaded("c5_text", "conversations", {"conv_id": "conv_id", "turn": "turn", "role": "role", "text": "text"},
@@ -234,9 +243,11 @@ loaded("c6_bytes", "conversations", {"conv_id": "conv_id", "turn": "turn", "raw"
        "SELECT conv_id, turn, hex(encode(text)) AS raw FROM conversations",
        lambda df: ["conv_id", "turn", F.hex("raw").alias("raw")])
 loaded("c7_decimals", "orders",
-       {"k": "o_orderkey", "price": "cast(o_totalprice AS decimal(18,2))", "scaled": "cast(o_orderkey AS decimal(12,3))"},
+       {"k": "o_orderkey", "price": "cast(o_totalprice AS decimal(18,2))", "scaled": "cast(o_orderkey AS decimal(12,3))",
+        "small": "cast(cast(o_custkey % 20 - 10 AS decimal(3,0)) * 0.0000001 AS decimal(12,7))"},
        "SELECT o_orderkey AS k, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS price,"
-       " CAST(CAST(o_orderkey AS DECIMAL(12,3)) AS VARCHAR) AS scaled FROM orders")
+       " CAST(CAST(o_orderkey AS DECIMAL(12,3)) AS VARCHAR) AS scaled,"
+       " CAST(CAST(CAST(o_custkey % 20 - 10 AS DECIMAL(3,0)) * 0.0000001 AS DECIMAL(12,7)) AS VARCHAR) AS small FROM orders")
 loaded("c8_timestamps", "events", {"event_id": "event_id", "wall": "ts", "instant": "cast(ts AS timestamp)"},
        "SELECT event_id, ts AS wall, epoch_us(ts) AS instant FROM events",
        lambda df: ["event_id", "wall", F.unix_micros("instant").alias("instant")])
@@ -245,8 +256,12 @@ loaded("c9_dates", "orders", {"k": "o_orderkey", "day": "cast(o_orderdate AS dat
 loaded("c10_other", "embeddings",
        {"vec_id": "vec_id", "pair": "named_struct('id', vec_id, 'label', label)", "span": "make_dt_interval(0, label)",
         "list": "embedding"},
-       "SELECT vec_id, CAST(to_json({'id': vec_id, 'label': label}) AS VARCHAR) AS pair, 64 AS n FROM embeddings",
-       lambda df: ["vec_id", "pair", F.size(F.from_json("list", "array<double>")).alias("n")])
+       "SELECT vec_id, CAST(to_json({'id': vec_id, 'label': label}) AS VARCHAR) AS pair, 'INTERVAL ''' || (label // 24)"
+       " || ' ' || lpad(CAST(label % 24 AS VARCHAR), 2, '0') || ':00:00'' DAY TO SECOND' AS span, CAST(k AS INT) AS i,"
+       " CAST(embedding[k + 1] AS DOUBLE) AS v"
+       " FROM (SELECT vec_id, label, embedding, unnest(range(len(embedding))) AS k FROM embeddings) e",
+       # The list's text is read back: its numbers are what has to be right.
+       lambda df: ["vec_id", "pair", "span", F.posexplode(F.from_json("list", "array<float>").cast("array<double>")).alias("i", "v")])
 
 
 def round_trip(spark, sf_dir):

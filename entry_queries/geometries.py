@@ -120,7 +120,7 @@ def vertex_sql(flat, step=2, z="CAST(NULL AS DOUBLE)"):
 
 for _name, _key, _sql in (
     ("line", "e5b_decode_lines", vertex_sql("n")),
-    ("line3", "e5b_decode_lines_3d", vertex_sql("list_slice(n, 1, 63)", 3, "o[i + 2]")),
+    ("line3", "e5b_decode_lines_3d", vertex_sql("(n || list_slice(n, 1, 2))", 3, "o[i + 2]")),
     ("polygon", "e5c_decode_polygons", vertex_sql(_outer(_whole))),
     ("holed", "e5c_decode_holes", vertex_sql(" || ".join([f"({_outer(_slice(0))})"] + [f"({_hole(_slice(s))})" for s in (16, 32, 48)]))),
     ("points", "e5d_decode_multi_points", vertex_sql("n")),
@@ -214,12 +214,11 @@ def ring_rows(spark, sf_dir):
 
 QUERIES["e9_rings"] = (
     lambda spark, sf_dir: ring_rows(spark, sf_dir).select(
-        "vec_id", "ring_no", "outer", "interp", "dims", F.size("ordinates").alias("n"),
-        F.get("ordinates", F.lit(0)).alias("x1"), F.element_at("ordinates", -1).alias("y_last"), "reason",
+        "vec_id", "ring_no", "outer", "interp", "dims", "reason", F.posexplode("ordinates").alias("i", "v"),
     ),
-    f"""SELECT vec_id, CAST(k + 1 AS INT) AS ring_no, k % 2 = 0 AS "outer", 1 AS interp, 2 AS dims, 18 AS n,
-        n[16 * k + 1] AS x1, n[16 * k + 2] AS y_last, CAST(NULL AS VARCHAR) AS reason
-        FROM (SELECT vec_id, n, unnest(range(4)) AS k FROM {VECTORS}) r""",
+    f"""SELECT vec_id, CAST(k + 1 AS INT) AS ring_no, k % 2 = 0 AS "outer", 1 AS interp, 2 AS dims, CAST(NULL AS VARCHAR) AS reason,
+        CAST(j AS INT) AS i, n[16 * k + j % 16 + 1] AS v
+        FROM (SELECT vec_id, n, k, unnest(range(18)) AS j FROM (SELECT vec_id, n, unnest(range(4)) AS k FROM {VECTORS}) r) q""",
 )
 QUERIES["e6_orient_rings"] = (
     lambda spark, sf_dir: orient_rings(ring_rows(spark, sf_dir)).select(
@@ -289,25 +288,22 @@ def arc_lines(spark, sf_dir):
     )
     coded = decode_geometry(encode_geometry(objects, "geom"), "geom", srid=0)
     vertices = explode_vertices(coded, "geom", ["p_partkey", "arc"])
-    return vertices.groupBy("p_partkey", "arc").agg(
-        F.count("*").alias("n"), F.max("vertex_no").alias("last"),
-        (F.round(F.max("y"), 6) + F.lit(0.0)).alias("top"), (F.round(F.min("x"), 6) + F.lit(0.0)).alias("left"),
-    )
+    return vertices.select("p_partkey", "arc", "vertex_no", *[(F.round(c, 6) + F.lit(0.0)).alias(c) for c in ("x", "y")])
 
 
 QUERIES["e11_encode_arcs"] = (
     arc_lines,
-    """SELECT p_partkey, arc, CAST(33 AS BIGINT) AS n, 33 AS last, round(max(p_size * sin(t * sweep / 32)), 6) + 0.0 AS top,
-       round(min(p_size * cos(t * sweep / 32)), 6) + 0.0 AS "left"
+    """SELECT p_partkey, arc, CAST(t + 1 AS INT) AS vertex_no, round(p_size * cos(t * sweep / 32), 6) + 0.0 AS x,
+       round(p_size * sin(t * sweep / 32), 6) + 0.0 AS y
        FROM part, (VALUES ('quarter', pi() / 2), ('wide', 3 * pi() / 2)) a(arc, sweep),
-            (SELECT unnest(range(33)) AS t) s GROUP BY p_partkey, arc""",
+            (SELECT unnest(range(33)) AS t) s""",
 )
 
 # --- looking into objects ---------------------------------------------------------------
 
 QUERIES["e13_vertices"] = (
     lambda spark, sf_dir: vertex_count(SHAPES["line3"](spark, sf_dir), "geom").select("vec_id", "vertices"),
-    "SELECT vec_id, 21 AS vertices FROM embeddings",
+    "SELECT vec_id, 22 AS vertices FROM embeddings",
 )
 
 

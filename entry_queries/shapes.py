@@ -53,7 +53,7 @@ _PARTS = range(0, 64, 16)
 _closed = lambda start: f"slice(n, {start + 1}, 16), slice(n, {start + 1}, 2)"
 _ends = ", ".join(str(1 + 18 * i) + ", {}, 1" for i in range(4))
 _add("line", 2002, "array(1, 2, 1)", "n")
-_add("line3", 3002, "array(1, 2, 1)", "slice(n, 1, 63)")
+_add("line3", 3002, "array(1, 2, 1)", "concat(n, slice(n, 1, 2))")
 _add("polygon", 2003, "array(1, 1003, 1)", "concat(n, slice(n, 1, 2))")
 _add("holed", 2003, "array(1, 1003, 1, 19, 2003, 1, 37, 2003, 1, 55, 2003, 1)",
      f"concat({', '.join(_closed(s) for s in _PARTS)})")
@@ -81,7 +81,7 @@ _rings = lambda *starts: "'(' || " + " || ',' || ".join(_text(_ring(s)) for s in
 
 WKT = {
     "line": f"'LINESTRING' || {_text('n')}",
-    "line3": f"'LINESTRING Z (' || {vertex_text('list_slice(n, 1, 63)', 3)} || ')'",
+    "line3": f"'LINESTRING Z (' || {vertex_text('(n || list_slice(n, 1, 2))', 3)} || ')'",
     "polygon": f"'POLYGON(' || {_text('(n || list_slice(n, 1, 2))')} || ')'",
     "holed": f"'POLYGON' || {_rings(0, 16, 32, 48)}",
     "points": f"'MULTIPOINT' || {_text('n')}",
