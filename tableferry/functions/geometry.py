@@ -121,15 +121,20 @@ def linearised_sql(arcs: str, dims: str) -> str:
         f" 'cx', {at(2, 0)}, 'cy', {at(2, 1)},"
         f" 'z', CASE WHEN {dims} = 3 THEN array({at(0, 2)}) ELSE array() END))"
     )
+    # The circle's centre, as seen from the arc's first point: projected coordinates in the
+    # millions lose no digits to their squares.
+    relative = (
+        f"transform({corners}, p -> named_struct('p', p, 'ux', p.bx - p.ax, 'uy', p.by - p.ay,"
+        " 'vx', p.cx - p.ax, 'vy', p.cy - p.ay))"
+    )
     determined = (
-        f"transform({corners}, p -> named_struct('p', p,"
-        " 'det', 2 * (p.ax * (p.by - p.cy) + p.bx * (p.cy - p.ay) + p.cx * (p.ay - p.by)),"
-        " 'aa', p.ax * p.ax + p.ay * p.ay, 'bb', p.bx * p.bx + p.by * p.by, 'cc', p.cx * p.cx + p.cy * p.cy))"
+        f"transform({relative}, w -> named_struct('w', w, 'det', 2 * (w.ux * w.vy - w.uy * w.vx),"
+        " 'uu', w.ux * w.ux + w.uy * w.uy, 'vv', w.vx * w.vx + w.vy * w.vy))"
     )
     centred = (
-        f"transform({determined}, q -> named_struct('p', q.p, 'det', q.det,"
-        " 'ox', (q.aa * (q.p.by - q.p.cy) + q.bb * (q.p.cy - q.p.ay) + q.cc * (q.p.ay - q.p.by)) / nullif(q.det, 0D),"
-        " 'oy', (q.aa * (q.p.cx - q.p.bx) + q.bb * (q.p.ax - q.p.cx) + q.cc * (q.p.bx - q.p.ax)) / nullif(q.det, 0D)))"
+        f"transform({determined}, q -> named_struct('p', q.w.p, 'det', q.det,"
+        " 'ox', q.w.p.ax + (q.uu * q.w.vy - q.vv * q.w.uy) / nullif(q.det, 0D),"
+        " 'oy', q.w.p.ay + (q.vv * q.w.ux - q.uu * q.w.vx) / nullif(q.det, 0D)))"
     )
     angled = (
         f"transform({centred}, q -> named_struct('p', q.p, 'det', q.det, 'ox', q.ox, 'oy', q.oy,"

@@ -1,7 +1,8 @@
 """Geometry table jobs: WKB to objects and back, rings, vertices and checks.
 
 No job here shuffles. The Arrow kernels receive only the geometry column; the other
-columns stay in the JVM, and filters on them are still pushed below the kernel.
+columns stay in the JVM. A filter written before ``decode_geometry`` reaches the files; one
+written after it does not (see ``functions/wkb.py`` for why), so filter first.
 """
 
 from __future__ import annotations
