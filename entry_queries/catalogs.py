@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tableferry import (
-    like, list_catalogs, list_columns, list_schemas, list_tables, object_tree, table_types,
+    NotFound, like, list_catalogs, list_columns, list_schemas, list_tables, object_tree, table_types,
 )
 from tableferry.operators.inventory import table_fields, table_schema
 
@@ -36,7 +36,10 @@ over_inventory("m5_table_types", table_types,
                   LEFT JOIN i ON table_type = t GROUP BY t""")
 def schema_rows(inventory):
     """The schema a table is read with as rows, beside the places its columns have in the inventory."""
-    schema = table_schema(inventory, "brand_2", "economy_0")
+    try:
+        schema = table_schema(inventory, "brand_2", "economy_0")
+    except NotFound:  # a small inventory has no such table
+        schema = []
     fields = inventory.sparkSession.createDataFrame(
         [(f.name, f.dataType.simpleString(), f.nullable) for f in schema], "name string, spark_type string, nullable boolean")
     places = table_fields(inventory, "brand_2", "economy_0").select("position", "name")
