@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,3 +45,18 @@ def kept(frame: DataFrame, label: str) -> DataFrame:
     path = f"{shared_folder(frame.sparkSession)}/{label}-{uuid.uuid4().hex[:12]}"
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def tidy(run):
+    """A function over Arrow batches that gives its memory back to the system when it is done.
+
+    A Python worker waits for its next task beside the executor; it should not hold much then.
+    """
+    def wrapped(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return wrapped

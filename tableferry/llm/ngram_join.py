@@ -7,20 +7,21 @@ domain of elements is cut into more than k parts by hash: at most k parts can di
 similar sets agree on a part. A signature is the band, the part's number and the set's elements
 in the part. (Of the parts, one is taken at a time: the subsets of size one at second level.)
 
-Only as many parts are signed as the pigeonhole needs. Counting parts from the first, as soon
-as the parts exceed k by more than the set's own empty ones, an agreeing part is not empty. As
-this holds for both sets, it holds within the smaller number of parts.
+Only as many parts are signed as the pigeonhole needs: of the first k + c parts that are not
+empty, similar sets agree on c. As this holds for both sets, it holds within the smaller number
+of parts. Sets of any size share one signature at least, larger ones ``SHARED``.
 
-Elements that very many sets hold are left out of all parts, which keeps the bound: fewer
-elements cannot differ in more. A set that has too few elements left signs with all of them, in
-a space of its own, and if these do not suffice either, with each element; only sets of the
-same kind can have been missed, so nothing is lost.
+Elements that many sets hold are left out of all parts, which keeps the bound: fewer elements
+cannot differ in more. A set with too few elements left signs again with more common ones, tier
+by tier, each tier a space of its own, and in the end with each element by itself. A set signs
+in all tiers up to the first that suffices, so similar sets meet in the lower of theirs.
 
 Candidates are verified exactly. A task packs its signatures by shard of the signature space
-and keeps one set per signature, tied to its others, so a common signature costs each task one
-entry. In a group of sets with one signature, all are compared with its first; what similar
-sets are connected by then need not be compared pair by pair. Where a comparison fails, the
-sets around it sign again, and all pairs of different components are compared.
+and keeps a few sets per signature, tied to its others, so a common signature costs each task a
+few entries. In a group of sets with one signature, all are compared with its first few; what
+similar sets are connected by then need not be compared pair by pair. Where a comparison fails,
+the sets around it sign again, with more signatures that similar sets must share, and all pairs
+of different components that share as many are compared.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableferry.llm.common import if_small, kept
+from tableferry.llm.common import if_small, kept, tidy
 from tableferry.llm.components import components
 from tableferry.llm.hashing import SPACES, Words, mixed, slices, windows, word_table
 
@@ -41,14 +42,27 @@ TABLE = word_table(lambda b: b not in SPACES, lower=True)
 SHINGLE = 5
 #: Similarity as a fraction, so that all comparisons are in whole numbers.
 SIMILAR = (3, 4)
-#: A shingle is common when this many sets hold it, or one set in the corpus's shingles per
-#: ``COMMON_MOST``; there are at most COMMON_MOST such shingles (8 MB).
-COMMON_LEAST = 64
+#: A shingle is common when this many sets hold it, and in each further tier when so many times
+#: more do. The most frequent COMMON_MOST are known to all tasks (12 MB); any set of common
+#: shingles gives the same result.
+COMMON_LEAST = 16
+TIER = 4
 COMMON_MOST = 1_000_000
 #: Within one chunk, shingles of fewer sets are not counted towards it.
-LOCAL_LEAST = 6
+LOCAL_LEAST = 3
+SIGNATURE_BYTES = 5
+#: Bytes of a shingle's hash that sets are compared by, and sets in a block of comparisons.
+ELEMENT_BYTES = 6
+BLOCK = 128
+#: Signatures that similar sets share at least, if both have SHARED_FROM elements; in the second
+#: round also half as many as their differences.
+SHARED, SHARED_FROM = 4, 24
+#: Sets of a group that all others are compared with in the first round.
+LEADERS = 6
+#: Pairs that are gathered before equal ones are counted together.
+GATHERED = 4_000_000
 #: A chunk of documents that is signed together, and signatures per shard.
-CHUNK_SHINGLES = 4_000_000
+CHUNK_SHINGLES = 3_000_000
 CHUNK_TEXTS = 60_000
 SHARD_SIGNATURES = 4_000_000
 
@@ -76,19 +90,21 @@ class Sets:
 class Bands:
     """Bands of set sizes; for each the number of parts and the bound on differences."""
 
-    def __init__(self, similar: tuple[int, int] = SIMILAR, upto: int = 1 << 40):
+    def __init__(self, similar: tuple[int, int] = SIMILAR, strict: bool = False, upto: int = 1 << 40):
         self.num, self.den = similar
-        first, self.last, self.parts = [], [], []
+        first, self.last, self.parts, self.shared = [], [], [], []
         low = 1
         while low < upto:
             high = low * self.den // self.num
             k = self.differ(high, high)
             first.append(low)
             self.last.append(high)
-            # A quarter more parts than may differ; small sets get more, to be told apart at all.
-            self.parts.append(max(k + k // 4 + 3, min(16, 8 * (k + 1))))
+            self.shared.append(1 if high < SHARED_FROM else max(SHARED, k // 2) if strict else SHARED)
+            # A quarter more parts than are signed; small sets get more, to be told apart at all.
+            signed = k + self.shared[-1]
+            self.parts.append(max(signed + signed // 4 + 4, min(24, 12 * (k + 1))))
             low = high + 1
-        self.first, self.last = np.array(first), np.array(self.last)
+        self.first, self.last, self.shared = np.array(first), np.array(self.last), np.array(self.shared)
 
     def differ(self, a, b):
         """Most elements in which similar sets of sizes ``a`` and ``b`` can differ."""
@@ -97,35 +113,53 @@ class Bands:
     def of(self, size: int) -> int:
         return int(np.searchsorted(self.first, size, "right")) - 1
 
-    def signatures(self, elements: np.ndarray, common: np.ndarray | None) -> np.ndarray:
+    def signatures(self, elements: np.ndarray, common: "Common") -> np.ndarray:
         """All signatures of one set."""
         size, out = len(elements), []
-        own = self.of(size)
-        rare = elements
-        if common is not None and len(common):
-            at = np.minimum(np.searchsorted(common, elements), len(common) - 1)
-            rare = elements[common[at] != elements]
+        own, frequency = self.of(size), common.frequency(elements)
         for band in (own, own + 1):
             k = self.differ(size, min(int(self.last[band]), size * self.den // self.num))
-            found = self._signed(rare, band, k, 0)
-            out.append(found)
-            if len(found) <= k:
-                found = self._signed(elements, band, k, 1)
-                out.append(found if len(found) > k else mixed(elements ^ np.uint64(3 + 4 * band)))
+            wanted = k + int(self.shared[band])
+            for space, bound in enumerate((*common.bounds, None)):
+                found = self._signed(elements if bound is None else elements[frequency < bound], band, wanted, space)
+                out.append(found)
+                if len(found) == wanted:
+                    break
+            else:
+                out.append(mixed(elements ^ np.uint64(3 + 4 * band)))
         return np.concatenate(out)
 
-    def _signed(self, elements: np.ndarray, band: int, k: int, space: int) -> np.ndarray:
-        """Signatures of the first k + 1 parts that are not empty, or of all if they are fewer."""
+    def _signed(self, elements: np.ndarray, band: int, wanted: int, space: int) -> np.ndarray:
+        """Signatures of the first ``wanted`` parts that are not empty, or of all if they are fewer."""
         parts = self.parts[band]
-        seed = np.uint64(((2 * band + space + 1) * 0xD1B54A32D192ED03) % (1 << 64))
+        seed = np.uint64(((64 * band + space + 1) * 0xD1B54A32D192ED03) % (1 << 64))
         spread = mixed(elements ^ seed)
-        part = ((spread >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+        part = (((spread >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
         sums = np.zeros(parts, np.uint64)
-        np.add.at(sums, part.astype(np.int64), mixed(spread))
-        filled = np.flatnonzero(np.bincount(part.astype(np.int64), minlength=parts))[: k + 1]
+        np.add.at(sums, part, spread)
+        filled = np.flatnonzero(np.bincount(part, minlength=parts))[:wanted]
         return mixed(sums[filled] ^ mixed(filled.astype(np.uint64) + seed))
 
 
+class Common:
+    """Common shingles and how many sets hold them at least."""
+
+    def __init__(self, counts: dict[int, int]):
+        self.shingles = np.sort(np.array(list(counts), np.int64).view(np.uint64))
+        self.counts = np.array([counts[x] for x in self.shingles.view(np.int64).tolist()], np.int64)
+        #: Shingles of so many sets or more are left out, tier by tier.
+        self.bounds, bound = [], COMMON_LEAST
+        while len(self.counts) and bound <= self.counts.max():
+            self.bounds.append(bound)
+            bound *= TIER
+
+    def frequency(self, elements: np.ndarray) -> np.ndarray:
+        if not len(self.shingles):
+            return np.zeros(len(elements), np.int64)
+        at = np.minimum(np.searchsorted(self.shingles, elements), len(self.shingles) - 1)
+        return np.where(self.shingles[at] == elements, self.counts[at], 0)
+
+
 def _digest(elements: np.ndarray) -> bytes:
     return hashlib.blake2b(elements.tobytes(), digest_size=16).digest()
 
@@ -162,9 +196,11 @@ def set_table(documents: DataFrame, shingle: int) -> DataFrame:
                 size = 0
         yield frequent()
 
-    return documents.mapInArrow(read, "doc_id bigint, n_shingles bigint, digest binary, shingle bigint, n_sets bigint")
+    return documents.mapInArrow(tidy(read), "doc_id bigint, n_shingles bigint, digest binary, shingle bigint, n_sets bigint")
 
 
+#: More signatures than two sets can share: sizes that exclude a link.
+NEVER = 1 << 62
 NAMES = ["doc_id", "n_shingles", "digest", "shingle", "n_sets"]
 PACKED = "shard int, ids binary, sizes binary, labels binary, signatures binary, owners binary, ties binary"
 
@@ -173,10 +209,10 @@ def signature_table(documents: DataFrame, shingle: int, similar, common, shards:
     """Signatures of chunks of documents (doc_id, text, label), packed by shard.
 
     With ``combine`` equal sets of a chunk sign once, and of the sets with one signature the
-    first is kept and tied to the others.
+    first LEADERS are kept and tied to the others.
     """
     def sign(batches):
-        sets, bands = Sets(shingle), Bands(similar)
+        sets, bands = Sets(shingle), Bands(similar, strict=not combine)
         frequent = common.value
         ids, sizes, labels, found, seen, size = [], [], [], [], {}, 0
         ties = []
@@ -189,16 +225,16 @@ def signature_table(documents: DataFrame, shingle: int, similar, common, shards:
             tied = [np.array(ties, np.int64).reshape(-1, 2)]
             key = np.array(ids, np.int64)
             if combine and len(signs):
-                first = np.r_[True, signs[1:] != signs[:-1]]
-                leader = owner[np.flatnonzero(first)][np.cumsum(first) - 1]
-                pairs = np.unique(np.column_stack((leader, owner))[~first], axis=0)
-                tied.append(np.column_stack((key[pairs[:, 0]], key[pairs[:, 1]])))
-                signs, owner = signs[first], owner[first]
+                begin, place = runs(signs)
+                rest = np.flatnonzero(place >= LEADERS)
+                pairs = np.unique(np.concatenate([owner[begin[rest] + n].astype(np.int64) << 32 | owner[rest] for n in range(LEADERS)]))
+                tied.append(np.column_stack((key[pairs >> 32], key[pairs & 0xFFFFFFFF])))
+                signs, owner = signs[place < LEADERS], owner[place < LEADERS]
             tied = np.concatenate(tied)
-            # The top bits choose the shard, the low 48 bits are sent.
+            # The top bits choose the shard, the low 40 bits are sent; a chance collision is one more comparison.
             shard = ((signs >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
             cut = np.searchsorted(shard, np.arange(shards + 1))
-            six = signs.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+            low = signs.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SIGNATURE_BYTES]
             rows = {name: [] for name in ("shard", "ids", "sizes", "labels", "signatures", "owners", "ties")}
             for n in range(shards):
                 own = owner[cut[n]: cut[n + 1]]
@@ -208,7 +244,7 @@ def signature_table(documents: DataFrame, shingle: int, similar, common, shards:
                     rows["ids"].append(key[used].tobytes())
                     rows["sizes"].append(np.array(sizes, np.int64)[used].astype(np.int32).tobytes())
                     rows["labels"].append(np.array(labels, np.int64)[used].tobytes() if not combine else b"")
-                    rows["signatures"].append(six[cut[n]: cut[n + 1]].tobytes())
+                    rows["signatures"].append(low[cut[n]: cut[n + 1]].tobytes())
                     rows["owners"].append(place.astype(np.uint16).tobytes())
                     rows["ties"].append(tied.tobytes() if n == 0 else b"")
             for x in (ids, sizes, labels, found, ties):
@@ -237,16 +273,55 @@ def signature_table(documents: DataFrame, shingle: int, similar, common, shards:
         if found:
             yield packed()
 
-    return documents.mapInArrow(sign, PACKED)
+    return documents.mapInArrow(tidy(sign), PACKED)
+
+
+def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For sorted values, where each one's run of equals begins, and its place in the run."""
+    at = np.arange(len(values))
+    first = np.ones(len(values), bool)
+    first[1:] = values[1:] != values[:-1]
+    begin = np.maximum.accumulate(np.where(first, at, 0)) if len(values) else at
+    return begin, at - begin
+
+
+class Tally:
+    """Counts pairs of places below 2**32, a bounded number at a time."""
+
+    def __init__(self):
+        self.codes, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.fresh, self.size = [], 0
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        # Slices keep what is gathered bounded, also for one very long call.
+        for at in range(0, len(a), GATHERED):
+            x, y = a[at: at + GATHERED].astype(np.int64), b[at: at + GATHERED].astype(np.int64)
+            self.fresh.append(np.minimum(x, y) << 32 | np.maximum(x, y))
+            self.size += len(x)
+            if self.size >= GATHERED:
+                self._merge()
+
+    def _merge(self) -> None:
+        codes, counts = np.unique(np.concatenate([np.zeros(0, np.int64), *self.fresh]), return_counts=True)
+        self.fresh, self.size = [], 0
+        merged, place = np.unique(np.concatenate((self.codes, codes)), return_inverse=True)
+        self.counts = np.bincount(place, np.concatenate((self.counts, counts)), len(merged)).astype(np.int64)
+        self.codes = merged
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        self._merge()
+        return self.codes >> 32, self.codes & 0xFFFFFFFF, self.counts
 
 
 def candidate_pairs(signatures: DataFrame, similar, combine: bool) -> DataFrame:
-    """(a, b, fits) of sets that share a signature; ``fits`` when their sizes allow a link.
+    """(a, b, fits) of sets that share a signature; ``fits`` when a link is possible.
 
-    With ``combine`` the first set of each signature with each other; else all pairs of
-    different labels whose sizes allow a link.
+    With ``combine`` the first LEADERS sets of each signature with each other; ``fits`` then when
+    the sizes allow a link. Else all pairs of different labels whose sizes allow a link and that
+    share as many signatures as similar sets do.
     """
     num, den = similar
+    bands = Bands(similar, strict=not combine)
 
     def pair(table: pa.Table) -> pa.Table:
         columns = [table.column(n).to_pylist() for n in range(table.num_columns)]
@@ -257,66 +332,108 @@ def candidate_pairs(signatures: DataFrame, similar, combine: bool) -> DataFrame:
         ids, sizes = np.concatenate(ids), np.concatenate(sizes)
         owner = np.concatenate([o + b for o, b in zip(own, base, strict=False)])
         signs = np.zeros((len(owner), 8), np.uint8)
-        signs[:, :6] = np.concatenate([np.frombuffer(x, np.uint8).reshape(-1, 6) for x in columns[4]])
+        signs[:, :SIGNATURE_BYTES] = np.concatenate([np.frombuffer(x, np.uint8).reshape(-1, SIGNATURE_BYTES) for x in columns[4]])
         signs = signs.view("<u8")[:, 0]
         order = np.lexsort((ids[owner], signs))
         signs, owner = signs[order], owner[order]
-        first = np.r_[True, signs[1:] != signs[:-1]] if len(signs) else np.zeros(0, bool)
+        begin, place = runs(signs)
+        size = np.bincount(begin, minlength=len(signs))[begin]
+        several = size > 1
+        tally = Tally()
         if combine:
-            leader = owner[np.flatnonzero(first)][np.cumsum(first) - 1]
-            a, b = leader[~first], owner[~first]
+            for n in range(LEADERS):
+                rest = np.flatnonzero(several & (place > n))
+                tally.add(owner[begin[rest] + n], owner[rest])
         else:
             labels = np.concatenate([np.frombuffer(x, np.int64) for x in columns[3]])
-            edges = np.append(np.flatnonzero(first), len(signs))
-            left, right = [], []
-            for x, y in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                for n in range(x, y - 1) if y - x > 1 else ():
-                    here, rest = owner[n], owner[n + 1: y]
-                    low, high = np.minimum(sizes[here], sizes[rest]), np.maximum(sizes[here], sizes[rest])
-                    other = rest[(labels[rest] != labels[here]) & (low * den >= high * num)]
-                    left.append(np.full(len(other), here))
-                    right.append(other)
-            a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (left, right))
+            mixed_group = np.bincount(begin, labels[owner] != labels[owner[begin]], minlength=len(signs))[begin] > 0
+            here, step = np.flatnonzero(several & mixed_group), 1
+            while len(here):
+                here = here[place[here] + step < size[here]]
+                a, b = owner[here], owner[here + step]
+                use = labels[a] != labels[b]
+                tally.add(a[use], b[use])
+                step += 1
+        a, b, shared = tally.pairs()
         low, high = np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b])
-        rows = np.unique(np.column_stack((np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b]), low * den >= high * num)).astype(np.int64).reshape(-1, 3), axis=0)
+        enough = 1 if combine else bands.shared[np.searchsorted(bands.first, high, "right") - 1]
+        least = np.where(low * den < high * num, NEVER, np.where(low < SHARED_FROM, 1, enough))
+        x, y = np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])
         tied = np.frombuffer(b"".join(columns[6]), np.int64).reshape(-1, 2)
-        rows = np.concatenate((rows, np.column_stack((tied.min(axis=1), tied.max(axis=1), np.ones(len(tied), np.int64))))) if len(tied) else rows
-        rows = rows[rows[:, 0] != rows[:, 1]]
-        return pa.table({"a": pa.array(rows[:, 0]), "b": pa.array(rows[:, 1]), "fits": pa.array(rows[:, 2].astype(bool))})
+        if len(tied):
+            x, y = np.append(x, tied.min(axis=1)), np.append(y, tied.max(axis=1))
+            least, shared = (np.append(v, np.ones(len(tied), np.int64)) for v in (least, shared))
+        # Of pairs that cannot be links, the second round has no use.
+        use = (x != y) & (combine | (least < NEVER))
+        return pa.table({"a": x[use], "b": y[use], "least": least[use].astype(np.int64), "shared": shared[use].astype(np.int64)})
 
-    return signatures.groupBy("shard").applyInArrow(pair, "a bigint, b bigint, fits boolean").groupBy("a", "b").agg(F.min("fits").alias("fits"))
+    found = signatures.groupBy("shard").applyInArrow(pair, "a bigint, b bigint, least bigint, shared bigint").groupBy("a", "b").agg(
+        (F.sum("shared") >= F.max("least")).alias("fits"))
+    return found if combine else found.where("fits")
+
+
+def blocks_of(pairs: DataFrame) -> DataFrame:
+    """(id, block) of all sets of ``pairs``; sets that are compared with each other tend to share one.
+
+    A set goes with the smallest id among its partners' partners. A small group shares its block
+    with others, a large one has several.
+    """
+    both = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    first = both.groupBy("a").agg(F.least("a", F.min("b")).alias("label"))
+    label = both.join(first.select(F.col("a").alias("b"), "label"), "b").groupBy("a").agg(F.least("a", F.min("label")).alias("label"))
+    label = kept(label.withColumnRenamed("a", "id"), "labels")
+    sizes = label.groupBy("label").agg(F.count("*").alias("n"))
+    spread = max(1, label.count() // BLOCK)
+    large = F.struct(F.col("label").alias("group"), F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK)).alias("part"))
+    small = F.struct(F.lit(None).cast("bigint").alias("group"), F.pmod(F.xxhash64("label"), F.lit(spread)).alias("part"))
+    return label.join(sizes, "label").select("id", F.when(F.col("n") > BLOCK, large).otherwise(small).alias("block"))
 
 
 def verified(pairs: DataFrame, documents: DataFrame, shingle: int, similar) -> DataFrame:
-    """(a, b, linked): each pair's sets compared exactly."""
+    """(a, b, linked): each pair's sets compared exactly.
+
+    Pairs are compared by pairs of blocks. A set is sent to each pair of blocks that needs it,
+    not to each of its pairs.
+    """
     num, den = similar
-    wanted = if_small(pairs.select(F.explode(F.array("a", "b")).alias("__wanted")).distinct())
+    block = kept(blocks_of(pairs), "blocks")
+    placed = pairs.join(block.select(F.col("id").alias("a"), F.col("block").alias("x")), "a").join(
+        block.select(F.col("id").alias("b"), F.col("block").alias("y")), "b")
+    placed = kept(placed.select("a", "b", F.xxhash64(F.least("x", "y"), F.greatest("x", "y")).alias("task")), "placed")
+    needs = placed.select("task", F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.collect_set("task").alias("tasks"))
 
     def read(batches):
         sets = Sets(shingle)
         for batch in slices(batches):
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([x.tobytes() for x in sets(batch.column(1))], pa.binary())], names=["id", "elements"])
-
-    # Of a repeated id any row will do: links are between ids.
-    sets = documents.join(wanted, F.col("doc_id") == F.col("__wanted"), "left_semi").select("doc_id", "text").mapInArrow(
-        read, "id bigint, elements binary").groupBy("id").agg(F.first("elements").alias("elements"))
-    sets = kept(sets, "sets")
-
-    def compare(batches):
-        for batch in batches:
-            linked = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                low, high = (x, y) if len(x) <= len(y) else (y, x)
-                at = np.minimum(np.searchsorted(high, low), len(high) - 1)
-                both = int((high[at] == low).sum())
-                linked.append(den * both >= num * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
-
-    joined = pairs.join(sets.withColumnRenamed("elements", "x"), F.col("a") == F.col("id")).drop("id").join(
-        sets.withColumnRenamed("elements", "y"), F.col("b") == F.col("id"))
-    return joined.select("a", "b", "x", "y").mapInArrow(compare, "a bigint, b bigint, linked boolean")
+            ids, tasks, rows = [], [], []
+            for key, wanted, elements in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), sets(batch.column(1)), strict=True):
+                # Distinct and in order of their low bytes; all sets lose the same bits.
+                low = np.unique(elements & np.uint64((1 << 8 * ELEMENT_BYTES) - 1)).astype("<u8").view(np.uint8)
+                body = low.reshape(-1, 8)[:, :ELEMENT_BYTES].tobytes()
+                for task in wanted:
+                    ids.append(key)
+                    tasks.append(task)
+                    rows.append(body)
+            yield pa.RecordBatch.from_arrays([pa.array(tasks, pa.int64()), pa.array(ids, pa.int64()), pa.array(rows, pa.binary())],
+                                             names=["task", "id", "elements"])
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        sets = {}
+        for key, body in zip(right.column("id").to_pylist(), right.column("elements"), strict=True):
+            wide = np.zeros((len(body.as_buffer()) // ELEMENT_BYTES, 8), np.uint8)
+            wide[:, :ELEMENT_BYTES] = np.frombuffer(body.as_buffer(), np.uint8).reshape(-1, ELEMENT_BYTES)
+            sets[key] = wide.view("<u8")[:, 0]  # of a repeated id any row will do
+        a, b, linked = left.column("a").to_pylist(), left.column("b").to_pylist(), []
+        for x, y in zip(a, b, strict=True):
+            low, high = sorted((sets[x], sets[y]), key=len)
+            at = np.minimum(np.searchsorted(high, low), len(high) - 1)
+            both = int((high[at] == low).sum())
+            linked.append(den * both >= num * (len(low) + len(high) - both))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "linked": pa.array(linked, pa.bool_())})
+
+    needed = documents.join(if_small(needs), F.col("doc_id") == F.col("id")).select("doc_id", "text", "tasks")
+    sets = needed.mapInArrow(tidy(read), "task bigint, id bigint, elements binary")
+    return placed.groupBy("task").cogroup(sets.groupBy("task")).applyInArrow(compare, "a bigint, b bigint, linked boolean")
 
 
 def ngram_join(documents: DataFrame, *, id_column: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
@@ -337,9 +454,8 @@ def ngram_join(documents: DataFrame, *, id_column: str = "doc_id", text: str = "
     # Rows of documents have a digest, rows of frequent shingles do not.
     nodes = table.where("digest IS NOT NULL").select("doc_id", "n_shingles", "digest")
     total = nodes.where("doc_id IS NOT NULL AND n_shingles > 0").agg(F.sum("n_shingles")).first()[0] or 0
-    least = max(COMMON_LEAST, total // COMMON_MOST)
-    frequent = table.where("digest IS NULL").groupBy("shingle").agg(F.sum("n_sets").alias("n")).where(F.col("n") >= least).select("shingle")
-    common = context.broadcast(np.sort(np.array([r[0] for r in frequent.collect()], np.int64).view(np.uint64)))
+    frequent = table.where("digest IS NULL").groupBy("shingle").agg(F.sum("n_sets").alias("n")).where(F.col("n") >= COMMON_LEAST)
+    common = context.broadcast(Common(dict(frequent.orderBy(F.desc("n"), "shingle").limit(COMMON_MOST).collect())))
     shards = max(1, -(-total // SHARD_SIGNATURES))
 
     # Equal sets are one class, named by their smallest id.
