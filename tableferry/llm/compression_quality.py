@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tableferry.llm.common import tidy
+
 #: Labelled rows used for fitting, chosen by the hash of their id: the first half for the
 #: dictionaries, the second for the curve.
 SAMPLE = 6000
@@ -146,4 +148,4 @@ def compression_quality(documents: DataFrame, model: Model, *, text: str = "text
                 [pa.array(x), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], fields=list(batch.schema.field(last).type))
             yield pa.RecordBatch.from_arrays([*batch.columns[:last], found], names=batch.schema.names)
 
-    return frame.mapInArrow(add, frame.schema)
+    return frame.mapInArrow(tidy(add), frame.schema)

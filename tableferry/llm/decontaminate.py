@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tableferry.llm.common import tidy
 from tableferry.llm.hashing import Words, slices, windows, within, word_table
 
 WINDOW = 13
@@ -139,7 +140,7 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, *, text: str = "te
     for number in range(blocks):
         rows = cut.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == number).collect()
         shared = spark.sparkContext.broadcast(Block([tuple(r) for r in rows]))
-        found = found.mapInArrow(_adder(shared, names.index(text), len(names)), found.schema)
+        found = found.mapInArrow(tidy(_adder(shared, names.index(text), len(names))), found.schema)
     return found
 
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 FACTOR = np.uint64(0x9E3779B97F4A7C15)  # odd, and 5 modulo 8
 INVERSE = np.uint64(pow(int(FACTOR), -1, 1 << 64))
 #: Bytes of text that are hashed at once; a longer text is a slice of its own.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_000_000
 
 SPACES = bytes([9, 10, 11, 12, 13, 32])
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -49,7 +49,7 @@ class Words:
 
     def _scale(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self._powers) < size:
-            longest = max(size, SLICE_BYTES + (1 << 20))
+            longest = max(size, SLICE_BYTES + (1 << 18))
             for name, factor in (("_powers", FACTOR), ("_inverse", INVERSE)):
                 steps = np.full(longest, factor, np.uint64)
                 steps[0] = 1

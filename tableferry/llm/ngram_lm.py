@@ -28,6 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tableferry.llm.common import tidy
 from tableferry.llm.elias_fano import EliasFano
 from tableferry.llm.hashing import SPACES, Words, mixed, slices, word_table
 
@@ -285,7 +286,7 @@ def score_texts(documents: DataFrame, training: Column, *, id_column: str = "doc
     shards = max(1, -(-size // shard_bytes))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return (
-        rows.mapInArrow(send(shards), ROWS)
+        rows.mapInArrow(tidy(send(shards)), ROWS)
         .groupBy("target").applyInArrow(answer, ROWS)
         .groupBy("chunk").applyInArrow(finish(shards, prior, weight), f"doc_id {kind}, training boolean, n_tokens bigint, "
                                        "n_known bigint, train_tokens bigint, base_score double, score double")

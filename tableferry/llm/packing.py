@@ -20,6 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tableferry.llm.common import tidy
+
 LENGTH = 1024
 #: Ends that are packed together: more give less padding and better balance.
 GROUP = 4096
@@ -164,5 +166,5 @@ def pack(documents: DataFrame, ranks: str, pattern: str, *, id_column: str = "do
 
     kind = fields[0].dataType.simpleString()
     return documents.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        pack_task, f"doc_id {kind}, start bigint, length bigint, doc_tokens bigint, "
+        tidy(pack_task), f"doc_id {kind}, start bigint, length bigint, doc_tokens bigint, "
                    "sequence_id bigint, offset bigint, ids binary")

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tableferry.llm.common import tidy
+
 KINDS = ("email", "ip", "card", "phone")
 #: The detectors' characters.
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -260,7 +262,7 @@ def find_pii(documents: DataFrame, *, text: str = "text", into: str = "pii") ->
                 found.append({name: [{"kind": k, "start": a, "end": b} for k, a, b in spans] for name, spans in (("base", base), ("added", extra))})
             yield pa.RecordBatch.from_arrays([*batch.columns[:last], pa.array(found, batch.schema.field(last).type)], names=batch.schema.names)
 
-    return frame.mapInArrow(add, frame.schema)
+    return frame.mapInArrow(tidy(add), frame.schema)
 
 
 def mask(text: str, spans: list[Span]) -> str:
@@ -290,4 +292,4 @@ def mask_pii(documents: DataFrame, *, text: str = "text") -> DataFrame:
                 texts.append(mask(value, base + extra) if base or extra else value)
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
 
-    return documents.mapInArrow(replace, documents.schema)
+    return documents.mapInArrow(tidy(replace), documents.schema)
