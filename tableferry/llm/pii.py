@@ -228,13 +228,43 @@ def disguised(text: str) -> list[Span]:
     return found
 
 
+def outside(start: int, end: int, spans: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """The parts of a range that none of ``spans`` (sorted, without overlap) covers."""
+    for n in range(max(0, bisect_right(spans, (start,)) - 1), len(spans)):
+        a, b = spans[n]
+        if a >= end:
+            break
+        if start < a:
+            yield start, a
+        start = max(start, b)
+    if start < end:
+        yield start, end
+
+
+def union(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted ranges without overlap that cover what ``ranges`` do."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(ranges):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
 def all_spans(text: str) -> tuple[list[Span], list[Span]]:
-    """Base spans, and the spans that deobfuscation adds where no base span of any kind is."""
+    """Base spans, and what deobfuscation adds to them.
+
+    An identifier that is disguised in part may hold a base span, or a part of one. Base spans
+    stay as they are; the rest of the identifier is added, so that both together cover it.
+    """
     base = detect(text)
+    covered = union([(a, b) for _, a, b in base])
     extra: list[Span] = []
     for kind, a, b in sorted(disguised(text), key=lambda s: (s[1], KINDS.index(s[0]))):
-        if not any(a < y and x < b for _, x, y in base + extra):
-            extra.append((kind, a, b))
+        # Later spans begin no earlier, so of the added ones only the last can reach into this one.
+        low = max(a, extra[-1][2]) if extra else a
+        extra += [(kind, x, y) for x, y in outside(low, b, covered)]
     return base, extra
 
 
@@ -245,7 +275,8 @@ def find_pii(documents: DataFrame, *, text: str = "text", into: str = "pii") ->
     """``documents`` with one more column, a struct of ``base`` and ``added`` spans.
 
     A span is (kind, start, end): code points of the text, end exclusive, by start and then in
-    the order of ``KINDS``. ``added`` spans come from rewriting and never overlap another span.
+    the order of ``KINDS``. ``added`` spans come from rewriting and never overlap another span: of
+    an identifier that holds base spans, the parts around them are added.
     All rows and columns of ``documents`` stay, repeated rows too; a column named ``into`` is
     replaced. A null or empty text has no spans.
     """
@@ -266,7 +297,7 @@ def find_pii(documents: DataFrame, *, text: str = "text", into: str = "pii") ->
 
 
 def mask(text: str, spans: list[Span]) -> str:
-    """``text`` with every span replaced by its kind in angle brackets; of overlapping ones the first stands."""
+    """``text`` with every span replaced by its kind in angle brackets; overlapping ones are one, of the first's kind."""
     out, at = [], 0
     for kind, a, b in sorted(spans, key=lambda s: (s[1], -s[2])):
         if a >= at:
@@ -288,8 +319,8 @@ def mask_pii(documents: DataFrame, *, text: str = "text") -> DataFrame:
         for batch in batches:
             texts = []
             for value in batch.column(at).to_pylist():
-                base, extra = all_spans(value or "")
-                texts.append(mask(value, base + extra) if base or extra else value)
+                spans = detect(value or "") + disguised(value or "")
+                texts.append(mask(value, spans) if spans else value)
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
 
     return documents.mapInArrow(tidy(replace), documents.schema)

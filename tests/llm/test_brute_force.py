@@ -260,6 +260,24 @@ def test_disguises(text, kind, hidden):
     assert [(k, text[a:b]) for k, a, b in extra] == [(kind, hidden)] and (base == [] or base[0][1] > text.index(hidden))
 
 
+@pytest.mark.parametrize(("text", "plain", "kind"), [
+    ("jоhn@example.com", "hn@example.com", "email"),
+    ("john dot smith@example.com", "smith@example.com", "email"),
+    ("john@example.cоm", "john@example.c", "email"),
+    ("john@mail.example [dot] com", "john@mail.example", "email"),
+    ("+49 170 12345 ６７８", "+49 170 12345", "phone"),
+    ("+4111 1111 1111 111１", "+4111 1111 1111 111", "card"),
+])
+def test_disguises_around_a_plain_remainder(text, plain, kind):
+    before = f"é x, {text}; y"
+    base, extra = pii.all_spans(before)
+    assert [before[a:b] for _, a, b in base] == [plain] and {k for k, *_ in extra} == {kind}
+    covered = {n for _, a, b in base + extra for n in range(a, b)}
+    assert "".join(c for n, c in enumerate(before) if n in covered).lstrip("+") == text.lstrip("+")
+    masked = pii.mask(before, pii.detect(before) + pii.disguised(before))
+    assert masked in (f"é x, <{kind}>; y", "é x, <phone>; y")
+
+
 @pytest.mark.parametrize("text", ["look at the dot. that is it", "un un un un un un un un un", "the at home dot that", "meet me at five or six", "one two three"])
 def test_plain_language_is_left_alone(text):
     assert pii.all_spans(text) == ([], [])
