@@ -4,15 +4,16 @@ A task reads documents in chunks, hashes their words and sends, to every shard o
 word-pair space, the sorted distinct hashes it has seen and how often they occur in training
 texts. A shard adds up what all chunks sent. It lays its pairs out as a trie in a memory-mapped
 file: the contexts, pointers to their followers, and the followers, each level an Elias-Fano
-sequence, with an 8-bit code per pair for its smoothed log-probability. It looks up the pairs of
-each chunk (context, then successor within the context's followers) and answers with codes and
-word counts. A chunk, which sent itself its own words along, then scores its documents.
+sequence, with an 8-bit code per pair for its count in the smoothed log-probability. It looks up the pairs of
+each chunk (context, then successor within the context's followers) and answers with codes, the
+few counts that are beyond the codes, and word counts. A chunk, which sent itself its own words along, then scores its documents.
 
 Everything a task holds is bounded by the chunk or the shard; a frequent word or pair costs each
 chunk one entry. Nothing but the number of tokens reaches the driver.
 
 The model: P(w | v) = (C(v, w) + WEIGHT * P(w)) / (C(v) + WEIGHT), where P(w) is the smoothed
-share of the word alone and C(v, w) is the pair's count as its code tells it.
+share of the word alone and C(v, w) is the pair's count as its code tells it. A count beyond the
+largest code's is kept as it is, so the error is the same for any size of corpus.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ WEIGHT = 30.0
 CHUNK_TOKENS = 3_000_000
 #: Bytes of text per shard.
 SHARD_BYTES = 1 << 25
-#: Counts up to this have a code of their own; larger ones share codes, 5 % apart.
+#: Counts up to this have a code of their own; larger ones share codes, 5 % apart, up to the last level.
 EXACT = 100
 LEVELS = np.concatenate((np.arange(EXACT + 1), EXACT * 1.05 ** np.arange(1, 256 - EXACT)))
 ROWS = "target bigint, chunk bigint, kind string, body binary"
@@ -181,21 +182,26 @@ class Trie:
         self.map = mmap.mmap(self.file.fileno(), 0, access=mmap.ACCESS_READ)
         self.contexts, self.pointers, self.followers = (EliasFano(self.map, at) for at in starts[:3])
         self.codes = np.frombuffer(self.map, np.uint8, len(pairs), starts[3])
+        #: Places and counts of the pairs beyond the last level: at most one per so many tokens.
+        self.far = np.flatnonzero(counts > LEVELS[-1])
+        self.far_counts = counts[self.far].astype(np.int64)
 
-    def look_up(self, pairs: np.ndarray) -> np.ndarray:
-        """Codes of pairs, 0 for those that training has not seen."""
+    def look_up(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Codes of pairs, 0 for those that training has not seen; which are beyond the codes, and their counts."""
         context = self.contexts.find(pairs >> np.uint64(32))
         out = np.zeros(len(pairs), np.uint8)
         known = np.flatnonzero(context >= 0)
         if not len(known):
-            return out
+            return out, known.astype(np.uint32), known.astype(np.int64)
         context = context[known]
         at = self.followers.find((context.astype(np.uint64) << np.uint64(32)) | (pairs[known] & np.uint64(0xFFFFFFFF)))
         # A hit lies between the context's pointers; this also holds the levels to each other.
         low, high = self.pointers.access(context), self.pointers.access(context + 1)
         hit = (at >= low.astype(np.int64)) & (at < high.astype(np.int64))
-        out[known[hit]] = self.codes[at[hit]]
-        return out
+        known, at = known[hit], at[hit]
+        out[known] = self.codes[at]
+        beyond = np.isin(at, self.far)
+        return out, known[beyond].astype(np.uint32), self.far_counts[np.searchsorted(self.far, at[beyond])]
 
 
 def answer(table: pa.Table) -> pa.Table:
@@ -227,7 +233,8 @@ def answer(table: pa.Table) -> pa.Table:
         trie = Trie(pairs[seen], pair_counts[seen])
         for key, own in asked:
             found = counts[np.searchsorted(words, EliasFano(own["words"]).values())] if len(words) else counts
-            row(key, "answer", pack(shard=np.array(table.column(0)[0].as_py()), counts=found, codes=trie.look_up(EliasFano(own["pairs"]).values()),
+            codes, far, far_counts = trie.look_up(EliasFano(own["pairs"]).values())
+            row(key, "answer", pack(shard=np.array(table.column(0)[0].as_py()), counts=found, codes=codes, far=far, far_counts=far_counts,
                                     totals=np.array([counts.sum(), (counts > 0).sum()])))
     return pa.Table.from_pydict(out, schema=pa.schema([("target", pa.int64()), ("chunk", pa.int64()), ("kind", pa.string()), ("body", pa.binary())]))
 
@@ -248,14 +255,19 @@ def finish(shards: int, prior: float, weight: float):
         _, order, _ = chunk.by_shard(shards)
         parts = [answers[n] for n in range(shards)]
         counts = np.concatenate([p["counts"] for p in parts]).astype(np.float64)
-        codes = np.zeros(len(chunk.pairs), np.uint8)
-        codes[order] = np.concatenate([p["codes"] for p in parts])
+        seen = np.zeros(len(chunk.pairs), np.float64)
+        at = 0
+        for p in parts:
+            own_pairs = order[at: at + len(p["codes"])]
+            seen[own_pairs] = LEVELS[p["codes"]]
+            seen[own_pairs[p["far"]]] = p["far_counts"]
+            at += len(own_pairs)
         tokens, types = np.sum([p["totals"] for p in parts], axis=0).tolist()
         alone = (counts + prior) / (tokens + prior * (types + 1))
         # A text begins as often as one ends.
         context = np.append(counts, counts[np.searchsorted(chunk.words, END)])
         single = np.log10(alone)[chunk.place]
-        both = np.log10((LEVELS[codes[chunk.pair_place]] + weight * alone[chunk.place]) / (context[chunk.before] + weight))
+        both = np.log10((seen[chunk.pair_place] + weight * alone[chunk.place]) / (context[chunk.before] + weight))
         starts = np.cumsum(chunk.sizes) - chunk.sizes
         ids = pa.ipc.open_stream(own["ids"]).read_all().column(0)
         add = lambda values: pa.array(np.add.reduceat(values, starts))

@@ -119,6 +119,27 @@ def test_language_model_scores(documents, texts, shard_bytes):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_counts_beyond_the_codes_are_kept(spark):
+    """A pair of over a million occurrences in training, and one just beyond the last level."""
+    texts = ["a b " * 200_000] * 6 + ["c d " * 33_000] * 6 + ["x y", None]
+    assert 6 * 200_000 > 1_000_000 and 6 * 33_000 > LEVELS[-1]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    one, two = Counter(), Counter()
+    for own in ([*(t or "").split(), None] for t in texts):
+        one.update(own)
+        two.update(zip([0, *own], own))
+    total, types = sum(one.values()), len(one)
+    alone = lambda w: (one[w] + 0.1) / (total + 0.1 * (types + 1))
+    for shard_bytes in (1 << 20, 1 << 30):
+        rows = score_texts(frame, F.lit(True), weight=30, shard_bytes=shard_bytes).collect()
+        assert len(rows) == len(texts)
+        for r in rows:
+            own = [*(texts[r.doc_id] or "").split(), None]
+            pairs = Counter(zip([0, *own], own))
+            exact = sum(n * math.log10((two[v, w] + 30 * alone(w)) / (one[v if v != 0 else None] + 30)) for (v, w), n in pairs.items())
+            assert abs(r.score - exact) < 1e-6 * len(own) + 0.05
+
+
 # --- 3: quality classifier --------------------------------------------------------------
 
 
