@@ -52,27 +52,37 @@ HIDDEN = re.compile("[" + "".join(map(re.escape, map(chr, sorted(_CODES)))) + "]
 #: Characters without width are removed.
 INVISIBLE = re.compile("[​‌‍⁠﻿­]+")
 _WORD = "|".join(sorted(SPELLED, key=len, reverse=True))
-#: Seven digits or more, of which at least one is spelled; "plus" may precede them.
-NUMBER = re.compile(rf"(?<![^\W_])(?:(?:plus|\+)[\s-]*)?(?:(?:{_WORD}|[0-9])(?:[\s.,-]{{1,3}}|(?=[0-9])|(?<=[0-9]))){{6,}}(?:{_WORD}|[0-9])(?![^\W_])", re.I)
+#: Ten digits or more, some of which may be spelled; "plus" may precede them.
+NUMBER = re.compile(rf"(?<![^\W_])(?:(?:plus|\+)[\s(-]*)?(?:(?:{_WORD}|[0-9])(?>[\s.,;/()-]{{1,4}}|(?=[0-9])|(?<=[0-9]))){{9,}}(?:{_WORD}|[0-9])(?![^\W_])", re.I)
 DIGIT = re.compile(rf"{_WORD}|[0-9]", re.I)
-#: A spelled number has at least so many different digit words; "un un un" is none.
+#: Digits of a phone number, of a card number, and the fewest of either.
+PHONE_DIGITS, CARD_DIGITS, LEAST = range(10, 16), range(14, 20), 10
+#: A run that lists numbers of several digits ("1990, 1991 and so on") is one number only with so many different digit words.
 DIFFERENT = 3
-SEPARATORS = str.maketrans("-,.", "   ")
+LISTED = re.compile(r"[^,;\n\r]+")
+SEPARATORS = str.maketrans("-,.;:/()[]{}<>\"'!?*", " " * 19)
 OPEN, SHUT = r"[\[({<]", r"[\])}>]"
 #: " at " and " dot ", bare or in brackets, and in brackets without spaces.
-AT = rf"(?:\s*{OPEN}\s*(?:at|@)\s*{SHUT}\s*|\s+(?:at|AT|@)\s+|\s+@|@\s+)"
-DOT = rf"(?:\s*{OPEN}\s*(?:dot|\.|punkt|point|punto)\s*{SHUT}\s*|\s+(?:dot|DOT|punkt|point|punto)\s+)"
-NAME = r"[A-Za-z0-9_%+-]"
-#: A disguised address has a disguised @, or a plain one and a disguised dot.
-ADDRESS = re.compile(
-    rf"(?<![A-Za-z0-9._%+-])(?:{NAME}{{1,64}}(?:(?:\.|{DOT}){NAME}{{1,64}}){{0,4}}?)(?P<at>{AT}|@)"
-    rf"[A-Za-z0-9-]{{1,63}}(?:(?:\.|{DOT})[A-Za-z0-9-]{{1,63}}){{0,5}}(?:\.|{DOT})[A-Za-z]{{2,24}}(?![A-Za-z0-9-])", re.I)
-MARK = re.compile(rf"{AT}|{DOT}", re.I)
-#: The last part of an address whose @ and dots are both bare words.
+AT = re.compile(rf"\s*+{OPEN}\s*+(?:at|@)\s*+{SHUT}\s*+|\s++(?:at|@)\s++|\s++@|@\s++|@", re.I)
+DOT = rf"(?:\s*+{OPEN}\s*+(?:dot|\.|punkt|point|punto)\s*+{SHUT}\s*+|\s++(?:dot|punkt|point|punto)\s++)"
+#: Names joined by dots, plain or disguised: what may stand before and after the @.
+LOCALS = re.compile(rf"[A-Za-z0-9_%+-]++(?:(?:\.|{DOT})[A-Za-z0-9_%+-]++)*+", re.I)
+HOSTS = re.compile(rf"[A-Za-z0-9-]++(?:(?:\.|{DOT})[A-Za-z0-9-]++)*+", re.I)
+MARK = re.compile(DOT, re.I)
+JOINT = re.compile(rf"\.|{DOT}", re.I)
+LETTERS = re.compile("[A-Za-z]{2,24}")
+#: The last part of an address whose @ or last dot is a bare word.
 TOP = frozenset("com org net edu gov info biz io co ai app dev me de fr es it uk eu us ca ch at nl be pl ru jp cn in br au".split())
 DOTS = ("dot", "punkt", "point", "punto")
-BRACKETED = re.compile(rf"{OPEN}\s{{0,9}}(?:at|@|\.)\s{{0,9}}{SHUT}", re.I)
-SIGN = re.compile(rf"{OPEN}\s{{0,9}}(?:at|dot|@|\.|punkt|point|punto)\s{{0,9}}{SHUT}|\s(?:dot|punkt|point|punto)\s|\s@|@\s", re.I)
+#: "Write to jane at example.com" is an address, "look at example.com" is not: before a bare "at" and a plain
+#: host, a name shows itself by a sign that words do not have, or by a word for mail shortly before it.
+NAMELIKE = re.compile("(?=.*[A-Za-z]).*[0-9._%+]")
+MAIL = re.compile(r"mail|contact|courriel|correo|kontakt|write to|reach|schreib", re.I)
+NEAR = 40
+NO_NAMES = frozenset("us me it them him her you we i is are be look only here there online found available directly and or arrive mail email e-mail".split())
+BRACKETED = re.compile(rf"{OPEN}\s*+(?:at|@|\.)\s*+{SHUT}", re.I)
+SIGN = re.compile(rf"{OPEN}\s*+(?:at|dot|@|\.|punkt|point|punto)\s*+{SHUT}|\s(?:dot|punkt|point|punto)\s|\s@|@\s", re.I)
+BARE = re.compile(rf"\s[Aa][Tt]\s++[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*\.(?:{'|'.join(sorted(TOP))})(?![A-Za-z0-9@-])", re.I)
 
 Span = tuple[str, int, int]
 #: (first, end, replacement) in the source of one transducer.
@@ -167,32 +177,101 @@ def invisible(text: str) -> list[Edit]:
     return [(m.start(), m.end(), "") for m in INVISIBLE.finditer(text)]
 
 
+def _may_spell_number(text: str) -> bool:
+    """Whether words and numbers in a row hold enough digits, of which one is spelled."""
+    size, spelled = 0, False
+    for token in text.lower().translate(SEPARATORS).split():
+        if token in SPELLED:
+            size, spelled = size + 1, True
+        elif "0" <= token[0] <= "9" or "0" <= token[-1] <= "9":
+            size += len(token)
+            spelled |= not token.isdigit()
+        elif size:
+            if spelled and size >= LEAST:
+                return True
+            size, spelled = 0, False
+    return spelled and size >= LEAST
+
+
+def _is_number(digits: str) -> bool:
+    return len(digits) in PHONE_DIGITS or len(digits) in CARD_DIGITS and _luhn(digits)
+
+
 def spelled_numbers(text: str) -> list[Edit]:
+    """Runs of digits and digit words, at least one of them, that a detector takes once they are rewritten."""
     edits = []
-    if len(SPELLED.keys() & text.lower().translate(SEPARATORS).split()) < DIFFERENT:
-        return edits
-    for m in NUMBER.finditer(text):
-        found = [d.lower() for d in DIGIT.findall(m[0])]
-        if len(SPELLED.keys() & found) >= DIFFERENT:
-            sign = "+" if m[0][:1] == "+" or m[0][:4].lower() == "plus" else ""
-            edits.append((m.start(), m.end(), sign + "".join(SPELLED.get(d, d) for d in found)))
+
+    def judge(start, end):
+        found = [d.lower() for d in DIGIT.findall(text, start, end)]
+        digits, words = "".join(SPELLED.get(d, d) for d in found), SPELLED.keys() & found
+        # A number that stands there as it is, and one digit word beside it: that word is ordinary language.
+        beside = sum(d in SPELLED for d in found) == 1 and detect(text[start:end])
+        if words and _is_number(digits) and not beside:
+            sign = "+" if text[start] == "+" or text[start: start + 4].lower() == "plus" else ""
+            edits.append((start, end, sign + digits))
+            return True
+        return False
+
+    for m in NUMBER.finditer(text) if _may_spell_number(text) else ():
+        parts = [(p.start(), p.end()) for p in LISTED.finditer(text, m.start(), m.end())]
+        lists = len(parts) > 1 and any(len(DIGIT.findall(text, *p)) > 1 for p in parts)
+        if lists and len(SPELLED.keys() & {d.lower() for d in DIGIT.findall(m[0])}) < DIFFERENT or not judge(m.start(), m.end()):
+            for start, end in parts if len(parts) > 1 else ():
+                own = text[start:end]
+                judge(start + len(own) - len(own.lstrip(" \t.;/()-")), start + len(own.rstrip(" \t.;/()-+")))
     return edits
 
 
 def _may_hide_address(text: str) -> bool:
     low = text.lower()
-    return ("@" in text or any(dot in low for dot in DOTS) or BRACKETED.search(text) is not None) and SIGN.search(text) is not None
+    if ("@" in text or any(dot in low for dot in DOTS) or BRACKETED.search(text) is not None) and SIGN.search(text) is not None:
+        return True
+    return "at" in low and BARE.search(text) is not None
+
+
+def _host_end(text: str, start: int, end: int, bare_at: bool) -> int:
+    """Where the longest plausible host in text[start:end] ends, or 0: its last part has letters
+    only, and is a known one after a dot as a bare word and, if no dot is in brackets, a bare at."""
+    joints = [(m.start(), m.end()) for m in JOINT.finditer(text, start, end)]
+    if not joints:
+        return 0
+    ends = [a for a, _ in joints[1:]] + [end]
+    bracketed = [not text[a:b].strip().isalpha() and b - a > 1 for a, b in joints]
+    at = found = 0
+    any_bracket = False
+    for (a, b), stop, bracket in zip(joints, ends, bracketed, strict=True):
+        last = text[b:stop]
+        any_bracket |= bracket
+        if LETTERS.fullmatch(last):
+            known = last.lower() in TOP
+            bare_dot = text[a:b].strip().isalpha()
+            if known or not bare_dot and (any_bracket or not bare_at):
+                found = stop
+            elif any_bracket or not bare_at:
+                at = at or stop
+    return found or at
 
 
 def disguised_addresses(text: str) -> list[Edit]:
-    edits = []
-    for m in ADDRESS.finditer(text) if _may_hide_address(text) else ():
-        marks = list(MARK.finditer(text, m.start(), m.end()))
-        # "at" and "dot" as bare words are ordinary language: then the address must end like one.
-        bare = [x[0].strip().isalpha() for x in marks]
-        if m["at"].strip().lower() == "at" and not (len(marks) > 1 and (not all(bare) or re.split(r"[\s.]", m[0])[-1].lower() in TOP)):
+    """The marks of addresses with a disguised @, or a plain one and a disguised dot."""
+    edits: list[Edit] = []
+    place = 0 if _may_hide_address(text) else len(text)
+    while local := LOCALS.search(text, place):
+        place = local.end()
+        at = AT.match(text, place)
+        host = at and HOSTS.match(text, at.end())
+        if not host or text[host.end(): host.end() + 1] in ("@", "_"):
+            continue
+        bare = at[0].strip().lower() == "at"
+        end = _host_end(text, host.start(), host.end(), bare)
+        marks = [m for a, b in ((local.start(), local.end()), (host.start(), end)) for m in MARK.finditer(text, a, b)] if end else []
+        if not end or len(at[0]) == 1 and not marks:
+            continue
+        if bare and not marks and not NAMELIKE.match(local[0]) and (
+                local[0].lower() in NO_NAMES or not MAIL.search(text, max(0, local.start() - NEAR), local.start())):
             continue
-        edits += [(x.start(), x.end(), "@" if re.search("at|@", x[0], re.I) else ".") for x in marks]
+        edits += sorted([(m.start(), m.end(), ".") for m in marks] + [(at.start(), at.end(), "@")])
+        place = end
     return edits
 
 

@@ -281,6 +281,29 @@ def test_disguises(text, kind, hidden):
     assert [(k, text[a:b]) for k, a, b in extra] == [(kind, hidden)] and (base == [] or base[0][1] > text.index(hidden))
 
 
+@pytest.mark.parametrize(("before", "hidden", "after", "kind"), [
+    ("call ", "+1 555 one two 3 4567", " now", "phone"),
+    ("call ", "nine nine nine eight eight eight eight nine nine nine", ".", "phone"),
+    ("(", "five five five) one one one; two two two two", "", "phone"),
+    ("card (", "four 111 1111 1111 1111", ")", "card"),
+    ("ask ", "jane.doe at example.com", ", or look at example.com", "email"),
+    ("please e-mail ", "jane at example.org", " today", "email"),
+    ("", "a.b.c.d.e.f.g [at] example [dot] com", "", "email"),
+    ("", "a dot b dot c dot d dot e dot f at example dot com", " now", "email"),
+    ("look at ", "john.smith@example [dot] com", "", "email"),
+])
+def test_disguises_of_few_words_or_marks(before, hidden, after, kind):
+    text = before + hidden + after
+    base, extra = pii.all_spans(text)
+    assert [(k, text[a:b]) for k, a, b in extra] == [(kind, hidden)] and not base
+
+
+@pytest.mark.parametrize("text", ["visit us at example.com", "In 1990, 1991, 1992, one of them", "it is version 2.0 at example.org", "one 1" + "1" * 5000 + "x"])
+def test_plain_language_near_disguises_is_left_alone(text):
+    assert pii.all_spans(text) == ([], [])
+    assert pii.all_spans("+1 (848) 555-1373 Un, a.b@example.com dot then")[1] == []
+
+
 @pytest.mark.parametrize(("text", "plain", "kind"), [
     ("jоhn@example.com", "hn@example.com", "email"),
     ("john dot smith@example.com", "smith@example.com", "email"),
