@@ -25,20 +25,16 @@ def numbered_turns(turns: DataFrame, *, conv: str = "conv_id", turn: str = "turn
     """Rows (conv_id, position, role, text) with the prefix hash ``h1``, ``h2`` and ``is_last``.
 
     Turns are ordered by number (null first), then role and text; a turn that is logged twice
-    with equal role and text counts once. Positions start at 1.
+    with equal role and text counts once; repeated logs are made one before they meet in a block.
+    Positions start at 1.
     """
     clean = turns.where(F.col(conv).isNotNull()).select(
         F.col(conv).alias("conv_id"), F.col(turn).cast("bigint").alias("turn"),
         F.coalesce(F.col(role), F.lit("unknown")).alias("role"), text_of(text).alias("text"),
-    ).withColumn("block", F.coalesce(F.floor(F.col("turn") / block).cast("bigint"), F.lit(-(1 << 62))))
+    ).distinct().withColumn("block", F.coalesce(F.floor(F.col("turn") / block).cast("bigint"), F.lit(-(1 << 62))))
     in_block = Window.partitionBy("conv_id", "block").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
     before = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    row = F.struct("turn", "role", "text")
-    single = (
-        clean.withColumn("__again", F.lag(row).over(in_block).eqNullSafe(row))
-        .where("NOT __again").drop("__again")
-        .withColumn("__place", F.row_number().over(in_block).cast("bigint"))
-    )
+    single = clean.withColumn("__place", F.row_number().over(in_block).cast("bigint"))
     starts = single.groupBy("conv_id", "block").agg(F.count("*").alias("__n")).select(
         "conv_id", "block", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"),
         F.sum("__n").over(Window.partitionBy("conv_id")).alias("n_turns"))

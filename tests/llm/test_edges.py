@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tableferry.llm.chat import collapse_and_render
+from tableferry.llm.chat import collapse_and_render, numbered_turns
 from tableferry.llm.compression_quality import Model, compression_quality, fit
 from tableferry.llm.decontaminate import decontaminate
 from tableferry.llm.ngram_join import ngram_join
@@ -128,6 +128,17 @@ def test_chat_on_odd_rows(spark):
     assert collapse_and_render(log.where("false")).count() == 0
 
 
+def test_repeated_logs_are_made_one_before_the_window(spark):
+    log = spark.range(60_000).selectExpr("id % 1 AS conv_id", "if(id % 3 = 0, NULL, id % 3) AS turn", "'user' AS role", "concat('hi', id % 1) AS text")
+    plan = numbered_turns(log)._jdf.queryExecution().optimizedPlan().toString()
+    lines = [line.strip(" :+-|") for line in plan.splitlines()]
+    window = next(n for n, line in enumerate(lines) if line.startswith("Window") and "row_number" in line)
+    below = next(line for line in lines[window + 1:] if not line.startswith("Project"))
+    assert below.startswith("Aggregate [")
+    rows = collapse_and_render(log).collect()
+    assert [(r.conv_id, r.n_turns, r.n_copies) for r in rows] == [(0, 3, 1)]
+
+
 def test_a_long_conversation_is_split_over_blocks_and_parts(spark):
     log = spark.range(1000).selectExpr("id % 2 AS conv_id", "id AS turn", "'user' AS role", "if(id > 900 AND id % 2 = 1, 'x', string(id div 2)) AS text")
     short = log.where("conv_id = 0 AND turn < 300").withColumn("conv_id", F.lit(7).cast("bigint"))
