@@ -12,6 +12,7 @@ from tableferry.llm.chat import collapse_and_render
 from tableferry.llm.common import read
 from tableferry.llm.compression_quality import compression_quality, fit
 from tableferry.llm.decontaminate import decontaminate
+from tableferry.llm.filter_audit import failing_ids, filter_audit, text_filters
 from tableferry.llm.ngram_join import ngram_join
 from tableferry.llm.ngram_lm import score_texts
 from tableferry.llm.packing import pack
@@ -19,6 +20,7 @@ from tableferry.llm.pii import KINDS, find_pii
 from tableferry.llm.quality_rules import quality_rules
 from tableferry.llm.secret_scan import KINDS as SECRET_KINDS
 from tableferry.llm.secret_scan import find_secrets, labelled_samples, train
+from tableferry.llm.sharding import MULTIPLIER, SHARDS, shard_slots
 from tableferry.llm.url_rules import url_rules
 
 
@@ -204,6 +206,77 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "rules.n_repeat_words", "rules.base_failed", "rules.score", "rules.kept")
 
 
+SQL_OP11 = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^ \t-\r]+') AS w
+    FROM documents),
+fails AS (
+    SELECT doc_id, part,
+        CASE WHEN len(w) < 50 THEN 'A' ELSE '' END
+        || CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END
+        || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) THEN 'C' ELSE '' END
+        || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+        || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS failed
+    FROM d),
+letters(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (SELECT filter_order, step, filter_order[step] AS f, filter_order[1:step - 1] AS before FROM orders, unnest(range(1, 6)) AS t(step)),
+marked AS (
+    SELECT part, failed, doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS good, doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS toxic
+    FROM fails),
+patterns AS (SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM marked GROUP BY ALL),
+found AS (
+    SELECT part, filter_order, step, f,
+        CAST(sum(CASE WHEN translate(before || f, failed, '') = before || f THEN n ELSE 0 END) AS BIGINT) AS kept,
+        CAST(sum(CASE WHEN contains(failed, f) AND translate(before, failed, '') = before THEN n ELSE 0 END) AS BIGINT) AS removed,
+        CAST(sum(CASE WHEN contains(failed, f) AND translate(before, failed, '') <> before THEN n ELSE 0 END) AS BIGINT) AS redundant,
+        CAST(sum(CASE WHEN failed = f THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+        CAST(sum(CASE WHEN contains(failed, f) AND translate(before, failed, '') = before THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+        CAST(sum(CASE WHEN contains(failed, f) AND translate(before, failed, '') = before THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost
+    FROM patterns, steps GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+    CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM found
+"""
+
+
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    failing = failing_ids(read(spark, sf_dir, "documents").select("doc_id", "text", "source"), text_filters(), repeats="E")
+    labels = read(spark, sf_dir, "labels")
+    return filter_audit(failing, {"good": labels.where("quality = 1"), "toxic": labels.where("toxic = 1")})
+
+
+def _crc_of_nibble(n: int) -> int:
+    for _ in range(4):
+        n = n >> 1 ^ (0xEDB88320 if n & 1 else 0)
+    return n
+
+
+SQL_OP13 = f"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size,
+        xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+            string_split(regexp_replace(hex(encode(coalesce(text, ''))), '(.)(.)', '\\2\\1', 'g'), ''), lambda h: CAST(strpos('0123456789ABCDEF', h) - 1 AS BIGINT))),
+            lambda crc, h: CASE WHEN h < 0 THEN crc ELSE xor(crc >> 4, CAST({[_crc_of_nibble(n) for n in range(16)]} AS BIGINT[])[(xor(crc, h) & 15) + 1]) END)) AS text_crc32
+    FROM documents),
+walk(doc_id, key, pos, coming) AS (
+    SELECT DISTINCT doc_id, CASE WHEN doc_id < 0 THEN doc_id + 18446744073709551616::HUGEINT ELSE coalesce(doc_id, 0)::HUGEINT END, -1::BIGINT, 0::BIGINT FROM documents
+    UNION ALL
+    SELECT doc_id, k, coming, CAST(floor((coming + 1)::DOUBLE * (2147483648::DOUBLE / (k // 8589934592 + 1)::DOUBLE)) AS BIGINT)
+    FROM (SELECT doc_id, pos, coming, (key * {MULTIPLIER} + 1) % 18446744073709551616::HUGEINT AS k FROM walk WHERE coming <= {SHARDS})),
+shards AS (SELECT doc_id, max(pos) FILTER (pos < {SHARDS}) AS shard, max(pos) AS grown FROM walk GROUP BY doc_id)
+SELECT d.doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
+    row_number() OVER (PARTITION BY shard ORDER BY d.doc_id, size, text_crc32) - 1 AS slot, CAST(grown AS INTEGER) AS grown_shard
+FROM d JOIN shards ON d.doc_id IS NOT DISTINCT FROM shards.doc_id
+"""
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_slots(read(spark, sf_dir, "documents"), SHARDS).withColumn("law", F.lit("key"))
+
+
 QUERIES = {
     "op1_lm_scoring": (op1, None),
     "op2_url_rules": (op2, SQL_OP2),
@@ -215,4 +288,6 @@ QUERIES = {
     "op8_pii": (op8, None),
     "op9_ngram_join": (op9, SQL_OP9),
     "op10_quality_rules": (op10, None),
+    "op11_filter_audit": (op11, SQL_OP11),
+    "op13_sharding": (op13, SQL_OP13),
 }
