@@ -47,6 +47,16 @@ def kept(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def discard(frame: DataFrame) -> None:
+    """Deletes the files of a frame that ``kept`` wrote, or that is made of one; nothing may read them any more."""
+    spark, folder = frame.sparkSession, shared_folder(frame.sparkSession)
+    for path in {file.rsplit("/", 1)[0] for file in frame.inputFiles()}:
+        # Only what lies directly in the shared folder was written there by ``kept``.
+        if path.rsplit("/", 1)[0].split(":", 1)[-1].lstrip("/") == folder.split(":", 1)[-1].strip("/"):
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def tidy(run):
     """A function over Arrow batches that gives its memory back to the system when it is done.
 

@@ -18,6 +18,7 @@ from tableferry.llm.ngram_lm import score_texts
 from tableferry.llm.packing import pack
 from tableferry.llm.pii import KINDS, find_pii
 from tableferry.llm.quality_rules import quality_rules
+from tableferry.llm.ranked_search import ranked_search
 from tableferry.llm.secret_scan import KINDS as SECRET_KINDS
 from tableferry.llm.secret_scan import find_secrets, labelled_samples, train
 from tableferry.llm.sharding import MULTIPLIER, SHARDS, shard_slots
@@ -248,6 +249,36 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit(failing, {"good": labels.where("quality = 1"), "toxic": labels.where("toxic = 1")})
 
 
+SQL_OP12 = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS row, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x{00}-\x{2F}\x{3A}-\x{40}\x{5B}-\x{60}\x{7B}-\x{7F}]+')) AS term
+    FROM documents),
+counted AS (SELECT row, doc_id, term, count(*) AS tf FROM d GROUP BY ALL),
+lengths AS (SELECT row, sum(tf)::BIGINT AS n FROM counted GROUP BY row),
+total AS (SELECT count(*) AS nd, sum(n)::BIGINT AS l FROM lengths),
+i AS (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x{00}-\x{2F}\x{3A}-\x{40}\x{5B}-\x{60}\x{7B}-\x{7F}]+')) AS term
+    FROM benchmark),
+asked AS (SELECT item_id, term, count(*) AS q FROM i GROUP BY ALL),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+    FROM counted, total WHERE term IN (SELECT term FROM asked) GROUP BY term, nd),
+scores AS (
+    SELECT item_id, row, doc_id, CAST(sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nd) // l)))) AS BIGINT) AS score
+    FROM asked JOIN weights USING (term) JOIN counted USING (term) JOIN lengths USING (row), total GROUP BY ALL),
+ranked AS (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+    FROM scores WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 20
+"""
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
+
+
 def _crc_of_nibble(n: int) -> int:
     for _ in range(4):
         n = n >> 1 ^ (0xEDB88320 if n & 1 else 0)
@@ -289,5 +320,6 @@ QUERIES = {
     "op9_ngram_join": (op9, SQL_OP9),
     "op10_quality_rules": (op10, None),
     "op11_filter_audit": (op11, SQL_OP11),
+    "op12_ranked_search": (op12, SQL_OP12),
     "op13_sharding": (op13, SQL_OP13),
 }
