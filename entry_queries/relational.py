@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableferry import (
-    load_parquet, measure_scan, preview, run_many, run_query, run_update, scan_geometry,
+    Affine, load_parquet, measure_scan, preview, run_many, run_query, run_update, scan_geometry,
 )
 
 from .common import TABLES, new_table, read, views
@@ -177,6 +177,91 @@ QUERIES["a4_many_delete_self"] = (
 )
 
 
+def _bands(spark, sf_dir):
+    """A price band per customer, some open to no row, and a null here and there."""
+    return read(spark, sf_dir, "customer").selectExpr(
+        "c_custkey", "100 * abs(c_acctbal) AS low",
+        "CASE WHEN c_custkey % 11 > 0 THEN 100 * abs(c_acctbal) + 10 * (c_custkey % 100) END AS high", "c_custkey % 7 AS step", "c_mktsegment AS segment")
+
+
+BANDS = """bands AS (
+    SELECT c_custkey, 100 * abs(c_acctbal) AS low, CASE WHEN c_custkey % 11 > 0 THEN 100 * abs(c_acctbal) + 10 * (c_custkey % 100) END AS high,
+        c_custkey % 7 AS step, c_mktsegment AS segment FROM customer)"""
+
+
+def many_range(spark, sf_dir):
+    return run_many(read(spark, sf_dir, "orders"), _bands(spark, sf_dir).select("c_custkey", "low", "high"), {}, "select",
+                    between={"o_totalprice": ("low", "high")}).frame.select("c_custkey", "o_orderkey", "o_totalprice")
+
+
+QUERIES["a4_many_range"] = (
+    many_range,
+    f"WITH {BANDS} SELECT c_custkey, o_orderkey, o_totalprice FROM orders JOIN bands ON o_totalprice BETWEEN low AND high",
+)
+
+
+def many_range_update(spark, sf_dir):
+    """The last band that holds an order's price sets its priority; one end of the range only for the second statement."""
+    changed = run_many(read(spark, sf_dir, "orders"), _bands(spark, sf_dir), {}, "update",
+                       assign={"o_orderpriority": "segment"}, order_by="step", between={"o_totalprice": ("low", "high")})
+    again = run_many(changed.frame, _bands(spark, sf_dir).where("step = 3"), {}, "update",
+                     assign={"o_orderstatus": "segment"}, order_by="low", between={"o_totalprice": ("low", None)})
+    return again.frame.select("o_orderkey", "o_orderpriority", "o_orderstatus")
+
+
+QUERIES["a4_many_range_update"] = (
+    many_range_update,
+    f"""WITH {BANDS},
+    hits AS (SELECT o_orderkey, max({{'step': step, 'segment': segment}}) AS last FROM orders JOIN bands ON o_totalprice BETWEEN low AND high GROUP BY o_orderkey),
+    over AS (SELECT o_orderkey, max({{'low': low, 'segment': segment}}) AS last FROM orders JOIN bands ON o_totalprice >= low WHERE step = 3 GROUP BY o_orderkey)
+    SELECT o_orderkey, coalesce(hits.last.segment, o_orderpriority) AS o_orderpriority, coalesce(over.last.segment, o_orderstatus) AS o_orderstatus
+    FROM orders LEFT JOIN hits USING (o_orderkey) LEFT JOIN over USING (o_orderkey)""",
+)
+
+
+def many_range_delete(spark, sf_dir):
+    """By key and range of dates: items shipped within the ten days after their order was made, and what is affected."""
+    orders = read(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_orderdate AS from_day", "o_orderdate + INTERVAL 10 DAYS AS to_day")
+    gone = run_many(read(spark, sf_dir, "lineitem"), orders, {"l_orderkey": "o_orderkey"}, "delete", between={"l_shipdate": ("from_day", "to_day")})
+    left = gone.frame.groupBy("l_returnflag").agg(F.count("*").alias("n"), F.max("l_shipdate").alias("last"))
+    return left.unionByName(gone.affected.select(F.lit("gone").alias("l_returnflag"), "n", F.lit(None).cast("timestamp_ntz").alias("last")))
+
+
+QUERIES["a4_many_range_delete"] = (
+    many_range_delete,
+    """
+    WITH hit AS (
+        SELECT l.*, EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND l_shipdate BETWEEN o_orderdate AND o_orderdate + INTERVAL 10 DAYS) AS gone
+        FROM lineitem l)
+    SELECT l_returnflag, count(*) AS n, max(l_shipdate) AS last FROM hit WHERE NOT gone GROUP BY l_returnflag
+    UNION ALL SELECT 'gone', count(*), NULL FROM hit WHERE gone
+    """,
+)
+
+
+def many_increment(spark, sf_dir):
+    """Every item of an order changes its customer number in turn: a new number, or twice the one there, or one more."""
+    changes = read(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "l_returnflag = 'R' AS fresh", "CASE WHEN l_linestatus = 'F' THEN 2 ELSE 1 END AS times", "l_partkey AS plus")
+    changed = run_many(read(spark, sf_dir, "orders"), changes, {"o_orderkey": "l_orderkey"}, "update",
+                       assign={"o_custkey": Affine(plus="plus", times="times", fresh="fresh")}, order_by="l_linenumber")
+    return changed.frame.select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+QUERIES["a4_many_increment"] = (
+    many_increment,
+    """
+    WITH changes AS (
+        SELECT l_orderkey, list({'v': l_partkey, 'times': CASE WHEN l_returnflag = 'R' THEN 0 WHEN l_linestatus = 'F' THEN 2 ELSE 1 END}
+            ORDER BY l_linenumber, l_returnflag = 'R', CASE WHEN l_returnflag = 'R' THEN 0 WHEN l_linestatus = 'F' THEN 2 ELSE 1 END, l_partkey) AS steps
+        FROM lineitem GROUP BY l_orderkey)
+    SELECT o_orderkey, CASE WHEN steps IS NULL THEN o_custkey ELSE CAST(list_reduce(
+        list_prepend({'v': CAST(o_custkey AS BIGINT), 'times': 0}, steps), lambda x, y: {'v': x.v * y.times + y.v, 'times': 0}).v AS BIGINT) END AS o_custkey, o_totalprice
+    FROM orders LEFT JOIN changes ON o_orderkey = l_orderkey
+    """,
+)
+
+
 def many_insert(spark, sf_dir):
     rows = read(spark, sf_dir, "customer").select(
         (F.lit(10_000_000) + F.col("c_custkey")).alias("key"), F.col("c_custkey").alias("cust"), "c_acctbal"

@@ -14,7 +14,9 @@ from pyspark.sql import types as T
 
 from ..errors import InvalidArgument, InvalidState
 from ..plans.columns import quote
+from .changes import Affine, applied, folded_changes
 from .conform import conform
+from .ranges import meeting, ranges_of, with_partners
 
 # Places where ":1" is not a parameter come first and are left as they are.
 _PLACEHOLDER = re.compile(
@@ -140,11 +142,12 @@ def run_many(
     params: DataFrame,
     on: dict[str, str] | list[str],
     action: str = "select",
-    assign: dict[str, str] | None = None,
+    assign: dict[str, str | Affine] | None = None,
     order_by: str | None = None,
     where: str | None = None,
+    between: dict[str, tuple[str | None, str | None]] | None = None,
 ) -> ManyResult:
-    """One statement per parameter row, run as one join on equal keys.
+    """One statement per parameter row, run as one join on equal keys, on a range, or on both.
 
     ``on`` maps target columns to parameter columns; ``where`` adds a condition over both
     (select and delete). ``assign`` maps target to parameter columns for update and
@@ -153,6 +156,14 @@ def run_many(
     equal ones the row with the largest new values is the last, nulls being the smallest. New values take
     the target's types. Parameters may come from the target itself.
 
+    ``between`` maps one target column to the parameter columns of a range's lower and upper end,
+    both inside the range; None for an end means that the statement has none, and a null in an end fits no row.
+    ``on`` may then be empty. Such a join is on cells of values (``ranges.py``); an update or
+    deletion meets each row once, whatever ranges overlap, and a select gives a row per match.
+
+    An assigned value can also be ``Affine``: the row's own value times one parameter plus another.
+    Then the changes build up in the order of ``order_by`` (``changes.py``).
+
     Neither side is forced into memory: Spark broadcasts a side only below its own size
     threshold, and splits a hot key at run time otherwise.
     """
@@ -164,6 +175,12 @@ def run_many(
         return ManyResult(target.unionByName(rows, allowMissingColumns=True), params.agg(F.count("*").alias("n")))
 
     keys = dict(on) if isinstance(on, dict) else {name: name for name in on}
+    if any(isinstance(p, Affine) for p in (assign or {}).values()):
+        if action != "update" or between or where or order_by is None or not keys:
+            raise InvalidArgument("changes that build up belong to an update on equal columns with order_by")
+        return _run_changes(target, params, keys, assign, order_by)
+    if between:
+        return _run_ranges(target, params, keys, between, action, assign, order_by, where)
     if not keys:
         raise InvalidArgument("run_many needs at least one pair of equal columns")
     if where and action == "update":
@@ -222,6 +239,54 @@ def run_many(
     return ManyResult(rows.join(wanted, match, "left_anti"), gone.agg(F.count("*").alias("n")))
 
 
+def _run_changes(target: DataFrame, params: DataFrame, keys: dict[str, str], assign: dict, order_by: str) -> ManyResult:
+    """An update whose values build up; one row per key meets the target."""
+    folded = folded_changes(params, list(keys.values()), assign, order_by, target.schema)
+    renamed = {p: f"__key{i}" for i, p in enumerate(keys.values())}
+    joined = _plain(target).join(folded, _all_equal(target, keys, renamed), "left")
+    frame = joined.select(*[
+        F.when(F.col("__times").isNotNull(), applied(F.col(_own(c)), f"__fold{list(assign).index(c)}", target.schema[c].dataType)).otherwise(F.col(_own(c))).alias(c)
+        if c in assign else F.col(_own(c)).alias(c) for c in target.columns])
+    times = params.groupBy(*[F.col(quote(p)).alias(k) for p, k in renamed.items()]).agg(F.count("*").alias("__times"))
+    counted = _plain(target.select(*map(quote, keys))).join(times, _all_equal(target, keys, renamed), "inner")
+    return ManyResult(frame, counted.agg(F.coalesce(F.sum("__times"), F.lit(0)).alias("n")))
+
+
+def _run_ranges(target: DataFrame, params: DataFrame, keys: dict[str, str], between: dict, action: str,
+                assign: dict[str, str] | None, order_by: str | None, where: str | None) -> ManyResult:
+    """``run_many`` with a range condition."""
+    if action == "update":
+        if not assign or order_by is None or where:
+            raise InvalidArgument("an update by ranges needs assignments and order_by, and no further condition")
+        new = F.struct(*[F.col(quote(p)).cast(target.schema[t].dataType).alias(f"v{i}") for i, (t, p) in enumerate(assign.items())])
+        order = F.col(quote(order_by))
+        ranges = ranges_of(target, params, keys, between, [F.struct(order.isNotNull(), order, new.alias("new")).alias("__row")])
+        rows = with_partners(_plain(target), keys, ranges, F.col("__row"), _own)
+        place = {t: f"v{i}" for i, t in enumerate(assign)}
+        frame = rows.select(*[
+            F.when(F.col("__times") > 0, F.col("__best.new")[place[c]]).otherwise(F.col(_own(c))).alias(c) if c in assign else F.col(_own(c)).alias(c)
+            for c in target.columns])
+    elif where or action == "select":
+        extra = [c for c in params.columns if c not in target.columns]
+        if where and (clash := set(target.columns) & set(params.columns) - {*keys.values(), *between[next(iter(between))]}):
+            raise InvalidArgument(f"columns on both sides: {sorted(clash)}")
+        ranges = ranges_of(target, params, keys, between, [F.col(quote(c)) for c in extra])
+        rows, spread, match = meeting(target.select(*[F.col(quote(c)).alias(c) for c in target.columns]), keys, ranges, where)
+        if action == "select":
+            frame = rows.join(spread, match, "inner").select(*map(quote, extra), *map(quote, target.columns))
+            return ManyResult(frame, frame.agg(F.count("*").alias("n")))
+        return ManyResult(rows.join(spread, match, "left_anti").select(*map(quote, target.columns)),
+                          rows.join(spread, match, "left_semi").agg(F.count("*").alias("n")))
+    else:
+        ranges = ranges_of(target, params, keys, between, [])
+        rows = with_partners(_plain(target), keys, ranges, F.lit(True), _own)
+        frame = rows.where("__times = 0").select(*[F.col(_own(c)).alias(c) for c in target.columns])
+    # The count reads the columns of the condition only.
+    bare = with_partners(_plain(target.select(*[F.col(quote(c)) for c in {*keys, *between}])), keys, ranges, F.lit(True), _own)
+    matched = F.sum("__times") if action == "update" else F.sum((F.col("__times") > 0).cast("bigint"))
+    return ManyResult(frame, bare.agg(F.coalesce(matched, F.lit(0)).alias("n")))
+
+
 def _own(name: str) -> str:
     return quote(f"__target_{name}")
 
