@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableferry import (
-    Affine, load_parquet, measure_scan, preview, run_many, run_query, run_update, scan_geometry,
+    Affine, apply_many, load_parquet, measure_scan, preview, run_many, run_query, run_update, scan_geometry,
 )
 
 from .common import TABLES, new_table, read, views
@@ -262,6 +262,28 @@ QUERIES["a4_many_increment"] = (
 )
 
 
+def applied_changes(spark, sf_dir):
+    """A stored copy of orders in several files: one in a hundred is updated, a band of prices deleted, then all is read back."""
+    table = new_table(spark, "a4")
+    read(spark, sf_dir, "orders").repartitionByRange(8, "o_orderkey").write.saveAsTable(table)
+    changes = read(spark, sf_dir, "orders").where("o_orderkey % 100 = 7").selectExpr("o_orderkey AS key", "'CHANGED' AS value", "o_orderdate AS seq")
+    updated = apply_many(spark, table, changes, {"o_orderkey": "key"}, "update", assign={"o_orderpriority": "value"}, order_by="seq")
+    bands = read(spark, sf_dir, "nation").selectExpr("10000.0 * n_nationkey AS low", "10000.0 * n_nationkey + 500 AS high")
+    deleted = apply_many(spark, table, bands, {}, "delete", between={"o_totalprice": ("low", "high")})
+    return spark.table(table).select("o_orderkey", "o_orderpriority", "o_totalprice", F.lit(updated).cast("bigint").alias("updated"), F.lit(deleted).cast("bigint").alias("deleted"))
+
+
+QUERIES["a4_applied_changes"] = (
+    applied_changes,
+    """
+    WITH hit AS (SELECT *, EXISTS (SELECT 1 FROM nation WHERE o_totalprice BETWEEN 10000 * n_nationkey AND 10000 * n_nationkey + 500) AS gone FROM orders)
+    SELECT o_orderkey, CASE WHEN o_orderkey % 100 = 7 THEN 'CHANGED' ELSE o_orderpriority END AS o_orderpriority, o_totalprice,
+        (SELECT count(*) FROM orders WHERE o_orderkey % 100 = 7) AS updated, (SELECT count(*) FROM hit WHERE gone) AS deleted
+    FROM hit WHERE NOT gone
+    """,
+)
+
+
 def many_insert(spark, sf_dir):
     rows = read(spark, sf_dir, "customer").select(
         (F.lit(10_000_000) + F.col("c_custkey")).alias("key"), F.col("c_custkey").alias("cust"), "c_acctbal"

@@ -3,6 +3,7 @@
 from .errors import InvalidArgument, InvalidState, NotFound, TableExists, TransferError
 from .functions.crs import crs_metadata, srid_of
 from .functions.likes import like
+from .operators.apply import apply_many, finish_change
 from .operators.changes import Affine
 from .operators.conform import conform, map_source_types, normalise_names, to_load_form
 from .operators.geometry import (
