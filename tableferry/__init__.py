@@ -1,6 +1,6 @@
 """Typed table transfer, column planning and geometry columns on Spark DataFrames."""
 
-from .errors import InvalidArgument, InvalidState, NotFound, TableExists, TransferError
+from .errors import InvalidArgument, InvalidState, LoadStopped, NotFound, TableExists, TransferError
 from .functions.crs import crs_metadata, srid_of
 from .functions.likes import like
 from .operators.apply import apply_many, finish_change
@@ -11,6 +11,7 @@ from .operators.geometry import (
     geometry_columns, geometry_errors, geometry_facts, geometry_report, linearise,
     orient_rings, tag_crs, vertex_count,
 )
+from .operators.groups import ingest_groups
 from .operators.ingest import IngestResult, ingest
 from .operators.inventory import (
     inventory_of, list_catalogs, list_columns, list_schemas, list_tables, object_tree,
@@ -25,4 +26,5 @@ from .plans.options import LoadOptions
 from .session import apply_settings
 from .sources.jdbc import load_jdbc, write_jdbc
 from .sources.scans import ScanReport, load_parquet, measure_scan, preview, scan_geometry
-from .streaming.ingest_stream import ingest_stream, loaded_rows, rejected_rows
+from .sources.splits import Split, plan_splits, split_number
+from .streaming.ingest_stream import compact_stream, ingest_stream, loaded_rows, rejected_rows

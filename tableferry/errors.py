@@ -1,4 +1,4 @@
-"""Errors raised before a Spark job starts, so that bad input fails on the driver."""
+"""Errors raised before a Spark job starts, so that bad input fails on the driver; and one of a load that stopped."""
 
 
 class TransferError(ValueError):
@@ -19,3 +19,11 @@ class TableExists(TransferError):
 
 class NotFound(TransferError):
     """The named table or column does not exist."""
+
+
+class LoadStopped(TransferError):
+    """A load in groups came to a stop; ``rows`` of its first groups are committed and need not be loaded again."""
+
+    def __init__(self, message: str, rows: int, group: int):
+        super().__init__(message)
+        self.rows, self.group = rows, group

@@ -15,56 +15,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..errors import InvalidArgument, InvalidState, NotFound
+from ..errors import InvalidArgument, InvalidState
+from .folder import Folder as _Folder, table_folder as _folder
 from .ingest import add_rows, identifier
 from .query import run_many
 
 _STAGED, _COMMITTED, _LIST = "_tableferry_staged_", "_tableferry_commit_", "_replaces"
 
 
-class _Folder:
-    """A table's folder, through the store that Spark reads it from."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self._path = spark._jvm.org.apache.hadoop.fs.Path
-        self._fs, self._text = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration()), spark._jvm.org.apache.commons.io.IOUtils
-        self.path = path.rstrip("/")
-
-    def at(self, *names: str):
-        return self._path("/".join([self.path, *names]))
-
-    def files(self, *names: str) -> dict[str, tuple[int, int]]:
-        """Name -> (bytes, time of change) of what lies there."""
-        return {s.getPath().getName(): (s.getLen(), s.getModificationTime()) for s in self._fs.listStatus(self.at(*names))}
-
-    def write(self, text: str, *names: str) -> None:
-        stream = self._fs.create(self.at(*names), False)
-        stream.write(bytearray(text.encode()))
-        stream.close()
-
-    def read(self, *names: str) -> str:
-        stream = self._fs.open(self.at(*names))
-        text = self._text.toString(stream, "UTF-8")
-        stream.close()
-        return text
-
-    def move(self, old, new) -> None:
-        if not self._fs.rename(old, new):
-            raise InvalidState(f"{old} cannot be moved to {new}")
-
-    def delete(self, *names: str) -> None:
-        self._fs.delete(self.at(*names), True)
-
-
-def _folder(spark: SparkSession, table: str) -> _Folder:
-    if not spark.catalog.tableExists(table):
-        raise NotFound(f"table {table.upper()} does not exist")
-    facts = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {identifier(table)}").collect()}
-    if facts.get("Provider", "").lower() != "parquet" or "# Partition Information" in facts:
-        raise InvalidArgument(f"table {table.upper()} is not a plain Parquet table without partitions")
-    return _Folder(spark, facts["Location"])
-
-
 def finish_change(spark: SparkSession, table: str) -> int:
     """Ends commits of the table that were broken off, and tells how many there were."""
     folder = _folder(spark, table)

@@ -12,6 +12,7 @@ from ..operators.conform import conform
 from ..operators.sizing import guarded
 from ..plans.columns import LoadPlan, quote
 from ..plans.options import check_mode
+from .splits import Split
 
 FETCH_ROWS = 10_000
 BATCH_ROWS = 10_000
@@ -39,16 +40,33 @@ def jdbc_read_options(
     }
 
 
+def split_reads(options: dict[str, str], splits: list[Split]) -> dict:
+    """Arguments of the connector's reader for one read a split."""
+    if "query" not in options:
+        raise InvalidArgument("a scan is cut by splits or by a partition column, not by both")
+    rest = {key: value for key, value in options.items() if key not in ("url", "query")}
+    return {"url": options["url"], "table": f"({options['query']}) q", "predicates": [s.condition for s in splits], "properties": rest}
+
+
 def custom_schema(schema: T.StructType) -> str:
     """The read types of a table (see ``table_schema``) as the connector takes them."""
     return ", ".join(f"`{f.name}` {f.dataType.simpleString().upper()}" for f in schema)
 
 
 def load_jdbc(
-    spark: SparkSession, url: str, query: str, schema: T.StructType | None = None, **options
+    spark: SparkSession, url: str, query: str, schema: T.StructType | None = None,
+    splits: list[Split] | None = None, **options
 ) -> DataFrame:
-    """The result of a remote query, conformed to ``schema`` if one is given."""
-    df = spark.read.format("jdbc").options(**jdbc_read_options(url, query, **options)).load()
+    """The result of a remote query, conformed to ``schema`` if one is given.
+
+    With ``splits`` (see ``plan_splits``, whose ``name`` is the column as the database spells it) every split is one of
+    the parallel reads.
+    """
+    given = jdbc_read_options(url, query, **options)
+    if splits is None:
+        df = spark.read.format("jdbc").options(**given).load()
+    else:
+        df = spark.read.jdbc(**split_reads(given, splits))
     return conform(df, schema) if schema is not None else df
 
 

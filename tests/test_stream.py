@@ -1,14 +1,19 @@
 """Stream loads: exactly once, plan fixed by the first batch, restart after a failure."""
 
+import os
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
 from tableferry import (
-    InvalidArgument, InvalidState, LoadOptions, NotFound, TableExists, ingest, ingest_stream, loaded_rows, normalise_names,
+    InvalidArgument, InvalidState, LoadOptions, NotFound, TableExists, compact_stream, ingest, ingest_stream, loaded_rows, normalise_names,
     rejected_rows,
 )
 from tableferry.operators.ingest import prepare, stored_plan, write_new
-from tableferry.streaming.ingest_stream import _count_rejected
+from tableferry.streaming.ingest_stream import _count_rejected, _marks
+
+ingest_stream_module = sys.modules["tableferry.streaming.ingest_stream"]
 
 SCHEMA = "id bigint, payload string"
 
@@ -169,3 +174,61 @@ def test_other_tables_are_safe_from_a_first_batch(spark, inbox, table, mode):
     with pytest.raises((TableExists, InvalidArgument)):
         write_new(prepared, table, mode, marks, {})
     assert [r.ID for r in spark.table(table).collect()] == [7]
+
+
+def partitions(spark, table):
+    return [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+
+
+def test_twenty_batches_leave_two_partitions_and_a_replay_changes_nothing(spark, inbox, table):
+    for start in range(0, 2000, 100):
+        inbox(batch(start))
+    load(inbox, table, compact_every=6)
+    assert compact_stream(spark, table) == 2 and len(partitions(spark, table)) == 2
+    assert compact_stream(spark, table) == 0 and len(partitions(spark, table)) == 2
+    loaded = loaded_rows(spark, table)
+    assert loaded.agg(F.count("*"), F.countDistinct("ID"), F.max("ID")).first() == (2000, 2000, 1999)
+    # The checkpoint forgets its last commits, so that batches on both sides of the mark run again.
+    mark_of = next(iter(_marks(spark, table).values()))
+    assert mark_of == 18
+    for number in range(17, 20):
+        for name in (str(number), f".{number}.crc"):
+            os.remove(f"{inbox.checkpoint}/commits/{name}")
+    inbox(batch(2000))
+    load(inbox, table)
+    assert loaded_rows(spark, table).agg(F.count("*"), F.countDistinct("ID")).first() == (2100, 2100)
+    assert compact_stream(spark, table) == 1 and len(partitions(spark, table)) == 2
+    assert loaded_rows(spark, table).agg(F.count("*"), F.countDistinct("ID")).first() == (2100, 2100)
+
+
+@pytest.mark.parametrize("step", ["mark", "drop"])
+def test_a_fold_that_stops_is_harmless(spark, inbox, table, monkeypatch, step):
+    for start in (0, 100, 200, 300):
+        inbox(batch(start))
+    load(inbox, table)
+    real = ingest_stream_module.set_property
+
+    def lost(session, name, **values):
+        if step == "drop":
+            real(session, name, **values)
+        raise RuntimeError("driver gone")
+
+    monkeypatch.setattr(ingest_stream_module, "set_property", lost)  # before or after the mark is stored
+    with pytest.raises(RuntimeError):
+        compact_stream(spark, table)
+    monkeypatch.setattr(ingest_stream_module, "set_property", real)
+    assert loaded_rows(spark, table).agg(F.count("*"), F.countDistinct("ID")).first() == (400, 400)
+    compact_stream(spark, table)
+    assert len(partitions(spark, table)) == 2
+    assert loaded_rows(spark, table).agg(F.count("*"), F.countDistinct("ID")).first() == (400, 400)
+
+
+def test_compaction_refuses_other_tables(spark, inbox, table):
+    with pytest.raises(NotFound):
+        compact_stream(spark, table)
+    ingest(spark.createDataFrame([(1, "a")], SCHEMA), table)
+    inbox(batch(0))
+    with pytest.raises(InvalidState):
+        compact_stream(spark, table)
+    with pytest.raises(InvalidArgument):
+        load(inbox, f"{table}_2", compact_every=0)
