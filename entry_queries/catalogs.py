@@ -3,11 +3,11 @@
 from pyspark.sql import functions as F
 
 from tableferry import (
-    NotFound, like, list_catalogs, list_columns, list_schemas, list_tables, object_tree, table_types,
+    NotFound, catalog_inventory, ingest, like, list_catalogs, list_columns, list_schemas, list_tables, object_tree, table_types,
 )
 from tableferry.operators.inventory import table_fields, table_schema
 
-from .common import read
+from .common import new_schema, read
 from .stock import PART_INVENTORY_SQL, part_inventory
 
 QUERIES = {}
@@ -107,3 +107,34 @@ over_inventory("m8_object_tree", tree, """
 over_inventory("m8_table_level", shallow, """
     SELECT catalog, schema, CAST(count(DISTINCT "table") AS INT) AS n_tables, min("table") AS first_table
     FROM i WHERE table_type = 'VIEW' GROUP BY catalog, schema""")
+
+
+def live_catalog(spark, sf_dir):
+    """Tables that are loaded now and a view, as the session's catalog lists them, each with its number of rows."""
+    schema = new_schema(spark, "m9")
+    for name in ("customer", "orders"):
+        ingest(read(spark, sf_dir, name), f"{schema}.{name}_copy")
+    spark.sql(f"CREATE VIEW {schema}.orders_seen AS SELECT * FROM {schema}.orders_copy WHERE O_TOTALPRICE > 1000")
+    spark.sql(f"CREATE VIEW {schema}.other AS SELECT 1 AS x")
+    listed = list_columns(catalog_inventory(spark, schema=schema, table="%ers%").unionByName(
+        catalog_inventory(spark, schema=schema, table="CUSTOMER_%")))
+    sizes = None
+    for name in ("CUSTOMER_COPY", "ORDERS_COPY", "ORDERS_SEEN"):
+        one = spark.table(f"{schema}.{name}").agg(F.count("*").alias("n")).select(F.lit(name).alias("table"), "n")
+        sizes = one if sizes is None else sizes.unionByName(one)
+    kinds = list_tables(catalog_inventory(spark, schema=schema)).select("table", "table_type")
+    return listed.join(sizes, "table").join(kinds, "table").select(
+        "table", "table_type", "column", "position", "type_name", "nullability", "column_size", "decimal_digits", "n")
+
+
+_LISTED = "SELECT 'CUSTOMER_COPY', 'TABLE', 'customer', (SELECT count(*) FROM customer)" \
+    " UNION ALL SELECT 'ORDERS_COPY', 'TABLE', 'orders', (SELECT count(*) FROM orders)" \
+    " UNION ALL SELECT 'ORDERS_SEEN', 'VIEW', 'orders', (SELECT count(*) FROM orders WHERE o_totalprice > 1000)"
+QUERIES["m9_live_catalog"] = (
+    live_catalog,
+    f"""SELECT l.name AS "table", kind AS table_type, upper(column_name) AS "column", CAST(ordinal_position AS INT) AS position,
+        CASE data_type WHEN 'VARCHAR' THEN 'VARCHAR2' WHEN 'DOUBLE' THEN 'BINARY_DOUBLE' WHEN 'TIMESTAMP' THEN 'TIMESTAMP(6)' ELSE 'NUMBER' END AS type_name,
+        'nullable' AS nullability, CASE WHEN data_type IN ('BIGINT', 'INTEGER') THEN 19 END AS column_size,
+        CASE WHEN data_type IN ('BIGINT', 'INTEGER') THEN 0 END AS decimal_digits, n
+        FROM ({_LISTED}) l(name, kind, source, n) JOIN information_schema.columns c ON c.table_name = l.source""",
+)

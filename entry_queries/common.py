@@ -36,3 +36,18 @@ def new_table(spark: SparkSession, label: str) -> str:
 
     atexit.register(drop)
     return name
+
+
+def new_schema(spark: SparkSession, label: str) -> str:
+    """A schema of this run's own; it goes with its tables when the process ends."""
+    name = f"ferry_{label}_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE SCHEMA {name}")
+
+    def drop() -> None:
+        try:
+            spark.sql(f"DROP SCHEMA IF EXISTS {name} CASCADE")
+        except Exception:  # the session may have ended before the process
+            pass
+
+    atexit.register(drop)
+    return name

@@ -14,7 +14,7 @@ from .operators.geometry import (
 from .operators.groups import ingest_groups
 from .operators.ingest import IngestResult, ingest
 from .operators.inventory import (
-    inventory_of, list_catalogs, list_columns, list_schemas, list_tables, object_tree,
+    catalog_inventory, inventory_of, list_catalogs, list_columns, list_schemas, list_tables, object_tree,
     table_schema, table_types,
 )
 from .operators.query import ManyResult, run_many, run_query, run_update

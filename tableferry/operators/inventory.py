@@ -7,6 +7,9 @@ precision, scale).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,13 +17,16 @@ from pyspark.sql import types as T
 from ..errors import InvalidArgument, NotFound
 from ..functions.likes import like
 from ..functions.typemaps import source_type
-from ..plans.columns import target_types
+from ..plans.columns import quote, target_types
+from .ingest import name_parts, stored_plan
 
 # Table kinds that are always listed, and the texts for nullability.
 TABLE_TYPES = ("TABLE", "VIEW", "MATERIALIZED VIEW", "SYNONYM")
 LISTED_TYPES = ("TABLE", "VIEW")
 NULLABLE, NO_NULLS, UNKNOWN = "nullable", "no nulls", "unknown"
 DEPTHS = ("catalogs", "schemas", "tables", "columns")
+#: Tables that are described at a time.
+DESCRIBERS = 8
 
 INVENTORY = T.StructType.fromJson(
     {
@@ -40,19 +46,66 @@ INVENTORY = T.StructType.fromJson(
 
 def inventory_of(spark: SparkSession, tables: dict[str, T.StructType], catalog: str, schema: str) -> DataFrame:
     """Inventory rows for Spark schemas, with the database types a load would declare."""
+    rows = [row for table, fields in tables.items()
+            for row in _described(catalog, schema, table.upper(), "TABLE", fields, target_types(fields))]
+    return spark.createDataFrame(rows, INVENTORY)
+
+
+def _described(catalog: str, schema: str, table: str, kind: str, fields: T.StructType, declared: list[tuple[str, str]]) -> list[tuple]:
     rows = []
-    for table, fields in tables.items():
-        for position, (field, (name, declared)) in enumerate(zip(fields, target_types(fields)), start=1):
-            base, _, digits = declared.partition("(")
-            numeric = [int(d) for d in digits.rstrip(")").split(",")] if base == "NUMBER" and digits else []
-            precision = numeric[0] if numeric else None
-            scale = (numeric + [0])[1] if numeric else None
-            rows.append((catalog, schema, table.upper(), "TABLE", name, position,
-                         base if base in ("NUMBER", "VARCHAR2") else declared,
-                         "Y" if field.nullable else "N", None, precision, scale))
+    for position, (field, (name, target)) in enumerate(zip(fields, declared), start=1):
+        base, _, digits = target.partition("(")
+        numeric = [int(d) for d in digits.rstrip(")").split(",")] if base == "NUMBER" and digits else []
+        precision = numeric[0] if numeric else None
+        scale = (numeric + [0])[1] if numeric else None
+        rows.append((catalog, schema, table, kind, name, position, base if base in ("NUMBER", "VARCHAR2") else target,
+                     "Y" if field.nullable else "N", None, precision, scale))
+    return rows
+
+
+def catalog_inventory(
+    spark: SparkSession, catalog: str | None = None, schema: str | None = None, table: str | None = None,
+    kinds: list[str] | None = None,
+) -> DataFrame:
+    """The inventory of the session's own catalogs: tables and views as they are now, in upper case.
+
+    Patterns (see ``like``) and kinds choose names before any table is described. Types are those of
+    the plan a table was loaded with, else what a load would declare. A view that can no longer be read
+    is listed with one row without a column. Temporary views belong to no schema and are left out. Names and columns come
+    through the driver, where Spark keeps its catalogs; what the filters leave should fit there.
+    """
+    chosen = []
+    for (place,) in _matching(spark.sql("SHOW CATALOGS"), "catalog", catalog):
+        for (space,) in _matching(spark.sql(f"SHOW NAMESPACES IN {quote(place)}"), "namespace", schema):
+            inside = f"{quote(place)}.{'.'.join(map(quote, name_parts(space)))}"
+            # Only the session's own catalog has views of Spark.
+            views = {r.viewName for r in spark.sql(f"SHOW VIEWS IN {inside}").collect()} if place == "spark_catalog" else set()
+            listed = spark.sql(f"SHOW TABLES IN {inside}").where("NOT isTemporary").select("tableName")
+            for (name,) in _matching(listed, "tableName", table):
+                kind = "VIEW" if name in views else "TABLE"
+                if not kinds or kind in kinds:
+                    chosen.append((place, space, name, kind, f"{inside}.{quote(name)}"))
+
+    def describe(entry: tuple) -> list[tuple]:
+        place, space, name, kind, full = entry
+        labels = (place.upper(), space.upper(), name.upper())
+        try:
+            fields = spark.table(full).schema
+        except AnalysisException:
+            return [(*labels, kind, None, None, None, None, None, None, None)]
+        plan = stored_plan(spark, full) if kind == "TABLE" else None
+        known = plan.declared if plan else {}
+        return _described(*labels, kind, fields, [(n, known.get(n, target)) for n, target in target_types(fields)])
+
+    with ThreadPoolExecutor(DESCRIBERS) as pool:
+        rows = [row for described in pool.map(describe, chosen) for row in described]
     return spark.createDataFrame(rows, INVENTORY)
 
 
+def _matching(names: DataFrame, column: str, pattern: str | None) -> list:
+    return (names if pattern is None else names.where(like(F.col(column), pattern))).collect()
+
+
 def _filtered(inventory: DataFrame, **patterns: str | None) -> DataFrame:
     for column, pattern in patterns.items():
         if pattern is not None:

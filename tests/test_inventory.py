@@ -1,11 +1,13 @@
 """Type map of database columns, name patterns, lists and the nested tree."""
 
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableferry import (
-    InvalidArgument, NotFound, inventory_of, like, list_catalogs, list_columns, list_schemas, list_tables,
+    InvalidArgument, NotFound, catalog_inventory, ingest, inventory_of, like, list_catalogs, list_columns, list_schemas, list_tables,
     map_source_types, object_tree, table_schema, table_types,
 )
 from tableferry.operators.inventory import INVENTORY
@@ -129,3 +131,43 @@ def test_inventory_of_spark_schemas(spark):
     rows = [(r.column, r.position, r.data_type, r.nullable, r.precision, r.scale) for r in inventory.orderBy("position").collect()]
     assert rows == [("ID", 1, "NUMBER", "N", 19, 0), ("PRICE", 2, "NUMBER", "Y", 12, 2), ("NAME", 3, "VARCHAR2", "Y", None, None)]
     assert [f.dataType.simpleString() for f in table_schema(inventory, "sales", "orders")] == ["string", "double", "string"]
+
+
+@pytest.fixture
+def shop(spark):
+    spark.sql("CREATE SCHEMA shop_1")
+    ingest(spark.createDataFrame([(1, "a" * 5000, Decimal("1.50"))], "id bigint, note string, price decimal(10,2)"), "shop_1.sales")
+    spark.sql("CREATE TABLE shop_1.plain (k INT, t STRING) USING parquet")
+    spark.sql("CREATE VIEW shop_1.sold AS SELECT id, price FROM shop_1.sales")
+    spark.sql("CREATE VIEW shop_1.lost AS SELECT k FROM shop_1.plain")
+    spark.range(1).createOrReplaceTempView("passing")
+    yield "shop_1"
+    spark.catalog.dropTempView("passing")
+    spark.sql("DROP SCHEMA shop_1 CASCADE")
+
+
+def test_the_catalog_as_it_is(spark, shop):
+    rows = catalog_inventory(spark, schema="SHOP_1").orderBy("table", "position").collect()
+    assert [(r.table, r.table_type, r.column, r.data_type, r.precision, r.scale) for r in rows] == [
+        ("LOST", "VIEW", "K", "NUMBER", 19, 0), ("PLAIN", "TABLE", "K", "NUMBER", 19, 0), ("PLAIN", "TABLE", "T", "VARCHAR2", None, None),
+        ("SALES", "TABLE", "ID", "NUMBER", 19, 0), ("SALES", "TABLE", "NOTE", "CLOB", None, None), ("SALES", "TABLE", "PRICE", "NUMBER", 10, 2),
+        ("SOLD", "VIEW", "ID", "NUMBER", 19, 0), ("SOLD", "VIEW", "PRICE", "NUMBER", 10, 2),
+    ]
+    assert {r.catalog for r in rows} == {"SPARK_CATALOG"} and {r.schema for r in rows} == {"SHOP_1"}
+    # A table that is gone leaves its view listed, without columns.
+    spark.sql("DROP TABLE shop_1.plain")
+    inventory = catalog_inventory(spark, schema="shop_1", kinds=["VIEW"])
+    assert [tuple(r)[2:] for r in list_tables(inventory).collect()] == [("LOST", "VIEW"), ("SOLD", "VIEW")]
+    assert {r.table: len(r.columns) for r in object_tree(inventory).collect()} == {"LOST": 0, "SOLD": 2}
+
+
+def test_filters_come_before_descriptions(spark, shop, monkeypatch):
+    described = []
+    real = type(spark).table
+    monkeypatch.setattr(type(spark), "table", lambda self, name: described.append(name) or real(self, name))
+    found = catalog_inventory(spark, "spark_%", "shop_%", "s%")
+    assert sorted(described) == ["`spark_catalog`.`shop_1`.`sales`", "`spark_catalog`.`shop_1`.`sold`"]
+    assert found.select("table").distinct().count() == 2
+    # _ is no wildcard, and no match is an empty inventory.
+    for patterns in (("%", "shopX1"), ("nowhere",), ("%", "shop_1", "passing")):
+        assert catalog_inventory(spark, *patterns).count() == 0
