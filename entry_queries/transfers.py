@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tableferry import LoadStopped, compact_stream, ingest_groups, ingest_stream, loaded_rows, plan_splits, split_number
+from tableferry import LoadStopped, compact_stream, ingest, ingest_groups, ingest_stream, loaded_rows, plan_splits, record_bytes, split_number
 from tableferry.session import shared_folder
 
 from .common import new_table, read
@@ -87,3 +87,31 @@ QUERIES["d7_stream_compacted"] = (
     'SELECT l_returnflag AS "L_RETURNFLAG", count(*) AS n, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity,'
     " CAST(sum(l_orderkey) AS BIGINT) AS keys, true AS folded FROM lineitem GROUP BY l_returnflag",
 )
+
+
+DEALT = {"by_source": lambda d: d.repartition(32, "source"), "small": lambda d: d.repartition(48), "one": lambda d: d.repartition(1)}
+
+
+def by_size(spark, sf_dir):
+    """Six files of the same size, whether one source holds most rows, all partitions are small, or there is one."""
+    documents, result = read(spark, sf_dir, "documents"), None
+    total, largest = documents.select(record_bytes(documents.schema).alias("b")).agg(F.sum("b"), F.max("b")).first()
+    for name, deal in DEALT.items():
+        table, size = new_table(spark, f"d8s_{name}"), total // 6 + 1
+        ingest(deal(documents), table, options={"ingest_file_bytes": size})
+        stored = spark.table(table)
+        by_file = stored.select("DOC_ID", record_bytes(stored.schema).alias("b"), F.input_file_name().alias("file")).groupBy("file").agg(
+            F.count("*").alias("n"), F.sum("DOC_ID").alias("ids"), F.sum("b").alias("bytes"))
+        rows = by_file.agg(F.count("*").alias("files"), F.sum("n").alias("n"), F.sum("ids").alias("ids"), F.sum("bytes").alias("bytes"),
+                           (F.max("bytes") <= 2 * size + largest).alias("even")).select(F.lit(name).alias("dealt"), "*")
+        result = rows if result is None else result.unionByName(rows)
+    return result
+
+
+_BYTES = " + ".join(["16", *[f"coalesce(octet_length(encode({c})), 0)" for c in ("text", "lang", "source")]])
+QUERIES["d8_by_size"] = (
+    by_size,
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS dealt, 6 AS files, count(*) AS n, CAST(sum(doc_id) AS BIGINT) AS ids, CAST(sum({_BYTES}) AS BIGINT) AS bytes,"
+        " true AS even FROM documents" for name in DEALT),
+)

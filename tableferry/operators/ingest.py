@@ -23,6 +23,7 @@ from ..functions.geometry import is_geometry_object
 from ..plans.columns import LoadPlan, plan_rows, quote, render_ddl, scanned_columns, sql_text
 from ..plans.options import LoadOptions, check_mode
 from .conform import normalise_names, to_load_form
+from .fanout import balanced
 from .geometry import decode_geometry, geometry_columns
 from .sizing import guarded, plan_columns
 
@@ -125,7 +126,9 @@ def prepare(named: DataFrame, options: LoadOptions, known: LoadPlan | None) -> P
     # it as text needs the load form.
     decimals = [f.name for f in named.schema if isinstance(f.dataType, T.DecimalType)]
     rows = to_load_form(named, keep=(*geometry, *objects, *decimals))
-    if options.ingest_workers:
+    if options.ingest_file_bytes:
+        rows = balanced(rows, options.ingest_file_bytes, options.ingest_workers)
+    elif options.ingest_workers:
         rows = rows.repartition(options.ingest_workers)
     rows = guarded(rows, known.limits() if known is not None else {})
     reasons = {name: f"__reason{i}" for i, name in enumerate(geometry)}

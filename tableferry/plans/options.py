@@ -12,7 +12,7 @@ STRING_TYPES = ("auto", "varchar2", "clob")
 STANDARD_LIMIT = 4000
 EXTENDED_LIMIT = 32767
 OPTION_NAMES = (
-    "string_type", "clob_columns", "type_scan_limit_bytes", "max_string_size", "ingest_workers",
+    "string_type", "clob_columns", "type_scan_limit_bytes", "max_string_size", "ingest_workers", "ingest_file_bytes",
 )
 
 
@@ -31,7 +31,8 @@ class LoadOptions:
     ``type_scan_limit_bytes`` unset means every row is looked at, 0 that none is. Any other
     limit is refused: a later value could be wider than what the first ones show.
     ``max_string_size`` is ``standard``, ``extended`` or a number of bytes; unknown (None)
-    counts as standard.
+    counts as standard. ``ingest_workers`` is the number of writing tasks; with ``ingest_file_bytes``, which
+    chooses it from the bytes there are, it is the greatest number.
     """
 
     string_type: str = "auto"
@@ -39,6 +40,7 @@ class LoadOptions:
     type_scan_limit_bytes: int | None = None
     max_string_size: str | int | None = "standard"
     ingest_workers: int | None = None
+    ingest_file_bytes: int | None = None
 
     def __post_init__(self):
         text_type = (self.string_type or "auto").strip().lower()
@@ -53,6 +55,7 @@ class LoadOptions:
         if self.type_scan_limit_bytes:
             raise InvalidArgument("type_scan_limit_bytes must be 0 or unset: column types are chosen from all rows")
         object.__setattr__(self, "ingest_workers", _count("ingest_workers", self.ingest_workers))
+        object.__setattr__(self, "ingest_file_bytes", _count("ingest_file_bytes", self.ingest_file_bytes))
         self.inline_limit  # fails on a size that is not understood
 
     @property

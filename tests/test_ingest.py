@@ -12,6 +12,7 @@ from tableferry import (
 )
 from tableferry.functions.geometry import GEOMETRY_TYPE
 from tableferry.operators.conform import normalise_names
+from tableferry.operators.fanout import balanced
 from tableferry.operators.ingest import DDL_PROPERTY, get_property, identifier, prepare, stored_plan, write_new
 from tableferry.plans.columns import ColumnPlan
 from tableferry.sources.jdbc import check_jdbc_load, jdbc_read_options, jdbc_write_options
@@ -238,3 +239,28 @@ def test_jdbc_options():
     assert "query" not in split and split["dbtable"] == "(SELECT 1) q" and split["numPartitions"] == "4"
     with pytest.raises(InvalidArgument):
         jdbc_read_options("jdbc:x:y", "SELECT 1", "id")
+
+
+def exchanges(frame):
+    return frame._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+
+def test_bytes_choose_the_number_of_files(spark, tiny, table):
+    rows = load_parquet(spark, f"{tiny}/lineitem.parquet").select("l_orderkey", "l_quantity")
+    total = 16 * rows.count()
+    many = rows.repartition(40)
+    less = balanced(many, total // 5 + 1)
+    # Reducing moves nothing: the plan has the exchange of its input and no other.
+    assert exchanges(less) == exchanges(many) and less.rdd.getNumPartitions() == 5
+    assert balanced(many, total // 5 + 1, most=2).rdd.getNumPartitions() == 2
+    # Fitting partitions and empty input stay as they are.
+    assert exchanges(balanced(many, total // 40)) == exchanges(many)
+    assert balanced(rows.where("false"), 10).count() == 0
+    # One partition that holds everything is dealt out; a null holds nothing.
+    heavy = many.coalesce(1).select("*", F.lit(None).cast("string").alias("gap"))
+    sizes = [len(part) for part in balanced(heavy, total // 4 + 1).rdd.glom().collect()]
+    assert len(sizes) == 4 and max(sizes) < 1.2 * min(sizes)
+    result = ingest(many, table, options={"bulk.ingest_file_bytes": total // 3 + 1})
+    assert result.rows == rows.count() and spark.table(table).select(F.input_file_name()).distinct().count() == 3
+    with pytest.raises(InvalidArgument):
+        LoadOptions(ingest_file_bytes=-1)
