@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tableferry import LoadStopped, compact_stream, ingest, ingest_groups, ingest_stream, loaded_rows, plan_splits, record_bytes, split_number
+from tableferry import LoadStopped, compact_stream, ingest, ingest_groups, ingest_stream, loaded_rows, plan_splits, profile_stored, record_bytes, split_number
 from tableferry.session import shared_folder
 
 from .common import new_table, read
@@ -115,3 +115,26 @@ QUERIES["d8_by_size"] = (
         f"SELECT '{name}' AS dealt, 6 AS files, count(*) AS n, CAST(sum(doc_id) AS BIGINT) AS ids, CAST(sum({_BYTES}) AS BIGINT) AS bytes,"
         " true AS even FROM documents" for name in DEALT),
 )
+
+
+def stored_widths(spark, sf_dir):
+    """Widths after a load and after an append; the second time only the appended files are read."""
+    table, documents, result = new_table(spark, "s1p"), read(spark, sf_dir, "documents"), None
+    for step, rows in enumerate((documents.where("n_chars < 1000"), documents.where("n_chars >= 1000 OR n_chars IS NULL"))):
+        before = set(spark.table(table).inputFiles()) if step else set()
+        ingest(rows, table, "append" if step else "create", {"clob_columns": "text,lang,source"} if step else None)
+        spark.catalog.refreshTable(table)
+        new = set(spark.table(table).inputFiles()) - before
+        found = profile_stored(spark, table)
+        pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(w).cast("bigint").alias("max_bytes")) for c, w in found.widths.items()])
+        rows = spark.range(1).select(F.lit(step).alias("step"), F.lit(found.files_read == len(new)).alias("new_only"), F.inline(pairs))
+        result = rows if result is None else result.unionByName(rows)
+    return result
+
+
+QUERIES["s1_stored_widths"] = (
+    stored_widths,
+    " UNION ALL ".join(
+        f"SELECT {step} AS step, true AS new_only, '{c.upper()}' AS \"column\", coalesce(max(octet_length(encode({c}))), 0) AS max_bytes"
+        f" FROM documents WHERE {where}" for step, where in enumerate(("n_chars < 1000", "true")) for c in ("text", "lang", "source")),
+)

@@ -17,6 +17,7 @@ from .operators.inventory import (
     catalog_inventory, inventory_of, list_catalogs, list_columns, list_schemas, list_tables, object_tree,
     table_schema, table_types,
 )
+from .operators.profiles import StoredProfile, plan_stored, profile_stored
 from .operators.query import ManyResult, run_many, run_query, run_update
 from .operators.sizing import (
     batch_bind_kind, plan_columns, plan_frame, profile_text, record_bytes, scan_window, violations,
