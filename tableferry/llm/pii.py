@@ -67,9 +67,16 @@ AT = re.compile(rf"\s*+{OPEN}\s*+(?:at|@)\s*+{SHUT}\s*+|\s++(?:at|@)\s++|\s++@|@
 DOT = rf"(?:\s*+{OPEN}\s*+(?:dot|\.|punkt|point|punto)\s*+{SHUT}\s*+|\s++(?:dot|punkt|point|punto)\s++)"
 #: Names joined by dots, plain or disguised: what may stand before and after the @.
 LOCALS = re.compile(rf"[A-Za-z0-9_%+-]++(?:(?:\.|{DOT})[A-Za-z0-9_%+-]++)*+", re.I)
-HOSTS = re.compile(rf"[A-Za-z0-9-]++(?:(?:\.|{DOT})[A-Za-z0-9-]++)*+", re.I)
+#: A host's dots may also stand between spaces.
+HOST_DOT = rf"(?:{DOT}|\s++\.\s++)"
+HOSTS = re.compile(rf"[A-Za-z0-9-]++(?:(?:\.|{HOST_DOT})[A-Za-z0-9-]++)*+", re.I)
 MARK = re.compile(DOT, re.I)
-JOINT = re.compile(rf"\.|{DOT}", re.I)
+HOST_MARK = re.compile(HOST_DOT, re.I)
+JOINT = re.compile(rf"\.|{HOST_DOT}", re.I)
+#: Four numbers, as digits or as up to three digit words, joined by dots of which one is disguised; no fifth follows or precedes.
+_PART = rf"(?:[0-9]{{1,3}}|(?:{_WORD})(?:[\s-](?:{_WORD})){{0,2}})"
+HOST_NUMBER = re.compile(rf"(?<![^\W_])(?<![0-9]\.){_PART}(?:(?:\.|{DOT}){_PART}){{3,}}(?![^\W_])", re.I)
+PART = re.compile(_PART, re.I)
 LETTERS = re.compile("[A-Za-z]{2,24}")
 #: The last part of an address whose @ or last dot is a bare word.
 TOP = frozenset("com org net edu gov info biz io co ai app dev me de fr es it uk eu us ca ch at nl be pl ru jp cn in br au".split())
@@ -81,7 +88,7 @@ MAIL = re.compile(r"mail|contact|courriel|correo|kontakt|write to|reach|schreib"
 NEAR = 40
 NO_NAMES = frozenset("us me it them him her you we i is are be look only here there online found available directly and or arrive mail email e-mail".split())
 BRACKETED = re.compile(rf"{OPEN}\s*+(?:at|@|\.)\s*+{SHUT}", re.I)
-SIGN = re.compile(rf"{OPEN}\s*+(?:at|dot|@|\.|punkt|point|punto)\s*+{SHUT}|\s(?:dot|punkt|point|punto)\s|\s@|@\s", re.I)
+SIGN = re.compile(rf"{OPEN}\s*+(?:at|dot|@|\.|punkt|point|punto)\s*+{SHUT}|\s(?:dot|punkt|point|punto)\s|\s@|@\s|@[A-Za-z0-9.-]+\s++\.\s", re.I)
 BARE = re.compile(rf"\s[Aa][Tt]\s++[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*\.(?:{'|'.join(sorted(TOP))})(?![A-Za-z0-9@-])", re.I)
 
 Span = tuple[str, int, int]
@@ -229,18 +236,40 @@ def _may_hide_address(text: str) -> bool:
     return "at" in low and BARE.search(text) is not None
 
 
+def disguised_hosts(text: str) -> list[Edit]:
+    """IP addresses with a disguised dot, and their digits if they are spelled."""
+    low = text.lower()
+    if not (any(dot in low for dot in DOTS) or BRACKETED.search(text)):
+        return []
+    edits = []
+    for m in HOST_NUMBER.finditer(text):
+        # What lies between dots; a part's own words stand between spaces or hyphens.
+        bounds = [m.start(), *(x for j in JOINT.finditer(text, m.start(), m.end()) for x in j.span()), m.end()]
+        parts = ["".join(SPELLED.get(d, d) for d in DIGIT.findall(text[a:b].lower())) for a, b in zip(bounds[::2], bounds[1::2], strict=True)]
+        if len(parts) == 4 and all(int(p) < 256 for p in parts) and MARK.search(text, m.start(), m.end()):
+            edits.append((m.start(), m.end(), ".".join(parts)))
+    return edits
+
+
 def _host_end(text: str, start: int, end: int, bare_at: bool) -> int:
     """Where the longest plausible host in text[start:end] ends, or 0: its last part has letters
-    only, and is a known one after a dot as a bare word and, if no dot is in brackets, a bare at."""
+    only, and is a known one after a dot as a bare word and, if no dot is in brackets, a bare at.
+    A dot between spaces counts before a known last part in small letters, and not after a bare at."""
     joints = [(m.start(), m.end()) for m in JOINT.finditer(text, start, end)]
     if not joints:
         return 0
     ends = [a for a, _ in joints[1:]] + [end]
-    bracketed = [not text[a:b].strip().isalpha() and b - a > 1 for a, b in joints]
+    spaced = [text[a:b].strip() == "." and b - a > 1 for a, b in joints]
+    bracketed = [not text[a:b].strip().isalpha() and b - a > 1 and not s for (a, b), s in zip(joints, spaced, strict=True)]
     at = found = 0
     any_bracket = False
-    for (a, b), stop, bracket in zip(joints, ends, bracketed, strict=True):
+    for (a, b), stop, bracket, space in zip(joints, ends, bracketed, spaced, strict=True):
         last = text[b:stop]
+        if space:
+            if bare_at:
+                break
+            found = stop if last in TOP else found
+            continue
         any_bracket |= bracket
         if LETTERS.fullmatch(last):
             known = last.lower() in TOP
@@ -264,7 +293,7 @@ def disguised_addresses(text: str) -> list[Edit]:
             continue
         bare = at[0].strip().lower() == "at"
         end = _host_end(text, host.start(), host.end(), bare)
-        marks = [m for a, b in ((local.start(), local.end()), (host.start(), end)) for m in MARK.finditer(text, a, b)] if end else []
+        marks = [m for a, b, pattern in ((local.start(), local.end(), MARK), (host.start(), end, HOST_MARK)) for m in pattern.finditer(text, a, b)] if end else []
         if not end or len(at[0]) == 1 and not marks:
             continue
         if bare and not marks and not NAMELIKE.match(local[0]) and (
@@ -291,7 +320,7 @@ def disguised(text: str) -> list[Span]:
     plain = _plain(text)
     traced = Traced(plain)
     changed = plain is not text
-    for transducer in (invisible,) * (not text.isascii()) + (spelled_numbers, disguised_addresses):
+    for transducer in (invisible,) * (not text.isascii()) + (spelled_numbers, disguised_hosts, disguised_addresses):
         edits = transducer(traced.text)
         changed |= bool(edits)
         traced.apply(edits)
@@ -331,31 +360,37 @@ def union(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def all_spans(text: str) -> tuple[list[Span], list[Span]]:
+def all_spans(text: str, whole: bool = False) -> tuple[list[Span], list[Span]]:
     """Base spans, and what deobfuscation adds to them.
 
     An identifier that is disguised in part may hold a base span, or a part of one. Base spans
-    stay as they are; the rest of the identifier is added, so that both together cover it.
+    stay as they are. With ``whole``, the identifier's full range is added, over them; else only
+    the rest of it, so that no two spans overlap and all together cover it. What base spans, or
+    one added span before it, cover in full is not added.
     """
     base = detect(text)
     covered = union([(a, b) for _, a, b in base])
     extra: list[Span] = []
+    reach = 0
     for kind, a, b in sorted(disguised(text), key=lambda s: (s[1], KINDS.index(s[0]))):
-        # Later spans begin no earlier, so of the added ones only the last can reach into this one.
-        low = max(a, extra[-1][2]) if extra else a
-        extra += [(kind, x, y) for x, y in outside(low, b, covered)]
+        # Later spans begin no earlier, so only the added one that reaches farthest can cover this one.
+        low = max(a, reach)
+        rest = list(outside(low, b, covered)) if low < b else []
+        extra += [(kind, a, b)] * bool(rest) if whole else [(kind, x, y) for x, y in rest]
+        reach = max(reach, b) if rest else reach
     return base, extra
 
 
 SPANS = "array<struct<kind: string, start: bigint, end: bigint>>"
 
 
-def find_pii(documents: DataFrame, *, text: str = "text", into: str = "pii") -> DataFrame:
+def find_pii(documents: DataFrame, *, text: str = "text", into: str = "pii", whole: bool = True) -> DataFrame:
     """``documents`` with one more column, a struct of ``base`` and ``added`` spans.
 
     A span is (kind, start, end): code points of the text, end exclusive, by start and then in
-    the order of ``KINDS``. ``added`` spans come from rewriting and never overlap another span: of
-    an identifier that holds base spans, the parts around them are added.
+    the order of ``KINDS``. ``added`` spans come from rewriting; each is a whole identifier, also
+    where base spans lie in it. Without ``whole`` they never overlap another span: of an
+    identifier that holds base spans, the parts around them are added.
     All rows and columns of ``documents`` stay, repeated rows too; a column named ``into`` is
     replaced. A null or empty text has no spans.
     """
@@ -368,7 +403,7 @@ def find_pii(documents: DataFrame, *, text: str = "text", into: str = "pii") ->
         for batch in batches:
             found = []
             for value in batch.column(at):
-                base, extra = all_spans(value.as_py() or "")
+                base, extra = all_spans(value.as_py() or "", whole)
                 found.append({name: [{"kind": k, "start": a, "end": b} for k, a, b in spans] for name, spans in (("base", base), ("added", extra))})
             yield pa.RecordBatch.from_arrays([*batch.columns[:last], pa.array(found, batch.schema.field(last).type)], names=batch.schema.names)
 
