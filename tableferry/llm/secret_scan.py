@@ -1,8 +1,12 @@
 """Secret scan: fixed patterns, and Markov models of random strings and ordinary identifiers.
 
-Native: DataFrame functions only. Candidates are long runs of key characters. Two first-order
-Markov models over their characters, one learned from values known to be random and one from
-ordinary words and identifiers, give each candidate a log-likelihood ratio per character.
+Native: DataFrame functions only. Candidates are runs of key characters outside known spans. Two
+first-order Markov models over their characters, one learned from values known to be random and
+one from ordinary words and identifiers, give each candidate a log-likelihood ratio, which must
+pass a bar for its whole and one per character: a short run must show itself more clearly.
+
+Not judged are runs of under 16 characters without a digit (too near to names), numbers, and
+UUIDs, which are identifiers by their form.
 
 Positions come from the pieces between matches and the matches themselves: their lengths in
 code points are summed up. A text without the signs of a kind is not searched for it. The model
@@ -12,6 +16,7 @@ has one number per pair of ASCII characters and is a constant of the plan.
 from __future__ import annotations
 
 import math
+import string
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,17 +30,29 @@ ASSIGN_SIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]"""
 ASSIGN_VALUE = 8
 ACCESS = "AKIA[A-Z0-9]{12,}"
 HEX = "[0-9a-f]{32,}"
-#: Runs that the models judge. All runs of key characters of this length or more.
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-#: Nats per character by which a run must be likelier as a random string.
-THRESHOLD = 1.3
+#: Runs that the models judge, and those among them that are none by their form.
+CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?:[A-Za-z0-9+/_=-]{16,}+|(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{8,}+)"
+NO_KEY = r"^(?:[^A-Za-z]*|[^0-9A-Za-z]*[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}[^0-9A-Za-z]*)$"
+#: Nats per character, and in all, by which a run must be likelier as a random string.
+THRESHOLD = 0.55
+TOTAL = 9.0
 CODES = 128
 SYMBOLS = 67  # 26 + 26 + 10 + 5
-#: Added to the counts of random and of ordinary pairs. Few random samples are known, so unseen
-#: pairs of theirs get more.
+#: Added to the counts of random and of ordinary pairs.
 PRIORS = (1.0, 0.1)
+#: Share of the random model that is uniform over one of the usual alphabets of keys: known keys show few of them.
+UNIFORM = 0.7
+_LOWER, _UPPER, _DIGITS = string.ascii_lowercase, string.ascii_uppercase, string.digits
+ALPHABETS = (_DIGITS + "abcdef", _DIGITS + "ABCDEF", _DIGITS + _LOWER, _DIGITS + _UPPER, _DIGITS + _LOWER + _UPPER, _DIGITS + _LOWER + _UPPER + "+/_=-")
+#: Share of the ordinary model that looks at the character alone.
+ALONE = 0.1
+#: Share of ordinary samples that also count as joined to another, by one of ``JOINTS``, a capital or a number, and
+#: of such numbers that have a further digit.
+JOINED = 0.03
+LONGER = 0.2
+JOINTS = "-_/="
 #: Words and identifiers that serve as ordinary samples.
-ORDINARY = "[A-Za-z_]{12,}"
+ORDINARY = "[A-Za-z0-9+/_=-]{12,}"
 BLOCK = 256
 
 EMPTY = "array<struct<kind: string, start: bigint, end: bigint, value: string>>"
@@ -92,21 +109,34 @@ def in_order(spans: Column) -> Column:
 
 
 def candidates(text: Column, base: Column) -> Column:
-    """Long runs of key characters that overlap no base span."""
+    """Runs of key characters, or the parts of them that base spans leave, that may be keys."""
+    def free(run):
+        def parts(inside):
+            # Each part begins where all base spans before it have ended.
+            ends = F.transform(inside, lambda b: b["end"])
+            starts = F.concat(F.array(run["start"]), F.transform(ends, lambda _, n: F.array_max(F.slice(ends, F.lit(1), n + 1))))
+            stops = F.concat(F.transform(inside, lambda b: b["start"]), F.array(run["end"]))
+            return let(stops, lambda upto: F.filter(F.transform(starts, lambda a, n: F.struct(
+                F.lit("random").alias("kind"), a.alias("start"), upto[n].alias("end"),
+                F.substring(run["value"], (a - run["start"] + 1).cast("int"), F.greatest(upto[n] - a, F.lit(0)).cast("int")).alias("value"))),
+                lambda p: p["value"].rlike(CANDIDATE)))
+
+        return let(F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"])),
+                   lambda inside: F.when(F.size(inside) == 0, F.array(run)).otherwise(parts(inside)))
+
     empty = F.array().cast(EMPTY)
     return F.when(text.rlike(CANDIDATE), F.filter(
-        matches(text, CANDIDATE, "random"),
-        lambda c: ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])),
-    )).otherwise(empty)
+        F.flatten(F.transform(matches(text, CANDIDATE, "random"), free)), lambda c: ~c["value"].rlike(NO_KEY))).otherwise(empty)
 
 
 def labelled_samples(documents: DataFrame, *, text: str = "text") -> DataFrame:
-    """Distinct (token, is_random): values of known secrets, and long words of texts without any."""
+    """Distinct (token, is_random): values of known secrets, and long words and identifiers beside them."""
     def of(t, b):
         random = F.transform(b, lambda s: F.struct(s["value"].alias("token"), F.lit(True).alias("is_random")))
-        plain = F.transform(F.regexp_extract_all(t, F.lit(ORDINARY), F.lit(0)),
+        rest = F.when(F.size(b) > 0, F.regexp_replace(t, f"{ASSIGN}|{ACCESS}|{HEX}", " ")).otherwise(t)
+        plain = F.transform(F.regexp_extract_all(rest, F.lit(ORDINARY), F.lit(0)),
                             lambda w: F.struct(w.alias("token"), F.lit(False).alias("is_random")))
-        return F.when(F.size(b) > 0, random).otherwise(plain)
+        return F.concat(random, plain)
 
     rows = documents.select(text_of(text).alias("text")).select(
         let(F.col("text"), lambda t: let(base_spans(t), lambda b: of(t, b))).alias("samples"))
@@ -122,7 +152,56 @@ def _pairs(codes: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.size(codes) - 1), lambda i: codes[i - 1] * CODES + codes[i])
 
 
-def train(samples: DataFrame, *, token: str = "token", is_random: str = "is_random", priors: tuple[float, float] = PRIORS) -> list[float]:
+def joined(plain: dict[int, float], share: float = JOINED) -> dict[int, float]:
+    """Counts of pairs as if all samples that ``plain`` counts were also written in capitals, and ``share`` of them joined to others.
+
+    Samples end in the characters that more pairs lead to than away from, and begin with those that
+    follow the 0. Between an end and a beginning stands a joint, nothing (then a capital follows), or a number.
+    """
+    capital = lambda code: ord(chr(code).upper())
+    samples, plain = plain, dict(plain)
+    for pair, n in samples.items():
+        if chr(pair % CODES).islower():
+            upper = capital(pair // CODES) * CODES + capital(pair % CODES)
+            plain[upper] = plain.get(upper, 0) + n
+    first = {pair % CODES: n for pair, n in plain.items() if pair < CODES}
+    every = sum(first.values())
+    last: dict[int, float] = {}
+    for pair, n in plain.items():
+        last[pair % CODES] = last.get(pair % CODES, 0) + n
+        if pair >= CODES:
+            last[pair // CODES] = last.get(pair // CODES, 0) - n
+    out = dict(plain)
+
+    def add(a, b, n):
+        if n > 0:
+            out[a * CODES + b] = out.get(a * CODES + b, 0) + n
+
+    digits = range(48, 58)
+    for a, n in last.items():
+        for mark in map(ord, JOINTS):
+            add(a, mark, n * share)
+        for b, m in first.items():
+            add(a, capital(b), n * share * m / every)
+        for digit in digits:
+            add(a, digit, n * share / 10)
+    for mark in map(ord, JOINTS):
+        for b, m in first.items():
+            add(mark, b, m * share)
+        for digit in digits:
+            add(mark, digit, every * share / 10)
+            add(digit, mark, every * share / 10)
+    for digit in digits:
+        add(0, digit, every * share / 10)
+        for b, m in first.items():
+            add(digit, b, m * share / 10)
+        for other in digits:
+            add(digit, other, every * share * LONGER / 10)
+    return out
+
+
+def train(samples: DataFrame, *, token: str = "token", is_random: str = "is_random", priors: tuple[float, float] = PRIORS,
+          uniform: float = UNIFORM, share: float = JOINED) -> list[float]:
     """Log-likelihood ratio of every pair of characters, random against ordinary.
 
     Null or empty tokens and null labels are ignored. Without samples all ratios are 0. The
@@ -131,20 +210,34 @@ def train(samples: DataFrame, *, token: str = "token", is_random: str = "is_rand
     pairs = samples.where(F.col(is_random).isNotNull() & (F.char_length(token) > 0)).select(
         F.col(is_random).alias("random"), F.explode(let(_codes(F.col(token)), _pairs)).alias("pair"))
     rows = pairs.groupBy("pair").agg(F.count_if("random").alias("random"), F.count_if(~F.col("random")).alias("plain")).collect()
-    counts = {r["pair"]: (r["random"], r["plain"]) for r in rows}
-    if not counts:
+    if not rows:
         return [0.0] * CODES * CODES
-    totals = {}
-    for pair, (random, plain) in counts.items():
-        a, b = totals.get(pair // CODES, (0, 0))
-        totals[pair // CODES] = (a + random, b + plain)
-    ratios = []
-    for pair in range(CODES * CODES):
-        random, plain = counts.get(pair, (0, 0))
-        all_random, all_plain = totals.get(pair // CODES, (0, 0))
-        of = [math.log((n + prior) / (total + prior * SYMBOLS)) for n, total, prior in zip((random, plain), (all_random, all_plain), priors, strict=True)]
-        ratios.append(round(of[0] - of[1], 4))
-    return ratios
+    counts = ({r["pair"]: r["random"] for r in rows}, joined({r["pair"]: r["plain"] for r in rows if r["plain"]}, share))
+    totals = tuple([0.0] * CODES for _ in counts)
+    for of, total in zip(counts, totals, strict=True):
+        for pair, n in of.items():
+            total[pair // CODES] += n
+
+    alone = [0.0] * CODES
+    for pair, n in counts[1].items():
+        alone[pair % CODES] += n
+    every = sum(alone)
+
+    def chance(kind, pair):
+        return (counts[kind].get(pair, 0) + priors[kind]) / (totals[kind][pair // CODES] + priors[kind] * SYMBOLS)
+
+    def ratio(pair):
+        random = uniform * any_alphabet(chr(pair // CODES), chr(pair % CODES)) + (1 - uniform) * chance(0, pair)
+        plain = ALONE * (alone[pair % CODES] + 1) / (every + SYMBOLS) + (1 - ALONE) * chance(1, pair)
+        return round(math.log(random) - math.log(plain), 4)
+
+    return [ratio(pair) for pair in range(CODES * CODES)]
+
+
+def any_alphabet(before: str, char: str) -> float:
+    """Chance of a character after another if all alphabets that hold the first, or else all, are equally likely."""
+    able = [a for a in ALPHABETS if before in a] or ALPHABETS
+    return sum((char in a) / len(a) for a in able) / len(able) or 1 / CODES / SYMBOLS
 
 
 def ratio_of(token: Column, model: Column) -> Column:
@@ -153,16 +246,17 @@ def ratio_of(token: Column, model: Column) -> Column:
 
 
 def find_secrets(documents: DataFrame, ratios: list[float], *, text: str = "text", into: str = "secrets",
-                 threshold: float = THRESHOLD) -> DataFrame:
+                 threshold: float = THRESHOLD, total: float = TOTAL) -> DataFrame:
     """``documents`` with one more column, a struct of ``base`` and ``added`` spans.
 
     A span is (kind, start, end, value): code points of the text, end exclusive, by start and
     then in the order of ``KINDS``. ``added`` are runs that the models call random (at least
-    ``threshold``); they overlap no base span. ``ratios`` comes from ``train``.
+    ``threshold`` per character and ``total`` in all); they overlap no base span. ``ratios``
+    comes from ``train``.
 
     All rows and columns of ``documents`` stay, repeated rows too; a column named ``into`` is
     replaced. A null or empty text has no spans.
     """
     model = F.split(F.lit(",".join(map(str, ratios))), ",").cast("array<double>")
     return documents.withColumn(into, let(text_of(text), lambda t: let(base_spans(t), lambda b: F.struct(
-        b.alias("base"), F.filter(candidates(t, b), lambda c: ratio_of(c["value"], model) >= threshold).alias("added")))))
+        b.alias("base"), F.filter(candidates(t, b), lambda c: ratio_of(c["value"], model) >= F.greatest(F.lit(threshold), F.lit(total) / F.char_length(c["value"]))).alias("added")))))
