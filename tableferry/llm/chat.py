@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tableferry.llm.common import text_of
+from tableferry.llm.common import kept, text_of
 
 #: Turn numbers per block, and turns per rendered part.
 BLOCK = 256
@@ -77,7 +77,8 @@ def collapse_and_render(turns: DataFrame, *, conv: str = "conv_id", turn: str =
     null role is ``unknown``, a null text is empty. Other columns of ``turns`` are ignored. An
     empty table gives an empty table.
     """
-    numbered = numbered_turns(turns, conv=conv, turn=turn, role=role, text=text, block=block)
+    # Three steps read it, so it is written once.
+    numbered = kept(numbered_turns(turns, conv=conv, turn=turn, role=role, text=text, block=block), "turns")
     whole = maximal_conversations(numbered)
     rows = numbered.select("conv_id", "position", turn_text(F.col("role"), F.col("text")).alias("piece"))
     return (
