@@ -72,10 +72,11 @@ class EliasFano:
         start = np.where(high > 0, self._zero(np.maximum(high - 1, 0)) - high + 1, 0)
         return start, self._zero(high) - high
 
-    def successor(self, wanted: np.ndarray) -> np.ndarray:
+    def successor(self, wanted: np.ndarray, first: np.ndarray | None = None, last: np.ndarray | None = None) -> np.ndarray:
         """Index of the first number that is not below each wanted one, inside its bucket.
 
-        Past the bucket's last number the index is that of the next bucket's first.
+        Past the bucket's last number the index is that of the next bucket's first. With ``first``
+        and ``last``, only indices from the one to before the other are searched for each.
         """
         if self.low_bytes == 8:
             low, high = np.zeros(len(wanted), np.int64), np.full(len(wanted), self.n, np.int64)
@@ -83,6 +84,8 @@ class EliasFano:
         else:
             low, high = self.bucket((wanted >> np.uint64(8 * self.low_bytes)).astype(np.int64))
             rest = wanted & np.uint64((1 << 8 * self.low_bytes) - 1)
+        if first is not None:
+            low, high = np.maximum(low, first), np.minimum(high, last)
         open_ = np.flatnonzero(low < high)
         while len(open_):
             middle = (low[open_] + high[open_]) >> 1
@@ -92,19 +95,21 @@ class EliasFano:
             open_ = open_[low[open_] < high[open_]]
         return low
 
-    def find(self, wanted: np.ndarray) -> np.ndarray:
-        """Index of each wanted number, or -1. Wanted numbers are below the limit."""
+    def find(self, wanted: np.ndarray, first: np.ndarray | None = None, last: np.ndarray | None = None) -> np.ndarray:
+        """Index of each wanted number, or -1, among all or from ``first`` to before ``last``. Wanted numbers are below the limit."""
         if not self.n:
             return np.full(len(wanted), -1, np.int64)
-        at = self.successor(wanted)
+        at = self.successor(wanted, first, last)
         near = np.minimum(at, self.n - 1)
         # The index lies in the wanted bucket or is past it; then the low bytes may still agree.
         if self.low_bytes < 8:
             start, end = self.bucket((wanted >> np.uint64(8 * self.low_bytes)).astype(np.int64))
-            inside = at < end
+            inside = (start <= at) & (at < end)
             rest = wanted & np.uint64((1 << 8 * self.low_bytes) - 1)
         else:
             inside, rest = at < self.n, wanted
+        if first is not None:
+            inside &= (first <= at) & (at < last)
         return np.where(inside & (self._wide(self.low[near]) == rest), at, -1)
 
     def access(self, index: np.ndarray) -> np.ndarray:

@@ -3,7 +3,7 @@
 A task reads documents in chunks, hashes their words and sends, to every shard of the word and
 word-pair space, the sorted distinct hashes it has seen and how often they occur in training
 texts. A shard adds up what all chunks sent. It lays its pairs out as a trie in a memory-mapped
-file: the contexts, pointers to their followers, and the followers, each level an Elias-Fano
+file: the contexts, monotone pointers to their followers, and the followers, each level an Elias-Fano
 sequence, with an 8-bit code per pair for its count in the smoothed log-probability. It looks up the pairs of
 each chunk (context, then successor within the context's followers) and answers with codes, the
 few counts that are beyond the codes, and word counts. A chunk, which sent itself its own words along, then scores its documents.
@@ -47,6 +47,9 @@ EXACT = 100
 LEVELS = np.concatenate((np.arange(EXACT + 1), EXACT * 1.05 ** np.arange(1, 256 - EXACT)))
 ROWS = "target bigint, chunk bigint, kind string, body binary"
 LIMIT = 1 << 64
+#: Bits of a pair's number below those of its context.
+PAIR_BITS = np.uint64(40)
+OWN = np.uint64((1 << 40) - 1)
 
 
 def code_of(counts: np.ndarray) -> np.ndarray:
@@ -77,19 +80,27 @@ def unpack(block: bytes) -> dict:
     return out
 
 
+def pair_of(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Pairs as numbers that their contexts sort: the context's first bits, then a hash of both words whole.
+
+    Words that share some bits share no pairs by that. As many as a million million different pairs, or a context
+    of a thousand million followers, leave a share of under 1 in 1,000 of them with another's number.
+    """
+    return (before >> PAIR_BITS << PAIR_BITS) | (mixed(mixed(before) + word) >> np.uint64(64 - PAIR_BITS))
+
+
 class Chunk:
     """The tokens of some documents as places in their distinct words, and their distinct pairs."""
 
     def __init__(self, words: np.ndarray, place: np.ndarray, sizes: np.ndarray):
         self.words, self.place, self.sizes = words, place, sizes
         first = np.cumsum(sizes) - sizes
-        # Half of each word's bits: a pair is one number, sorted by its context.
-        half = np.append(words, BEGIN) >> np.uint64(32)
+        known = np.append(words, BEGIN)
         before = np.empty(len(place), np.int64)
         before[1:] = place[:-1]
         before[first] = len(words)
         self.before = before
-        self.pairs, self.pair_place = np.unique((half[before] << np.uint64(32)) | half[place], return_inverse=True)
+        self.pairs, self.pair_place = np.unique(pair_of(known[before], known[place]), return_inverse=True)
 
     def by_shard(self, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Where each shard's words begin, the pairs' order by shard, and where theirs begin."""
@@ -161,16 +172,20 @@ def send(shards: int):
 
 
 class Trie:
-    """Contexts and their followers, memory-mapped; every level is an Elias-Fano sequence."""
+    """Contexts and their followers, memory-mapped; every level is an Elias-Fano sequence.
+
+    A context is told by the first bits of its hash; of two that share them, the followers lie
+    between the same pointers and stay different by their own bits.
+    """
 
     def __init__(self, pairs: np.ndarray, counts: np.ndarray):
-        contexts, first = np.unique(pairs >> np.uint64(32), return_index=True)
+        contexts, first = np.unique(pairs >> PAIR_BITS, return_index=True)
         pointers = np.append(first, len(pairs)).astype(np.uint64)
         # A follower is stored relative to its context's number, which keeps the level ascending.
         number = np.repeat(np.arange(len(contexts), dtype=np.uint64), np.diff(pointers.astype(np.int64)))
-        followers = (number << np.uint64(32)) | (pairs & np.uint64(0xFFFFFFFF))
-        blocks = [EliasFano.encode(contexts, 1 << 32), EliasFano.encode(pointers, len(pairs) + 1),
-                  EliasFano.encode(followers, max(1, len(contexts)) << 32), code_of(counts).tobytes()]
+        followers = (number << PAIR_BITS) | (pairs & OWN)
+        blocks = [EliasFano.encode(contexts, LIMIT >> int(PAIR_BITS)), EliasFano.encode(pointers, len(pairs) + 1),
+                  EliasFano.encode(followers, max(1, len(contexts)) << int(PAIR_BITS)), code_of(counts).tobytes()]
         self.file = tempfile.TemporaryFile()  # has no name, so it goes with the task
         starts = []
         for block in blocks:
@@ -188,16 +203,16 @@ class Trie:
 
     def look_up(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Codes of pairs, 0 for those that training has not seen; which are beyond the codes, and their counts."""
-        context = self.contexts.find(pairs >> np.uint64(32))
+        context = self.contexts.find(pairs >> PAIR_BITS)
         out = np.zeros(len(pairs), np.uint8)
         known = np.flatnonzero(context >= 0)
         if not len(known):
             return out, known.astype(np.uint32), known.astype(np.int64)
         context = context[known]
-        at = self.followers.find((context.astype(np.uint64) << np.uint64(32)) | (pairs[known] & np.uint64(0xFFFFFFFF)))
-        # A hit lies between the context's pointers; this also holds the levels to each other.
-        low, high = self.pointers.access(context), self.pointers.access(context + 1)
-        hit = (at >= low.astype(np.int64)) & (at < high.astype(np.int64))
+        # The successor is searched among the context's own followers.
+        low, high = (self.pointers.access(context + k).astype(np.int64) for k in (0, 1))
+        at = self.followers.find((context.astype(np.uint64) << PAIR_BITS) | (pairs[known] & OWN), low, high)
+        hit = at >= 0
         known, at = known[hit], at[hit]
         out[known] = self.codes[at]
         beyond = np.isin(at, self.far)
