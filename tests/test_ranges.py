@@ -64,6 +64,38 @@ def test_ranges_equal_loops(spark, monkeypatch, ends, keyed, n_params, a_cell):
     assert got.affected.first().n == sum(map(len, hits.values()))
 
 
+@pytest.mark.parametrize("ends,keyed", [(("low", "high"), False), (("low", "high"), True), (("low", None), False), ((None, "high"), False)])
+def test_cells_cut_again_equal_loops(spark, monkeypatch, ends, keyed):
+    """More ranges than the cells of quantiles are enough for; some ends are not finite, some come often."""
+    monkeypatch.setattr(ranges, "RANGES_A_CELL", 1)
+    monkeypatch.setattr(ranges, "MOST_CELLS", 4)
+    rows, params = drawn(7, 400, 0.3)
+    odd = [float("inf"), float("-inf"), float("nan")]
+    rows = [(i, None if v is None else float(v), k) for i, v, k in rows] + [(300 + i, v, 0) for i, v in enumerate(odd[:2])]
+    params = [tuple(None if x is None else float(x) for x in p[:2]) + p[2:] for p in params] + [(odd[1], odd[0], 3, "p7", 0), (60.0, odd[0], 2, "p8", 1)]
+    target = spark.createDataFrame(rows, "id int, v double, k int").withColumn("name", F.lit("own"))
+    table = spark.createDataFrame(params, "low double, high double, seq int, new string, key int")
+    on, is_open = ({"k": "key"} if keyed else {}), [e is None for e in ends]
+    hits = {i: [p for p in params if fits(v, p[0], p[1], *is_open) and (not keyed or p[4] == k)] for i, v, k in rows}
+    got = run_many(target, table, on, "update", assign={"name": "new"}, order_by="seq", between={"v": ends})
+    last = {i: max(ps, key=lambda p: (p[2] is not None, p[2] or 0, p[3]))[3] if ps else "own" for i, ps in hits.items()}
+    assert {r.id: r.name for r in got.frame.collect()} == last
+    assert got.affected.first().n == sum(map(len, hits.values()))
+    got = run_many(target, table, on, "delete", between={"v": ends})
+    assert sorted(r.id for r in got.frame.collect()) == [i for i, ps in hits.items() if not ps]
+
+
+@pytest.mark.parametrize("n", [1000, 8000])
+def test_rows_meet_few_pieces_however_many_ranges(spark, monkeypatch, n):
+    monkeypatch.setattr(ranges, "RANGES_A_CELL", 2)
+    monkeypatch.setattr(ranges, "MOST_CELLS", 16)
+    target = spark.range(10).selectExpr("double(id) AS v")
+    # All begin at few values and end at many; half of the ends lie close together.
+    table = spark.range(n).selectExpr("double(id % 5) AS low", "IF(id % 2 = 0, 5 + id / 1000000, 5D + id) AS high")
+    found = ranges.ranges_of(target, table, {}, {"v": ("low", "high")}, [])
+    assert ranges.covered(found, F.lit(True)).agg(F.max(F.size("__pieces"))).first()[0] <= 16
+
+
 def test_ranges_of_other_types(spark):
     day = dt.date(2024, 1, 1)
     rows = spark.createDataFrame([(i, day + dt.timedelta(i), decimal.Decimal(i) / 4) for i in range(20)], "id int, d date, x decimal(9,2)")
