@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from entry_queries import geometries
 from tableferry import (
     crs_metadata, decode_geometry, encode_geometry, expand_rectangles, explode_rings, explode_vertices,
     geometry_columns, geometry_errors, geometry_facts, geometry_report, linearise, orient_rings, srid_of,
@@ -266,6 +267,17 @@ def test_arcs(spark):
     assert {p[2] for p in high} == {7.0} and len(high) == 33
 
 
+def test_arcs_of_a_small_file_are_worked_out_once_and_by_many_tasks(spark, tiny):
+    for query in (geometries.arcs, geometries.arc_lines):
+        frame = query(spark, tiny)
+        assert frame.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    plan = geometries.arcs(spark, tiny)._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "CASE WHEN" in line]
+    # Nothing and empty rings still give no rows.
+    rings = spark.createDataFrame([([], 2, 2), (None, 2, 2), ([0.0, 0.0, 1.0, 1.0, 2.0, None], 2, 1)], "ordinates array<double>, dims int, interp int")
+    assert [r.ordinates for r in linearise(rings).collect()] == [[], None, [0.0, 0.0, 1.0, 1.0, 2.0, None]]
+
+
 def test_arcs_in_objects_are_written_out(spark):
     (line, _), (ring, _), (multi, _) = coded(
         spark, shape(2002, [1, 2, 2], [1, 0, HALF, HALF, 0, 1]), shape(2003, [1, 1003, 2], [1, 0, 0, 1, -1, 0, 0, -1, 1, 0]),
