@@ -116,7 +116,7 @@ def linearised_sql(arcs: str, dims: str) -> str:
     at = lambda step, axis: f"get({arcs}, int((2 * k + {step}) * {dims} + {axis}))"
     count = f"int((size({arcs}) - 2) div (2 * {dims}))"
     corners = (
-        f"transform(sequence(0, {count} - 1), k -> named_struct('first', int(k > 0),"
+        f"transform(sequence(0, {count} - 1), k -> named_struct('first', int(k > 0), 'wide', CASE WHEN {dims} = 3 THEN 3 ELSE 2 END,"
         f" 'ax', {at(0, 0)}, 'ay', {at(0, 1)}, 'bx', {at(1, 0)}, 'by', {at(1, 1)},"
         f" 'cx', {at(2, 0)}, 'cy', {at(2, 1)},"
         f" 'z', CASE WHEN {dims} = 3 THEN array({at(0, 2)}) ELSE array() END))"
@@ -150,15 +150,16 @@ def linearised_sql(arcs: str, dims: str) -> str:
     straight = "slice(array({}), q.p.first + 1, 3)".format(
         ", ".join(f"concat(array(q.p.{c}x, q.p.{c}y), q.p.z)" for c in "abc")
     )
+    # One number at a time: an array per point would take most of the time.
+    angle = f"q.a + (i div q.p.wide) * q.sweep / {ARC_SEGMENTS}"
     curved = (
-        f"transform(sequence(q.p.first, {ARC_SEGMENTS}), t -> concat(array("
-        f"q.ox + q.r * cos(q.a + t * q.sweep / {ARC_SEGMENTS}),"
-        f" q.oy + q.r * sin(q.a + t * q.sweep / {ARC_SEGMENTS})), q.p.z))"
+        f"transform(sequence(q.p.first * q.p.wide, {ARC_SEGMENTS + 1} * q.p.wide - 1), i -> CASE i % q.p.wide"
+        f" WHEN 0 THEN q.ox + q.r * cos({angle}) WHEN 1 THEN q.oy + q.r * sin({angle}) ELSE get(q.p.z, 0) END)"
     )
     return (
         f"CASE WHEN size({arcs}) div {dims} < 3 THEN {arcs} ELSE"
-        f" flatten(flatten(transform({swept}, q -> CASE WHEN abs(q.det) < {STRAIGHT_LIMIT}D THEN {straight}"
-        f" ELSE {curved} END))) END"
+        f" flatten(transform({swept}, q -> CASE WHEN abs(q.det) < {STRAIGHT_LIMIT}D THEN flatten({straight})"
+        f" ELSE {curved} END)) END"
     )
 
 
