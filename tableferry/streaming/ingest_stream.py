@@ -31,6 +31,8 @@ QUERY_COLUMN, BATCH_COLUMN = "LOAD_QUERY", "LOAD_BATCH"
 LOADER_PROPERTY = "tableferry.checkpoint"
 REJECTED_PROPERTY = "tableferry.rejected"
 COMPACTED_PROPERTY = "tableferry.compacted"
+# All rows of a write go to one partition, so a task need not sort, and hold, its rows by partition first.
+_UNSORTED = ("spark.sql.maxConcurrentOutputFileWriters", "1")
 
 
 def ingest_stream(
@@ -65,6 +67,8 @@ def ingest_stream(
 
     def write(rows: DataFrame, batch_id: int) -> None:
         session = rows.sparkSession
+        # Both are settings of this batch's own session.
+        session.conf.set(*_UNSORTED)
         query = session.sparkContext.getLocalProperty("sql.streaming.queryId")
         named = normalise_names(rows)
         ours = session.catalog.tableExists(table) and (
@@ -78,7 +82,7 @@ def ingest_stream(
         prepared = prepare(named, options, known)
         marks = {QUERY_COLUMN: F.lit(query), BATCH_COLUMN: F.lit(batch_id).cast("bigint")}
         if ours:
-            # A setting of this batch's own session: only the batch's partition is replaced.
+            # Only the batch's partition is replaced.
             session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
             target = session.table(table)
             prepared.rows.withColumns(marks).select(
@@ -145,12 +149,15 @@ def _fold(spark: SparkSession, table: str, query: str) -> int:
         last = fresh[-1]
         rows = spark.table(table).where(F.col(QUERY_COLUMN) == query).where(F.col(BATCH_COLUMN).isin([*fresh, *([-mark - 1] if mark >= 0 else [])]))
         folded = rows.withColumn(BATCH_COLUMN, F.lit(-last - 1).cast("bigint")).select(*rows.columns)
-        setting, before = "spark.sql.sources.partitionOverwriteMode", spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set(setting, "dynamic")
+        settings = dict([("spark.sql.sources.partitionOverwriteMode", "dynamic"), _UNSORTED])
+        before = {name: spark.conf.get(name) for name in settings}
+        for name, value in settings.items():
+            spark.conf.set(name, value)
         try:
             folded.write.mode("overwrite").insertInto(table)
         finally:
-            spark.conf.set(setting, before)
+            for name, value in before.items():
+                spark.conf.set(name, value)
         mark = last
         set_property(spark, table, **{COMPACTED_PROPERTY: json.dumps({**_marks(spark, table), query: last})})
     else:

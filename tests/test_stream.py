@@ -4,6 +4,7 @@ import os
 import sys
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tableferry import (
@@ -232,3 +233,21 @@ def test_compaction_refuses_other_tables(spark, inbox, table):
         compact_stream(spark, table)
     with pytest.raises(InvalidArgument):
         load(inbox, f"{table}_2", compact_every=0)
+
+
+def test_batches_and_folds_are_written_without_a_sort_by_partition(spark, inbox, table, monkeypatch):
+    setting, seen, before = "spark.sql.maxConcurrentOutputFileWriters", [], spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    for name in ("insertInto", "saveAsTable"):
+        real = getattr(DataFrameWriter, name)
+
+        def noted(writer, *args, real=real, **how):
+            seen.append(int(writer._spark.conf.get(setting)))
+            return real(writer, *args, **how)
+
+        monkeypatch.setattr(DataFrameWriter, name, noted)
+    for start in (0, 100, 200, 300):
+        inbox(batch(start))
+    load(inbox, table)
+    assert compact_stream(spark, table) == 3
+    assert len(seen) == 5 and min(seen) > 0 and spark.conf.get(setting) == before
+    assert loaded_rows(spark, table).agg(F.count("*"), F.countDistinct("ID")).first() == (400, 400)
