@@ -2,30 +2,50 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .sizing import record_bytes
 
+#: Last steps of an input that Spark leaves out when its rows are dealt again at once.
+_DEALS = ("Repartition", "RepartitionByExpression")
+
 
-def balanced(df: DataFrame, file_bytes: int, most: int | None = None) -> DataFrame:
-    """``df`` in partitions of about ``file_bytes`` (see ``record_bytes``), at most ``most`` of them.
+def balanced(df: DataFrame, file_bytes: int, most: int | None = None, form: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
+    """``df`` in partitions of about ``file_bytes`` (see ``record_bytes``), at most ``most`` of them; ``form`` gives the rows whose bytes count.
 
     One aggregation finds what each partition holds; the input is read once more for it. Light partitions are put together where they are,
     without a shuffle, if even the heaviest of them side by side stay below twice the size. Only where a partition holds too
     much, or would, do the rows move: dealt evenly, whatever their keys. Fitting or empty input is left as it is. A row is
     never cut, so one that is larger than a file makes its file larger.
+
+    Input whose last step deals it (``repartition``, ``coalesce``) is counted and dealt evenly in place of that step, so no task
+    gets the whole of it, or of a heavy key, even if the caller put it there.
     """
-    size = F.coalesce(record_bytes(df.schema), F.lit(0))
-    held = df.select(F.spark_partition_id().alias("part"), size.alias("bytes")).groupBy("part").agg(F.sum("bytes").alias("bytes"))
-    found = held.agg(F.count("*").alias("n"), F.sum("bytes").alias("total"), F.max("bytes").alias("heaviest")).first()
+    found = held_by_part(df, form).agg(F.count("*").alias("n"), F.sum("bytes").alias("total"), F.max("bytes").alias("heaviest")).first()
     if not found.n:
         return df
     wanted = max(1, -(-found.total // file_bytes))
     wanted = min(wanted, most) if most else wanted
+    if is_dealt(df):
+        return df.repartition(wanted)
     aim = max(file_bytes, -(-found.total // wanted))
     if wanted < found.n and found.heaviest * -(-found.n // wanted) <= 2 * aim:
         return df.coalesce(wanted)
     if found.heaviest > 2 * aim or wanted < found.n:
         return df.repartition(wanted)
     return df
+
+
+def is_dealt(df: DataFrame) -> bool:
+    """Whether the last step of ``df`` deals its rows to partitions."""
+    return df._jdf.queryExecution().optimizedPlan().nodeName() in _DEALS
+
+
+def held_by_part(df: DataFrame, form: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(part, bytes) of the partitions that hold rows; those of dealt input are Spark's own choice."""
+    rows = form(df.hint("rebalance") if is_dealt(df) else df)
+    size = F.coalesce(record_bytes(rows.schema), F.lit(0))
+    return rows.select(F.spark_partition_id().alias("part"), size.alias("bytes")).groupBy("part").agg(F.sum("bytes").alias("bytes"))

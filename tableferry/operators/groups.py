@@ -24,7 +24,7 @@ from .conform import normalise_names
 from .folder import Folder, table_folder
 from .ingest import (
     DDL_PROPERTY, PLAN_PROPERTY, IngestResult, _check_names, get_property, identifier, name_parts, plan_before,
-    plan_from_widths, prepare, publish, set_property, stored_plan, widened_plan,
+    plan_from_widths, prepare, publish, set_property, sized, stored_plan, widened_plan,
 )
 
 _MODE, _GROUP, _DONE, _LOADED = "tableferry.load.mode", "tableferry.load.group.", "tableferry.load.done.", "tableferry.loaded."
@@ -108,7 +108,7 @@ def _load_group(spark: SparkSession, rows: DataFrame, number: int, stage: str, f
     for name in folder.files():
         if name == hidden or name.startswith(mark):
             folder.delete(name)
-    prepared = prepare(normalise_names(rows), options, known)
+    prepared = prepare(normalise_names(sized(rows, options)), options, known)
     given = {name.upper(): name for name in prepared.rows.columns}
     columns = [(F.col(quote(given[f.name.upper()])) if f.name.upper() in given else F.lit(None)).cast(f.dataType).alias(f.name, metadata=f.metadata)
                for f in spark.table(stage).schema]

@@ -64,7 +64,7 @@ def ingest(
     if mode == "append" and not exists:
         raise NotFound(f"table {table.upper()} does not exist")
 
-    named = normalise_names(df)
+    named = normalise_names(sized(df, options))
     adding = exists and mode in ("append", "create_append")
     known = widened_plan(spark, table, options) if adding else plan_before(named, options)
     prepared = prepare(named, options, known)
@@ -118,17 +118,30 @@ def widened_plan(spark: SparkSession, table: str, options: LoadOptions) -> LoadP
     return wider
 
 
-def prepare(named: DataFrame, options: LoadOptions, known: LoadPlan | None) -> Prepared:
-    """Rows as they are written, with an observation of counts and widths attached."""
+def sized(df: DataFrame, options: LoadOptions) -> DataFrame:
+    """``df``, in the partitions that ``ingest_file_bytes`` asks for.
+
+    To be called on the input as it was given: a step in between, like new names, would make Spark carry out the input's own deal first.
+    """
+    if not options.ingest_file_bytes:
+        return df
+    return balanced(df, options.ingest_file_bytes, options.ingest_workers, form=lambda rows: _written_form(normalise_names(rows)))
+
+
+def _written_form(named: DataFrame) -> DataFrame:
+    """The load form, but for what a Spark table keeps as it is."""
     geometry = geometry_columns(named.schema)
     objects = [f.name for f in named.schema if is_geometry_object(f.dataType)]
     # A Spark table keeps a decimal as the type it is declared with; only a target that takes
     # it as text needs the load form.
     decimals = [f.name for f in named.schema if isinstance(f.dataType, T.DecimalType)]
-    rows = to_load_form(named, keep=(*geometry, *objects, *decimals))
-    if options.ingest_file_bytes:
-        rows = balanced(rows, options.ingest_file_bytes, options.ingest_workers)
-    elif options.ingest_workers:
+    return to_load_form(named, keep=(*geometry, *objects, *decimals))
+
+
+def prepare(named: DataFrame, options: LoadOptions, known: LoadPlan | None) -> Prepared:
+    """Rows as they are written, with an observation of counts and widths attached. ``named`` is ``sized`` already."""
+    geometry, rows = geometry_columns(named.schema), _written_form(named)
+    if options.ingest_workers and not options.ingest_file_bytes:
         rows = rows.repartition(options.ingest_workers)
     rows = guarded(rows, known.limits() if known is not None else {})
     reasons = {name: f"__reason{i}" for i, name in enumerate(geometry)}

@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..errors import InvalidArgument, InvalidState, NotFound, TableExists
 from ..operators.conform import normalise_names
 from ..operators.ingest import (
-    get_property, identifier, plan_before, prepare, set_property, widened_plan, write_new,
+    get_property, identifier, plan_before, prepare, set_property, sized, widened_plan, write_new,
 )
 from ..plans.columns import quote
 from ..plans.options import LoadOptions, check_mode
@@ -70,13 +70,13 @@ def ingest_stream(
         # Both are settings of this batch's own session.
         session.conf.set(*_UNSORTED)
         query = session.sparkContext.getLocalProperty("sql.streaming.queryId")
-        named = normalise_names(rows)
         ours = session.catalog.tableExists(table) and (
             mode in ("append", "create_append")
             or get_property(session, table, LOADER_PROPERTY) == checkpoint
         )
         if ours and batch_id <= _marks(session, table).get(query, -1):
             return
+        named = normalise_names(sized(rows, options))
         # A first batch that failed is planned again from the same rows.
         known = widened_plan(session, table, options) if ours else plan_before(named, options)
         prepared = prepare(named, options, known)

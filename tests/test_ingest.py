@@ -12,8 +12,8 @@ from tableferry import (
 )
 from tableferry.functions.geometry import GEOMETRY_TYPE
 from tableferry.operators.conform import normalise_names
-from tableferry.operators.fanout import balanced
-from tableferry.operators.ingest import DDL_PROPERTY, get_property, identifier, prepare, stored_plan, write_new
+from tableferry.operators.fanout import balanced, held_by_part
+from tableferry.operators.ingest import DDL_PROPERTY, get_property, identifier, prepare, sized, stored_plan, write_new
 from tableferry.plans.columns import ColumnPlan
 from tableferry.sources.jdbc import check_jdbc_load, jdbc_read_options, jdbc_write_options
 
@@ -264,3 +264,25 @@ def test_bytes_choose_the_number_of_files(spark, tiny, table):
     assert result.rows == rows.count() and spark.table(table).select(F.input_file_name()).distinct().count() == 3
     with pytest.raises(InvalidArgument):
         LoadOptions(ingest_file_bytes=-1)
+
+
+@pytest.mark.parametrize("deal", [
+    lambda d: d.repartition(1), lambda d: d.coalesce(1), lambda d: d.repartition(8, F.col("id") % 1),
+    lambda d: d.repartition(1).where("id >= 0"),
+], ids=["one", "joined", "heavy", "filtered"])
+def test_no_task_gets_all_rows_of_dealt_input(spark, table, deal):
+    rows = deal(spark.range(0, 4000, 1, 4).selectExpr("id", "CASE WHEN id % 9 > 0 THEN concat('v', id % 7) END AS v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        held = [r["bytes"] for r in held_by_part(rows, lambda d: d).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(held) < sum(held) / 2
+    options = LoadOptions(ingest_file_bytes=sum(held) // 3 + 1)
+    written = prepare(normalise_names(sized(rows, options)), options, None).rows
+    # Names and load form stand after the load's own deal, and the input's is gone.
+    assert exchanges(written) == 1 and "Coalesce" not in written._jdf.queryExecution().executedPlan().toString()
+    assert ingest(rows, table, options=options).rows == 4000
+    stored = spark.table(table).groupBy(F.input_file_name()).agg(F.count("*").alias("n"), F.sum("ID").alias("ids")).collect()
+    assert len(stored) == 3 and max(r.n for r in stored) < 1.2 * min(r.n for r in stored)
+    assert (sum(r.n for r in stored), sum(r.ids for r in stored)) == (4000, 7998000)
