@@ -121,7 +121,7 @@ def widened_plan(spark: SparkSession, table: str, options: LoadOptions) -> LoadP
 def sized(df: DataFrame, options: LoadOptions) -> DataFrame:
     """``df``, in the partitions that ``ingest_file_bytes`` asks for.
 
-    To be called on the input as it was given: a step in between, like new names, would make Spark carry out the input's own deal first.
+    To be called on the input as it was given: a step in between, like new names, can make Spark carry out the input's own deal first.
     """
     if not options.ingest_file_bytes:
         return df
