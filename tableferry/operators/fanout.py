@@ -1,4 +1,4 @@
-"""How many tasks write a load: chosen from the bytes that its partitions hold."""
+"""How many tasks write a load: chosen from the bytes that its partitions hold, or given."""
 
 from __future__ import annotations
 
@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .sizing import record_bytes
 
 #: Last steps of an input that Spark leaves out when its rows are dealt again at once.
 _DEALS = ("Repartition", "RepartitionByExpression")
+#: How much more than an even share a task may get if that spares the rows a shuffle.
+UNEVEN = 1.25
 
 
 def balanced(df: DataFrame, file_bytes: int, most: int | None = None, form: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
@@ -49,3 +52,33 @@ def held_by_part(df: DataFrame, form: Callable[[DataFrame], DataFrame]) -> DataF
     rows = form(df.hint("rebalance") if is_dealt(df) else df)
     size = F.coalesce(record_bytes(rows.schema), F.lit(0))
     return rows.select(F.spark_partition_id().alias("part"), size.alias("bytes")).groupBy("part").agg(F.sum("bytes").alias("bytes"))
+
+
+def dealt(rows: DataFrame, tasks: int, source: DataFrame) -> DataFrame:
+    """``rows``, made value by value from ``source``, in ``tasks`` partitions that hold about as many rows each.
+
+    Rows of files as they are stored stay where they are: a task reads its share of the files itself, if the files' splits
+    put together leave no task without rows and give none more than ``UNEVEN`` shares. One aggregation that needs no column of
+    the files finds that. All other rows are dealt by a shuffle, so what comes before, a join or a parse, keeps its own tasks.
+    """
+    if not is_stored(source):
+        return rows.repartition(tasks)
+    if tasks > 1:
+        parts = source.coalesce(tasks).groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("n"))
+        found = parts.agg(F.count("*").alias("parts"), F.sum("n").alias("total"), F.max("n").alias("most")).first()
+        if found.parts < tasks or found.most * tasks > UNEVEN * found.total:
+            return rows.repartition(tasks)
+    return rows.coalesce(tasks)
+
+
+def is_stored(df: DataFrame) -> bool:
+    """Whether ``df`` is all rows of files, with columns as they are stored, some left out or renamed, and none nested (those are loaded as text)."""
+    if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) for f in df.schema):
+        return False
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if plan.nodeName() == "Project":
+        columns, plan = plan.projectList(), plan.child()
+        made = (columns.apply(i).children() for i in range(columns.size()))
+        if any(not of.isEmpty() and not of.head().children().isEmpty() for of in made):
+            return False
+    return plan.nodeName() == "LogicalRelation" and plan.relation().getClass().getSimpleName() == "HadoopFsRelation"

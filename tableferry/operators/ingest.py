@@ -23,7 +23,7 @@ from ..functions.geometry import is_geometry_object
 from ..plans.columns import LoadPlan, plan_rows, quote, render_ddl, scanned_columns, sql_text
 from ..plans.options import LoadOptions, check_mode
 from .conform import normalise_names, to_load_form
-from .fanout import balanced
+from .fanout import balanced, dealt
 from .geometry import decode_geometry, geometry_columns
 from .sizing import guarded, plan_columns
 
@@ -142,7 +142,7 @@ def prepare(named: DataFrame, options: LoadOptions, known: LoadPlan | None) -> P
     """Rows as they are written, with an observation of counts and widths attached. ``named`` is ``sized`` already."""
     geometry, rows = geometry_columns(named.schema), _written_form(named)
     if options.ingest_workers and not options.ingest_file_bytes:
-        rows = rows.repartition(options.ingest_workers)
+        rows = dealt(rows, options.ingest_workers, named)
     rows = guarded(rows, known.limits() if known is not None else {})
     reasons = {name: f"__reason{i}" for i, name in enumerate(geometry)}
     for name, reason in reasons.items():

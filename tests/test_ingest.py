@@ -287,3 +287,28 @@ def test_no_task_gets_all_rows_of_dealt_input(spark, table, deal):
     stored = spark.table(table).groupBy(F.input_file_name()).agg(F.count("*").alias("n"), F.sum("ID").alias("ids")).collect()
     assert len(stored) == 3 and max(r.n for r in stored) < 1.2 * min(r.n for r in stored)
     assert (sum(r.n for r in stored), sum(r.ids for r in stored)) == (4000, 7998000)
+
+
+def test_workers_read_stored_rows_themselves(spark, table):
+    """Twelve small files are four splits here: two or four tasks share them evenly, three or eight do not."""
+    spark.range(0, 12000, 1, 12).selectExpr("id", "CASE WHEN id % 9 > 0 THEN concat('v', id % 7) END AS v").write.saveAsTable(f"{table}_in")
+    stored = spark.table(f"{table}_in")
+
+    def moved(rows, workers):
+        options = LoadOptions(ingest_workers=workers)
+        return exchanges(prepare(normalise_names(rows), options, None).rows)
+
+    assert [moved(stored, n) for n in (1, 2, 4)] == [0, 0, 0]
+    assert [moved(stored, n) for n in (3, 8)] == [1, 1]
+    # A subset of the columns is stored as well; what is filtered, worked out, nested or dealt is not.
+    assert moved(stored.select("v"), 2) == 0
+    for rows in (stored.where("id < 3000"), stored.selectExpr("id + 1 AS id"), stored.selectExpr("array(id) AS ids"), stored.limit(50)):
+        assert "RoundRobin" in prepare(normalise_names(rows), LoadOptions(ingest_workers=2), None).rows._jdf.queryExecution().executedPlan().toString()
+    for workers in (1, 2, 3, 4, 8):
+        assert ingest(stored, f"{table}_{workers}", options={"ingest_workers": workers}).rows == 12000
+        files = spark.table(f"{table}_{workers}").groupBy(F.input_file_name()).agg(F.count("*").alias("n"), F.sum("ID").alias("ids"), F.count("V").alias("v")).collect()
+        assert len(files) == workers and max(f.n for f in files) < 1.2 * min(f.n for f in files)
+        assert (sum(f.n for f in files), sum(f.ids for f in files), sum(f.v for f in files)) == (12000, 71994000, 10666)
+    empty = f"{table}_none"
+    spark.table(f"{table}_in").limit(0).write.saveAsTable(f"{empty}_in")
+    assert ingest(spark.table(f"{empty}_in"), empty, options={"ingest_workers": 3}).rows == 0 and spark.table(empty).count() == 0
