@@ -6,6 +6,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tableferry import Affine, InvalidArgument, run_many
 from tableferry.operators import ranges
@@ -161,3 +162,55 @@ def test_increments_of_text_are_refused(spark):
     target, table = spark.createDataFrame([(1, "x")], "k int, s string"), spark.createDataFrame([(1, 1)], "key int, p int")
     with pytest.raises(InvalidArgument):
         run_many(target, table, {"k": "key"}, "update", assign={"s": Affine(plus="p")}, order_by="p")
+
+
+def test_a_dense_select_is_stored_in_a_few_bits_a_row(spark, tmp_path, monkeypatch):
+    """20,000 rows in no order of their values and 4,000 ranges that hold a twentieth of them each, of which a file's dictionary takes 2,048, as it takes 131,072 of many more."""
+    monkeypatch.setattr(ranges, "ROWS_A_TASK", 1000, raising=False)
+    target = spark.range(20_000).select(((F.col("id") * 2_654_435_761) % 1_000_003).alias("id"), F.col("id").cast("double").alias("v")).repartition(2, "id")
+    table = spark.range(4000).select((F.col("id") * 7919 % 1_000_003).alias("p"), (F.col("id") * 7919 % 4000 * 4.75).alias("low")).withColumn("high", F.col("low") + 1000)
+    frame = run_many(target, table, {}, "select", between={"v": ("low", "high")}).frame.select("p", "id", "v")
+    frame.write.option("parquet.dictionary.page.size", 16_384).parquet(str(tmp_path / "out"))
+    stored = 8 * sum(f.stat().st_size for f in (tmp_path / "out").glob("*.parquet"))
+    rows = spark.read.parquet(str(tmp_path / "out")).count()
+    assert rows == sum(1 for low in range(4000) for _ in range(-(-low * 19 // 4), min(19_999, (low * 19 + 4000) // 4) + 1))
+    assert stored < 6 * rows, stored / rows
+
+
+def test_a_hot_value_is_dealt_to_shares(spark, monkeypatch):
+    monkeypatch.setattr(ranges, "ROWS_A_SHARE", 100)
+    monkeypatch.setattr(ranges, "ROWS_A_TASK", 100)
+    monkeypatch.setattr(ranges, "ROWS_A_BLOCK", 8)
+    target = spark.range(2000).selectExpr("id", "CASE WHEN id % 10 > 0 THEN 5 ELSE id END AS v", "map('k', id) AS m")
+    table = spark.createDataFrame([(1, 5, 5), (2, 0, 4), (3, 5, 700), (4, None, 9), (5, 6, 3)], "p int, low int, high int")
+    got = run_many(target, table, {}, "select", between={"v": ("low", "high")})
+    kept = got.frame.select("p", "id", "v", F.col("m")["k"].alias("k"), F.spark_partition_id().alias("task")).collect()
+    values = {i: 5 if i % 10 else i for i in range(2000)}
+    assert sorted((r.p, r.id, r.v, r.k) for r in kept) == sorted(
+        (p, i, v, i) for p, low, high in ((1, 5, 5), (2, 0, 4), (3, 5, 700)) for i, v in values.items() if low <= v <= high)
+    assert got.affected.first().n == len(kept)
+    assert len({r.task for r in kept if r.p == 1}) > 4
+
+
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_blocks_keep_rows_with_nulls_and_the_schema(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(ranges, "RANGES_A_CELL", 1)
+    monkeypatch.setattr(ranges, "ROWS_A_BLOCK", 4)
+    draw = random.Random(7)
+    nan = float("nan")
+    rows = [(draw.randrange(40), draw.choice([None, nan, float("inf"), -0.0, *map(float, range(30))]), draw.choice([None, "a", "b"])) for _ in range(400)]
+    params = [(i, draw.choice([None, nan, *map(float, range(30))]), draw.choice([None, nan, 40.0, *map(float, range(30))]), draw.choice([None, "a", "z"])) for i in range(60)]
+    target = spark.createDataFrame(rows, "id int NOT NULL, v double, `a.b` string").withColumn("id", F.col("id").alias("id", metadata={"tag": 1}))
+    table = spark.createDataFrame(params, "__p int, low double, high double, other string")
+    order = lambda v: (2, 0) if v is None else (1, 0) if v != v else (0, v)
+    fits = lambda v, low, high: None not in (v, low, high) and order(low) <= order(v) <= order(high)
+    text = lambda x: tuple(map(repr, x))
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        frame = run_many(target, table, {}, "select", between={"v": ("low", "high")}, where="other IS NULL OR other <> `a.b`").frame
+        assert frame.schema == T.StructType([*table.schema, *target.schema])
+        assert sorted(text(r) for r in frame.collect()) == sorted(
+            text((*p, *r)) for r in rows for p in params if fits(r[1], p[1], p[2]) and (p[3] is None or r[2] is not None and p[3] != r[2]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
