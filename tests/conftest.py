@@ -21,7 +21,8 @@ def spark(tmp_path_factory):
 @pytest.fixture
 def table(request):
     """A table name of the test's own."""
-    return request.node.name.replace("[", "_").replace("]", "").replace("-", "_").lower()[:60]
+    name = request.node.name.replace("[", "_").replace("]", "").replace("-", "_").lower()[:60]
+    return f"{name}_{request.node.path.stem}"
 
 
 @pytest.fixture(scope="session")
